@@ -180,12 +180,13 @@ def stratum_quotas(keyed: DataFrame, strat_col: str, fraction: float) -> DataFra
     total = F.sum("n").over(all_)
     num = F.round(F.lit(fraction) * 1_000_000).cast("long")       # fraction as k/1e6
     n_val = F.ceil(total * num / F.lit(1_000_000)).cast("long")
-    q = counts.withColumn("n_val", n_val).withColumn("N", total)
-    q = (q.withColumn("base", F.floor(F.col("n_val") * F.col("n") / F.col("N")).cast("long"))
-          .withColumn("rem", F.col("n_val") * F.col("n") - F.col("base") * F.col("N")))
-    q = q.withColumn("extra", F.col("n_val") - F.sum("base").over(all_))
-    rank = F.row_number().over(Window.orderBy(F.desc("rem"), F.asc(strat_col)))
-    return q.withColumn("quota", F.col("base") + F.when(rank <= F.col("extra"), 1).otherwise(0)
+    q = counts.withColumn("__nval", n_val).withColumn("__total", total)
+    q = (q.withColumn("__base", F.floor(F.col("__nval") * F.col("n") / F.col("__total"))
+                      .cast("long"))
+          .withColumn("__rem", F.col("__nval") * F.col("n") - F.col("__base") * F.col("__total")))
+    q = q.withColumn("__extra", F.col("__nval") - F.sum("__base").over(all_))
+    rank = F.row_number().over(Window.orderBy(F.desc("__rem"), F.asc(strat_col)))
+    return q.withColumn("quota", F.col("__base") + F.when(rank <= F.col("__extra"), 1).otherwise(0)
                         ).select(strat_col, "n", "quota")
 
 

@@ -484,7 +484,7 @@ def _sql_log_softmax(a: str, t: float) -> str:
 _SQL_LOSSES = f"""
 cw AS (SELECT model, y_true, CAST(max(n) OVER (PARTITION BY model) AS DOUBLE) / n AS w
        FROM (SELECT model, y_true, count(*) AS n FROM preds GROUP BY ALL)),
-lr AS (SELECT p.model, cw.w, {_SQL_LSE} - student[y_true + 1] AS ce,
+lr AS (SELECT p.model, cw.w, {_SQL_LSE} - student[p.y_true + 1] AS ce,
               {_sql_log_softmax('teacher', 2.0)} AS lt, {_sql_log_softmax('student', 2.0)} AS ls
        FROM preds p JOIN cw ON p.model = cw.model AND p.y_true = cw.y_true),
 lk AS (SELECT model, w, ce, list_sum(list_transform(lt, lambda x, i: exp(x) * (x - ls[i]))) AS kl
@@ -538,7 +538,8 @@ ha AS (SELECT a.model, -sum(ai / N * (ln(ai) - ln(N))) AS h_a, count(*) AS k_a
 hb AS (SELECT b.model, -sum(bj / N * (ln(bj) - ln(N))) AS h_b, count(*) AS k_b
        FROM b JOIN tot USING (model) GROUP BY b.model),
 pr AS (SELECT a.model, ai, bj, N FROM a JOIN b USING (model) JOIN tot USING (model)),
-tm AS (SELECT model, ai, bj, N, unnest(range(greatest(1, ai + bj - N), least(ai, bj) + 1)) AS nij
+tm AS (SELECT model, ai, bj, N, unnest(range(CAST(greatest(1, ai + bj - N) AS BIGINT),
+                                                  CAST(least(ai, bj) + 1 AS BIGINT))) AS nij
        FROM pr),
 emi AS (SELECT model, sum(nij / N * (ln(N * nij) - ln(CAST(ai AS DOUBLE) * bj)) * exp(
           lgamma(ai + 1) + lgamma(bj + 1) + lgamma(N - ai + 1) + lgamma(N - bj + 1) - lgamma(N + 1)
