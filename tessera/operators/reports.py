@@ -128,3 +128,8 @@ def metrics_long(metrics: DataFrame, by: Sequence[str] = ("model",),
                  cols: Sequence[str] = ("accuracy", "recall", "precision", "f1")) -> DataFrame:
     """One (metric, value) row per metric."""
     return metrics.unpivot(list(by), list(cols), "metric", "value")
+
+
+def curves_long(log: DataFrame, keys: Sequence[str], series: Sequence[str]) -> DataFrame:
+    """Training curves in long form (keys..., series, value)."""
+    return log.unpivot(list(keys), list(series), "series", "value")

@@ -16,9 +16,11 @@ from ..functions import terms
 from ..functions import text as T
 from ..functions.arrays import argmax, log_sum_exp, softmax
 from ..functions.regex import WS, sql_str as S
-from ..operators import curate, evaluate, reports, separability
-from ..sources import tables
+from .. import session
+from ..operators import curate, diff, evaluate, ml, reports, separability
+from ..sources import stores, tables
 from . import oracle as O
+from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -700,26 +702,148 @@ def kmeans_separability(spark, d):
     return out.select("k", r6(F.col("ari")).alias("ari"), r6(F.col("ami")).alias("ami"))
 
 
+def scatter_points(spark, d):
+    """2-D PCA coordinates of every embedding with its label."""
+    e = tables.table(spark, d, "embeddings")
+    red = separability.reduce_2d(e.select("vec_id", "label", "embedding"), "embedding", "xy")
+    from pyspark.ml.functions import vector_to_array
+    xy = vector_to_array("xy")
+    return red.select("vec_id", "label", xy[0].alias("x"), xy[1].alias("y"))
+
+
 def word_diff(spark, d):
     """Word-level diff of each noisy text against its cleaned form."""
-    from ..operators.diff import word_diff as wd
     n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample, frame_level=True))
-    return wd(n, "text", "cleaned", keep=["id"])
+    return diff.word_diff(n, "text", "cleaned", keep=["id"])
+
+
+def cleaning_audit(spark, d):
+    """Seeded sample of 5 changed rows with their word diff."""
+    n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample, frame_level=True))
+    return diff.cleaning_audit(n, "id", n=5).select("id", "text", "cleaned", "marked_a",
+                                                    "marked_b", "n_changes")
+
+
+def _labelled_for_training(spark, d):
+    lab = tables.table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    return _docs(spark, d).select("doc_id", "text").join(lab, "doc_id")
+
+
+def preprocess(spark, d):
+    """Dedupe -> clean -> >= 2 words -> length -> stratified split."""
+    out = pipelines.preprocess(_labelled_for_training(spark, d))
+    return out.select("doc_id", "label", "length", "split")
+
+
+def _split(spark, d):
+    p = pipelines.preprocess(_labelled_for_training(spark, d))
+    p = session.cut_lineage(p)       # reused by fit and scoring
+    return p.filter(F.col("split") == "train"), p.filter(F.col("split") == "validation")
 
 
 def weighted_classifier(spark, d):
-    from ..operators.ml import weighted_classifier_report
-    return weighted_classifier_report(spark, d)
+    """L1 + J2: class-weighted TF-IDF logistic regression; validation predictions."""
+    train, val = _split(spark, d)
+    model = ml.weighted_classifier(train)
+    sc = ml.score(model, val, keep=["doc_id"])
+    return sc.select("doc_id", "y_true", "y_pred",
+                     r6(F.array_max("probs")).alias("max_prob"))
 
 
 def random_search(spark, d):
-    from ..operators.ml import random_search_report
-    return random_search_report(spark, d)
+    """L2: 30 seeded trials, macro F1 on the validation split."""
+    train, val = _split(spark, d)
+    out = ml.random_search(train, val, n_trials=30, seed=42)
+    return out.select("trial", r6(F.col("reg_param")).alias("reg_param"), "max_iter",
+                      r6(F.col("elastic_net")).alias("elastic_net"),
+                      r6(F.col("val_accuracy")).alias("val_accuracy"),
+                      r6(F.col("val_f1")).alias("val_f1"), "rank")
 
 
 def inference_report(spark, d):
-    from ..operators.ml import inference_report as ir
-    return ir(spark, d)
+    """L3 + R12: score the validation split, report metrics as rows."""
+    train, val = _split(spark, d)
+    model = ml.weighted_classifier(train)
+    return ml.score_report(ml.score(model, val, keep=["doc_id"])).select(
+        "metric", r6(F.col("value")).alias("value"))
+
+
+def batch_scoring(spark, d):
+    """Nearest-centroid model over Arrow batches (predict_batch_udf);
+    the centroids are class means Spark computes from the embeddings."""
+    import numpy as np
+    e = tables.table(spark, d, "embeddings")
+    cents = ml.class_centroids(e, "embedding", "label").orderBy("label").collect()  # k rows
+    labels = [r["label"] for r in cents]
+    mat = np.array([r["centroid"] for r in cents], dtype=np.float64)
+    logits = ml.batch_predict(ml.nearest_centroid_fn(labels, mat), ["embedding"],
+                              input_tensor_shapes=[[mat.shape[1]]])
+    lab = F.array(*[F.lit(int(x)) for x in labels])
+    out = e.select("vec_id", F.col("label").alias("y_true"), logits.alias("logits"))
+    return out.select("vec_id", "y_true",
+                      F.element_at(lab, argmax("logits") + 1).alias("y_pred"))
+
+
+# ============================================================ log store
+
+LOG_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def _log_records(spark, d):
+    """Events as partial log records: key (model = user, epoch = day),
+    field = event type, value, step = event id."""
+    ev = tables.table(spark, d, "events")
+    return ev.select(F.col("user_id").cast("string").alias("model"),
+                     F.unix_date(F.to_date("ts")).alias("epoch"),
+                     F.col("event_id").alias("step"), F.col("event_type").alias("field"),
+                     "value")
+
+
+def log_merge(spark, d):
+    """Last value per field by step; only complete (model, epoch) rows."""
+    return stores.merge_log_records(_log_records(spark, d), ["model", "epoch"], LOG_TYPES)
+
+
+SQL_LOG_MERGE = """
+SELECT CAST(user_id AS VARCHAR) AS model,
+       CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER) AS epoch,
+       max(event_id) AS step,
+""" + ",\n".join(f"       arg_max(value, event_id) FILTER (WHERE event_type = '{t}') AS {t}"
+                 for t in LOG_TYPES) + """
+FROM events GROUP BY 1, 2
+HAVING """ + " AND ".join(f"count(*) FILTER (WHERE event_type = '{t}') > 0" for t in LOG_TYPES)
+
+
+def training_curves(spark, d):
+    """Merged log in long form (model, epoch, series, value)."""
+    m = log_merge(spark, d)
+    return reports.curves_long(m, ["model", "epoch"], LOG_TYPES).select(
+        "model", "epoch", "series", r6(F.col("value")).alias("value"))
+
+
+SQL_TRAINING_CURVES = f"""
+WITH m AS ({SQL_LOG_MERGE})
+SELECT model, epoch, series, round(value, 6) AS value FROM m
+UNPIVOT (value FOR series IN ({", ".join(LOG_TYPES)}))
+"""
+
+
+def method_comparison(spark, d):
+    """Per-model accuracy and F1 with latency mean and std."""
+    lat = evaluate.latency_stats(tables.latency(spark, d), "sec", by=["model"])
+    m = _metrics(spark, d).join(lat, "model")
+    return m.select("model", *[r6(F.col(c)).alias(c) for c in
+                               ("accuracy", "f1", "time_per_sample_mean",
+                                "time_per_sample_std")])
+
+
+SQL_METHOD_COMPARISON = f"""
+WITH {_SQL_PER_CLASS.strip()},
+lt AS (SELECT model, avg(sec) AS m, stddev_pop(sec) AS s FROM latency GROUP BY model)
+SELECT model, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1,
+       round(m, 6) AS time_per_sample_mean, round(s, 6) AS time_per_sample_std
+FROM mm JOIN lt USING (model)
+"""
 
 
 # ============================================================ registry
@@ -761,10 +885,17 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "retention": (retention, SQL_RETENTION),
     "cache_miss": (cache_miss, SQL_CACHE_MISS),
     "kmeans_separability": (kmeans_separability, None),
+    "log_merge": (log_merge, SQL_LOG_MERGE),
+    "training_curves": (training_curves, SQL_TRAINING_CURVES),
+    "method_comparison": (method_comparison, SQL_METHOD_COMPARISON),
+    "scatter_points": (scatter_points, None),
     "word_diff": (word_diff, None),
+    "cleaning_audit": (cleaning_audit, None),
+    "preprocess": (preprocess, None),
     "weighted_classifier": (weighted_classifier, None),
     "random_search": (random_search, None),
     "inference_report": (inference_report, None),
+    "batch_scoring": (batch_scoring, None),
 }
 
 # Flagged single-rule cleaners on the noisy view: SQL from the same rules.
