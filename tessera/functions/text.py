@@ -5,10 +5,11 @@ Two shapes are offered:
 * Column -> Column functions for rules whose input is referenced once
   (URL removal, metadata blocks, apostrophes, slang, contractions, repeated
   characters, word count, markup removal).
-* DataFrame transforms (``df.transform(...)``) for the context-window rule
-  (C5-C8), which refers to its word array several times: each stage is its
-  own projection, so Catalyst's CollapseProject keeps the array computed
-  once instead of inlining it into every consumer.
+* Rules whose intermediate values are used several times (the context
+  window C5-C8, entity decoding, contractions) bind each intermediate
+  once with :func:`let`.  Staged projections are not enough: pushing a
+  filter through them (e.g. ``filter("is_cleaned")``) substitutes every
+  alias into every use, and the expression tree grows multiplicatively.
 
 Nothing here leaves the JVM: no Python UDF is involved, every rule is a
 map-only projection (no shuffle), and each row's whole text is processed.
@@ -31,6 +32,15 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it any number of times in ``body``.
+
+    A lambda over a one-element array binds its argument, so no optimizer
+    rewrite (alias substitution, predicate pushdown) can copy ``value``.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 # ---------------------------------------------------------------- words
 
 def words(c: ColumnOrName) -> Column:
@@ -113,14 +123,16 @@ def expand_contractions(c: ColumnOrName, mapping: Column | None = None) -> Colum
     m = _literal_map(terms.CONTRACTIONS) if mapping is None else mapping
 
     def one(tok: Column) -> Column:
-        core = F.regexp_replace(tok, java(_EDGE), "")
-        rep = F.try_element_at(m, F.lower(core))
-        cased = F.when(core.substr(1, 1) != F.lower(core.substr(1, 1)),
-                       F.concat(F.upper(rep.substr(1, 1)), rep.substr(F.lit(2), F.length(rep))))
-        cased = cased.otherwise(rep)
-        pre = F.regexp_extract(tok, java(r"^([^\w']*)"), 1)
-        post = F.regexp_extract(tok, java(r"([^\w']*)$"), 1)
-        return F.when(rep.isNull(), tok).otherwise(F.concat(pre, cased, post))
+        def with_core(core: Column) -> Column:
+            def with_rep(rep: Column) -> Column:
+                cased = F.when(core.substr(1, 1) != F.lower(core.substr(1, 1)),
+                               F.concat(F.upper(rep.substr(1, 1)),
+                                        rep.substr(F.lit(2), F.length(rep)))).otherwise(rep)
+                pre = F.regexp_extract(tok, java(r"^([^\w']*)"), 1)
+                post = F.regexp_extract(tok, java(r"([^\w']*)$"), 1)
+                return F.when(rep.isNull(), tok).otherwise(F.concat(pre, cased, post))
+            return let(F.try_element_at(m, F.lower(core)), with_rep)
+        return let(F.regexp_replace(tok, java(_EDGE), ""), with_core)
 
     return F.array_join(F.transform(F.split(_c(c), " "), one), " ")
 
@@ -172,24 +184,27 @@ def _code_point(n: Column) -> Column:
 
 def decode_entities(c: ColumnOrName) -> Column:
     """Decode ``&name;``, ``&#NNN;`` and ``&#xHH;`` references."""
-    parts = F.split(_c(c), "&")
     entity_map = _literal_map(HTML_ENTITIES)
 
     def piece(p: Column) -> Column:
-        ref = F.regexp_extract(p, ENTITY_RE, 1)
-        rest = F.substring(p, F.length(ref) + 2, 1 << 30)
-        hexnum = F.conv(F.substring(ref, 3, 16), 16, 10).cast("bigint")
-        decnum = F.substring(ref, 2, 16).cast("bigint")
-        named = F.try_element_at(entity_map, ref)
-        return (F.when(ref == "", F.concat(F.lit("&"), p))
-                .when(F.lower(ref.substr(1, 2)) == "#x", F.concat(_code_point(hexnum), rest))
-                .when(ref.startswith("#"), F.concat(_code_point(decnum), rest))
-                .when(named.isNotNull(), F.concat(named, rest))
-                .otherwise(F.concat(F.lit("&"), p)))
-
-    tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.when(F.size(parts) <= 1, _c(c)).otherwise(
-        F.concat(F.get(parts, 0), F.array_join(F.transform(tail, piece), "")))
+        def with_ref(ref: Column) -> Column:
+            rest = F.substring(p, F.length(ref) + 2, 1 << 30)
+            hexnum = F.conv(F.substring(ref, 3, 16), 16, 10).cast("bigint")
+            decnum = F.substring(ref, 2, 16).cast("bigint")
+            named = F.try_element_at(entity_map, ref)
+            return (F.when(ref == "", F.concat(F.lit("&"), p))
+                    .when(F.lower(ref.substr(1, 2)) == "#x", F.concat(_code_point(hexnum), rest))
+                    .when(ref.startswith("#"), F.concat(_code_point(decnum), rest))
+                    .when(named.isNotNull(), F.concat(named, rest))
+                    .otherwise(F.concat(F.lit("&"), p)))
+        return let(F.regexp_extract(p, ENTITY_RE, 1), with_ref)
+
+    def body(parts: Column) -> Column:
+        tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.when(F.size(parts) <= 1, F.array_join(parts, "&")).otherwise(
+            F.concat(F.get(parts, 0), F.array_join(F.transform(tail, piece), "")))
+
+    return let(F.split(_c(c), "&"), body)
 
 
 def html_to_text(c: ColumnOrName) -> Column:
@@ -208,10 +223,9 @@ def _strip_word(w: Column) -> Column:
     return F.regexp_replace(F.lower(w), f"^[{chars}]+|[{chars}]+$", "")
 
 
-def strip_metadata(src: str, dst: str, window_size: int = 5, threshold: float = 0.4,
-                   term_set=terms.TECHNICAL_TERMS, other_ratio: float = 0.6
-                   ) -> Callable[[DataFrame], DataFrame]:
-    """C5-C8 as a DataFrame transform: ``df.transform(strip_metadata('t', 'c'))``.
+def strip_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4,
+                   term_set=terms.TECHNICAL_TERMS, other_ratio: float = 0.6) -> Column:
+    """C5-C8 on a text column.
 
     C5  a technical word goes when the clipped window holds at least
         ``threshold * len(window)`` technical words; any other word when it
@@ -220,63 +234,63 @@ def strip_metadata(src: str, dst: str, window_size: int = 5, threshold: float =
     C7  a trailing run of technical words goes if it has length >= 2, or
         length 1 and the word is a fused bigram.
     C8  rebuild, drop tokens containing 'href', squeeze spaces, trim.
+
+    Word array, technical flags, removal flags and the cut position are
+    each bound once (:func:`let`); the whole rule is one expression.
     """
     half = window_size // 2
     vocab = F.array(*[F.lit(t) for t in sorted(set(term_set))])
     always = F.array(*[F.lit(t) for t in terms.ALWAYS_REMOVE_TRAILING])
-    W, T, R, R2, N = "__w", "__tech", "__rm", "__rm2", "__n"
-
-    def run(df: DataFrame) -> DataFrame:
-        df = df.withColumn(W, words(src))
-        df = df.withColumn(T, F.transform(W, lambda w: F.array_contains(vocab, _strip_word(w))))
-        df = df.withColumn(N, F.size(W))
-        n = F.col(N)
-
-        def removed(is_tech, i):
-            cnt = None
-            for d in range(-half, half + 1):
-                term = F.coalesce(F.get(F.col(T), i + d).cast("int"), F.lit(0))
-                cnt = term if cnt is None else cnt + term
-            length = (F.least(i + half + 1, n) - F.greatest(i - half, F.lit(0))).cast("double")
-            return F.when(is_tech, cnt >= F.lit(float(threshold)) * length).otherwise(
-                cnt >= F.lit(float(other_ratio)) * length)
-
-        df = df.withColumn(R, F.transform(T, removed))
-        df = df.withColumn(R2, F.transform(R, lambda f, i: f | (
-            (i > 0) & (i < n - 1) & F.coalesce(F.get(F.col(R), i - 1), F.lit(False))
-            & F.coalesce(F.get(F.col(R), i + 1), F.lit(False)))))
-        first_false = F.array_position(F.reverse(F.col(T)), False)
-        tail = F.when(first_false == 0, n).otherwise(first_false - 1)
-        last = _strip_word(F.element_at(F.col(W), -1))
-        cut = (tail >= 2) | ((tail == 1) & F.array_contains(always, last))
-        cut_at = F.when(cut, n - tail).otherwise(n)
-        kept = F.filter(W, lambda w, i: ~(F.get(F.col(R2), i) | (i >= cut_at)))
-        out = F.array_join(kept, " ")
-        out = F.regexp_replace(out, java(terms.HREF_TOKEN, ignore_case=True), "")
-        out = F.trim(F.regexp_replace(out, WS + "+", " "))
-        return df.withColumn(dst, F.when(F.col(src).isNull(), None).otherwise(out)).drop(
-            W, T, R, R2, N)
 
-    return run
-
-
-def clean_html_metadata(src: str, dst: str, window_size: int = 5, threshold: float = 0.4,
-                        markup: bool = True) -> Callable[[DataFrame], DataFrame]:
+    def with_words(w: Column) -> Column:
+        n = F.size(w)
+
+        def with_tech(tech: Column) -> Column:
+            def removed(is_tech, i):
+                cnt = None
+                for d in range(-half, half + 1):
+                    term = F.coalesce(F.get(tech, i + d).cast("int"), F.lit(0))
+                    cnt = term if cnt is None else cnt + term
+                length = (F.least(i + half + 1, n) - F.greatest(i - half, F.lit(0))).cast("double")
+                return F.when(is_tech, cnt >= F.lit(float(threshold)) * length).otherwise(
+                    cnt >= F.lit(float(other_ratio)) * length)
+
+            def with_rm(rm: Column) -> Column:
+                rm2 = F.transform(rm, lambda f, i: f | (
+                    (i > 0) & (i < n - 1) & F.coalesce(F.get(rm, i - 1), F.lit(False))
+                    & F.coalesce(F.get(rm, i + 1), F.lit(False))))
+                first_false = F.array_position(F.reverse(tech), False)
+                tail = F.when(first_false == 0, n).otherwise(first_false - 1)
+                last = _strip_word(F.try_element_at(w, F.lit(-1)))
+                cut = (tail >= 2) | ((tail == 1) & F.array_contains(always, last))
+                cut_at = F.when(cut, n - tail).otherwise(n)
+
+                # Removal flags and cut position bound together, once per row.
+                return let(F.struct(cut_at.alias("cut"), rm2.alias("rm2")),
+                           lambda st: F.filter(w, lambda x, i: ~(F.get(st["rm2"], i)
+                                                                 | (i >= st["cut"]))))
+
+            return let(F.transform(tech, removed), with_rm)
+
+        return let(F.transform(w, lambda x: F.array_contains(vocab, _strip_word(x))), with_tech)
+
+    kept = let(words(c), with_words)
+    out = F.array_join(kept, " ")
+    out = F.regexp_replace(out, java(terms.HREF_TOKEN, ignore_case=True), "")
+    return F.trim(F.regexp_replace(out, WS + "+", " "))
+
+
+def clean_html_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4,
+                        markup: bool = True) -> Column:
     """Markup, URLs, blocks, bigrams, then the context-window rule."""
-    def run(df: DataFrame) -> DataFrame:
-        c = html_to_text(src) if markup else F.col(src)
-        df = df.withColumn("__pre", fuse_bigrams(remove_blocks(remove_urls(c))))
-        return df.transform(strip_metadata("__pre", dst, window_size, threshold)).drop("__pre")
-    return run
+    t = html_to_text(c) if markup else _c(c)
+    return strip_metadata(fuse_bigrams(remove_blocks(remove_urls(t))), window_size, threshold)
 
 
-def clean_sample(src: str, dst: str, markup: bool = True) -> Callable[[DataFrame], DataFrame]:
+def clean_sample(c: ColumnOrName, markup: bool = True) -> Column:
     """C14: C1-C8 (threshold 0.35) -> C9 -> C10 -> C11 -> C12."""
-    def run(df: DataFrame) -> DataFrame:
-        df = df.transform(clean_html_metadata(src, "__meta", 5, 0.35, markup))
-        tail = repeated_chars(expand_contractions(normalize_slang(fix_apostrophes("__meta"))))
-        return df.withColumn(dst, tail).drop("__meta")
-    return run
+    meta = clean_html_metadata(c, 5, 0.35, markup)
+    return repeated_chars(expand_contractions(normalize_slang(fix_apostrophes(meta))))
 
 
 # ----------------------------------------------------- apply-and-flag

@@ -77,7 +77,11 @@ def cleaning_audit(flagged: DataFrame, id_col: str = "id", text_col: str = "text
     ``md5(seed:id)`` and the top ``n`` taken (TakeOrderedAndProject keeps
     only n rows per task).  All n pairs are returned (Q5 repaired)."""
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
-    sample = (flagged.filter(F.col(flag_col))
-              .withColumn("__k", key).orderBy("__k").limit(n).drop("__k"))
+    # Changed rows sort first; the P4 filter runs on the <= n sampled rows, so
+    # it is never pushed below the cleaning projection (which would make
+    # the filter evaluate the whole cleaning expression a second time).
+    sample = (flagged.withColumn("__k", key)
+              .orderBy(F.col(flag_col).desc_nulls_last(), "__k").limit(n)
+              .filter(F.col(flag_col)).drop("__k"))
     d = word_diff(sample, text_col, cleaned_col, keep=[id_col, text_col, cleaned_col])
     return d.orderBy(id_col)

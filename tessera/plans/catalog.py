@@ -152,13 +152,12 @@ def contractions(spark, d):
 
 def metadata_window(spark, d):
     """C2-C8 at the pipeline's threshold (0.35)."""
-    return _flagged(_noisy(spark, d),
-                    lambda s, t: T.clean_html_metadata(s, t, 5, 0.35, markup=False), frame=True)
+    return _flagged(_noisy(spark, d), lambda c: T.clean_html_metadata(c, 5, 0.35, markup=False))
 
 
 def clean_pipeline(spark, d):
     """C14: the whole cleaning pipeline, markup rule included."""
-    return _flagged(_noisy(spark, d), T.clean_sample, frame=True)
+    return _flagged(_noisy(spark, d), T.clean_sample)
 
 
 def _sql_window_stage(src_cte: str, col: str, threshold: float, extra: str = "") -> str:
@@ -713,13 +712,13 @@ def scatter_points(spark, d):
 
 def word_diff(spark, d):
     """Word-level diff of each noisy text against its cleaned form."""
-    n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample, frame_level=True))
+    n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample))
     return diff.word_diff(n, "text", "cleaned", keep=["id"])
 
 
 def cleaning_audit(spark, d):
     """Seeded sample of 5 changed rows with their word diff."""
-    n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample, frame_level=True))
+    n = _noisy(spark, d).transform(T.apply_clean(T.clean_sample))
     return diff.cleaning_audit(n, "id", n=5).select("id", "text", "cleaned", "marked_a",
                                                     "marked_b", "n_changes")
 

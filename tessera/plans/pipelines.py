@@ -24,8 +24,7 @@ def preprocess(df: DataFrame, text_col: str = "text", label_col: str = "label",
         df = df.withColumn(split_col, F.lit("train"))
     df = curate.drop_all_copies(df, text_col, by=[split_col])
     if clean:
-        df = df.transform(T.clean_sample(text_col, "__clean")).drop(text_col) \
-               .withColumnRenamed("__clean", text_col)
+        df = df.withColumn(text_col, T.clean_sample(text_col))
     df = curate.filter_short_texts(df, min_words, text_col)
     df = curate.with_length(df, text_col, "length")
     train = df.filter(F.col(split_col) == "train")
