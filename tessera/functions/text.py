@@ -120,7 +120,10 @@ def expand_contractions(c: ColumnOrName, mapping: Column | None = None) -> Colum
     Punctuation around a token is kept; a capitalised token keeps its
     capital.  Splitting and re-joining on single spaces is lossless.
     """
-    m = _literal_map(terms.CONTRACTIONS) if mapping is None else mapping
+    if mapping is None:
+        m, keys = _literal_map(terms.CONTRACTIONS), list(terms.CONTRACTIONS)
+    else:
+        m, keys = mapping, None
 
     def one(tok: Column) -> Column:
         def with_core(core: Column) -> Column:
@@ -131,7 +134,10 @@ def expand_contractions(c: ColumnOrName, mapping: Column | None = None) -> Colum
                 pre = F.regexp_extract(tok, java(r"^([^\w']*)"), 1)
                 post = F.regexp_extract(tok, java(r"([^\w']*)$"), 1)
                 return F.when(rep.isNull(), tok).otherwise(F.concat(pre, cased, post))
-            return let(F.try_element_at(m, F.lower(core)), with_rep)
+            key = F.lower(core)
+            # Hash-set test first; the map is probed only for real keys.
+            probe = F.try_element_at(m, key)
+            return let(probe if keys is None else F.when(key.isin(*keys), probe), with_rep)
         return let(F.regexp_replace(tok, java(_EDGE), ""), with_core)
 
     return F.array_join(F.transform(F.split(_c(c), " "), one), " ")
@@ -219,8 +225,8 @@ def html_to_text(c: ColumnOrName) -> Column:
 # ------------------------------------------------- context window
 
 def _strip_word(w: Column) -> Column:
-    chars = "".join("\\" + ch if ch in ".?" else ch for ch in terms.WORD_STRIP_CHARS)
-    return F.regexp_replace(F.lower(w), f"^[{chars}]+|[{chars}]+$", "")
+    """lower(w) with ``.,!?;:`` removed from both ends (Python ``str.strip``)."""
+    return F.btrim(F.lower(w), F.lit(terms.WORD_STRIP_CHARS))
 
 
 def strip_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4,
@@ -239,7 +245,7 @@ def strip_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4
     each bound once (:func:`let`); the whole rule is one expression.
     """
     half = window_size // 2
-    vocab = F.array(*[F.lit(t) for t in sorted(set(term_set))])
+    vocab = sorted(set(term_set))      # isin -> hash set lookup (InSet)
     always = F.array(*[F.lit(t) for t in terms.ALWAYS_REMOVE_TRAILING])
 
     def with_words(w: Column) -> Column:
@@ -272,7 +278,8 @@ def strip_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4
 
             return let(F.transform(tech, removed), with_rm)
 
-        return let(F.transform(w, lambda x: F.array_contains(vocab, _strip_word(x))), with_tech)
+        return let(F.transform(w, lambda x: F.coalesce(_strip_word(x).isin(*vocab),
+                                                       F.lit(False))), with_tech)
 
     kept = let(words(c), with_words)
     out = F.array_join(kept, " ")

@@ -169,13 +169,12 @@ def with_strat_key(df: DataFrame, edges: Sequence[float], label_col: str = "labe
 
 # ------------------------------------------------------------------ W2
 
-def stratum_quotas(keyed: DataFrame, strat_col: str, fraction: float) -> DataFrame:
+def stratum_quotas(counts: DataFrame, strat_col: str, fraction: float) -> DataFrame:
     """Exact per-stratum quotas summing to ceil(fraction * N), largest remainder.
 
-    Input is one row per stratum after aggregation, so the un-partitioned
-    windows here see only (#strata) rows.
+    ``counts`` holds one row per stratum with its size ``n``, so the
+    un-partitioned windows here see only (#strata) rows.
     """
-    counts = keyed.groupBy(strat_col).agg(F.count("*").alias("n"))
     all_ = Window.partitionBy()
     total = F.sum("n").over(all_)
     num = F.round(F.lit(fraction) * 1_000_000).cast("long")       # fraction as k/1e6
@@ -200,13 +199,19 @@ def stratified_split(df: DataFrame, strat_col: str = "strat_key", id_col: str =
     in one task, rows are bucketed by the leading ``bucket_bits`` bits of
     the key; bucket counts locate the bucket holding the cut, and only that
     bucket is ranked.  Every other row is decided by comparison alone.
+
+    The input is read by the bucket count and by the two decision branches,
+    so pass a materialised frame when it is expensive to recompute (see
+    :func:`tessera.plans.pipelines.preprocess`).
     """
     hexd = (bucket_bits + 3) // 4
     keyed = (df.withColumn("__ord", F.md5(F.concat_ws(":", F.lit(str(seed)),
                                                        F.col(id_col).cast("string"))))
              .withColumn("__b", F.conv(F.substring("__ord", 1, hexd), 16, 10).cast("long")))
-    quotas = stratum_quotas(keyed, strat_col, fraction)
+    # One aggregation feeds both the quotas and the cumulative bucket counts.
     per_bucket = keyed.groupBy(strat_col, "__b").agg(F.count("*").alias("__bn"))
+    quotas = stratum_quotas(per_bucket.groupBy(strat_col).agg(F.sum("__bn").alias("n")),
+                            strat_col, fraction)
     wcum = Window.partitionBy(strat_col).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     cum = (per_bucket.withColumn("__cum", F.sum("__bn").over(wcum))
            .join(quotas, strat_col)

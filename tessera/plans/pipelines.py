@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import curate
+from ..session import cut_lineage
 
 
 def preprocess(df: DataFrame, text_col: str = "text", label_col: str = "label",
@@ -27,6 +28,10 @@ def preprocess(df: DataFrame, text_col: str = "text", label_col: str = "label",
         df = df.withColumn(text_col, T.clean_sample(text_col))
     df = curate.filter_short_texts(df, min_words, text_col)
     df = curate.with_length(df, text_col, "length")
+    # Cleaning is the expensive, map-only part; the decile barrier and the
+    # split read its result several times, so it is written once (reliable
+    # checkpoint in the shared checkpoint dir, survives executor loss).
+    df = cut_lineage(df)
     train = df.filter(F.col(split_col) == "train")
     rest = df.filter(F.col(split_col) != "train")
     edges = curate.length_deciles(train, "length")        # 11 doubles (bounded)
