@@ -17,6 +17,7 @@ map-only projection (no shuffle), and each row's whole text is processed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -61,19 +62,64 @@ def _chain(c: Column, rules, ignore_case: bool = False) -> Column:
     return c
 
 
+def _literals(pattern_keys: str) -> list[str] | None:
+    """Plain literal alternatives of a rule (None if any is a real regex)."""
+    keys = pattern_keys.split("|")
+    return keys if all(re.fullmatch(r"[a-z0-9_.]+", k) for k in keys) else None
+
+
+def _guarded_chain(c: Column, rules, needles, ignore_case: bool = False) -> Column:
+    """Ordered regex rules, each skipped when its text cannot match.
+
+    ``needles[i]`` lists substrings one of which every match of rule i
+    contains (None: always run).  A substring test is far cheaper than a
+    regex pass; each intermediate is bound once (:func:`let`).  For
+    case-insensitive rules the needles are tested on the lower-cased value.
+    """
+    for (pat, rep), need in zip(rules, needles):
+        rx, rp = java(pat, ignore_case), java_repl(rep)
+        if not need:
+            c = F.regexp_replace(c, rx, rp)
+            continue
+
+        c = let(c, _guard_step(rx, rp, need, ignore_case))
+    return c
+
+
+def _guard_step(rx: str, rp: str, need: list[str], ignore_case: bool):
+    def step(v: Column) -> Column:
+        hay = F.lower(v) if ignore_case else v
+        hit = None
+        for n in need:
+            t = hay.contains(n)
+            hit = t if hit is None else hit | t
+        return F.when(hit, F.regexp_replace(v, rx, rp)).otherwise(v)
+    return step
+
+
 def remove_urls(c: ColumnOrName) -> Column:
     """Three URL shapes removed in order, case-sensitive."""
-    return _chain(_c(c), [(p, "") for p in terms.URL_PATTERNS])
+    return _guarded_chain(_c(c), [(p, "") for p in terms.URL_PATTERNS],
+                          [["http"], ["www."], ["http"]])
+
+
+def _block_needles():
+    out = []
+    for p in terms.TECHNICAL_BLOCKS:
+        m = re.match(r"\\b([a-z]+)", p)
+        out.append([m.group(1)] if m else None)
+    return out
 
 
 def remove_blocks(c: ColumnOrName) -> Column:
     """Metadata blocks -> ' ', case-insensitive, in order."""
-    return _chain(_c(c), [(p, " ") for p in terms.TECHNICAL_BLOCKS], ignore_case=True)
+    return _guarded_chain(_c(c), [(p, " ") for p in terms.TECHNICAL_BLOCKS], _block_needles(),
+                          ignore_case=True)
 
 
 def fuse_bigrams(c: ColumnOrName) -> Column:
     """C4: 'a href' -> 'a_href' etc., case-insensitive."""
-    return _chain(_c(c), terms.BIGRAMS, ignore_case=True)
+    return _guarded_chain(_c(c), terms.BIGRAMS, [["href"], ["rel"], ["href"]], ignore_case=True)
 
 
 def fix_apostrophes(c: ColumnOrName) -> Column:
@@ -98,8 +144,10 @@ SLANG_GROUPS = _slang_groups()
 
 
 def normalize_slang(c: ColumnOrName) -> Column:
-    """Lower-case, then the slang table."""
-    return _chain(F.lower(_c(c)), SLANG_GROUPS)
+    """Lower-case, then the slang table.  Groups whose keys are all
+    literals are skipped for texts containing none of them."""
+    needles = [_literals(pat[len(r"\b(?:"):-len(r")\b")]) for pat, _ in SLANG_GROUPS]
+    return _guarded_chain(F.lower(_c(c)), SLANG_GROUPS, needles)
 
 
 def repeated_chars(c: ColumnOrName) -> Column:

@@ -115,20 +115,27 @@ def length_histogram(df: DataFrame, length_col: str = "length", by: Sequence[str
                      bins: int = 49) -> DataFrame:
     """A5: shared edges ``linspace(0, max, bins + 1)``, density per group.
 
-    The global maximum is one scalar aggregate (a bounded driver value);
-    every row then finds its bin arithmetically — no join, no sort.
+    Rows are first counted per exact length (partial aggregation; the
+    result has at most #groups x #distinct lengths rows), and the global
+    maximum, bins and densities are derived from that small table, so the
+    input is read once and nothing goes through the driver.
     """
     by = list(by)
-    mx = df.agg(F.max(length_col)).first()[0] or 0
-    width = mx / bins if mx else 1.0
-    b = F.least(F.floor(F.col(length_col) * F.lit(float(bins)) / F.lit(float(mx or 1))) + 1,
+    per_len = df.groupBy(*by, length_col).agg(F.count("*").alias("__n"))
+    mx = F.max(length_col).over(Window.partitionBy())            # over the small table
+    t = per_len.withColumn("__mx", mx.cast("double"))
+    width = F.when(F.col("__mx") > 0, F.col("__mx") / F.lit(float(bins))).otherwise(F.lit(1.0))
+    b = F.least(F.floor(F.col(length_col) * F.lit(float(bins))
+                        / F.when(F.col("__mx") > 0, F.col("__mx")).otherwise(F.lit(1.0))) + 1,
                 F.lit(bins)).cast("int")
-    counts = df.groupBy(*by, b.alias("bin")).agg(F.count("*").alias("n"))
+    counts = (t.groupBy(*by, b.alias("bin"))
+              .agg(F.sum("__n").alias("n"), F.first(width).alias("__width")))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
     return (counts
-            .withColumn("lo", (F.col("bin") - 1) * F.lit(width))
-            .withColumn("hi", F.col("bin") * F.lit(width))
-            .withColumn("density", F.col("n") / (F.sum("n").over(w) * F.lit(width))))
+            .withColumn("lo", (F.col("bin") - 1) * F.col("__width"))
+            .withColumn("hi", F.col("bin") * F.col("__width"))
+            .withColumn("density", F.col("n") / (F.sum("n").over(w) * F.col("__width")))
+            .drop("__width"))
 
 
 def length_stats(df: DataFrame, length_col: str = "length", by: Sequence[str] = ("split",)
