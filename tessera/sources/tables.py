@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import terms
 from ..functions.arrays import argmax, to_double_array
-from ..functions.text import word_count, words
+from ..functions.regex import NOT_WS, WS
+from ..functions.text import word_count
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -39,7 +40,11 @@ def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """noisy(id, text, label): first 12 words of ASCII English documents + a tail."""
     d = table(spark, sf_dir, "documents")
     d = d.filter((F.col("lang") == "en") & (F.octet_length("text") == F.length("text")))
-    head = F.array_join(F.slice(words("text"), 1, 12), " ")
+    # First 12 whitespace-separated words joined by single spaces.  An
+    # anchored regex stops after the 12th word instead of splitting the
+    # whole document into words.
+    grab = F.regexp_extract("text", f"^{WS}*((?:{NOT_WS}+(?:{WS}+|$)){{1,12}})", 1)
+    head = F.regexp_replace(F.regexp_replace(grab, WS + "+", " "), " $", "")
     tails = F.array(*[F.lit(t) for t in NOISY_TAILS])
     tail = F.element_at(tails, (F.col("doc_id") % len(NOISY_TAILS) + 1).cast("int"))
     text = F.when(tail == "", head).otherwise(F.concat_ws(" ", head, tail))
