@@ -73,27 +73,42 @@ def _guarded_chain(c: Column, rules, needles, ignore_case: bool = False) -> Colu
 
     ``needles[i]`` lists substrings one of which every match of rule i
     contains (None: always run).  A substring test is far cheaper than a
-    regex pass; each intermediate is bound once (:func:`let`).  For
-    case-insensitive rules the needles are tested on the lower-cased value.
-    """
-    for (pat, rep), need in zip(rules, needles):
-        rx, rp = java(pat, ignore_case), java_repl(rep)
-        if not need:
-            c = F.regexp_replace(c, rx, rp)
-            continue
-
-        c = let(c, _guard_step(rx, rp, need, ignore_case))
-    return c
-
+    regex pass; each intermediate is bound once (:func:`let`).
 
-def _guard_step(rx: str, rp: str, need: list[str], ignore_case: bool):
+    Case-sensitive rules test the current value.  Case-insensitive rules
+    test one lower-cased copy of the chain's *input*: their replacements
+    only insert spaces or join a bigram with '_', which cannot create a
+    needle that was not already there.
+    """
+    def run(src: Column, low: Column | None) -> Column:
+        v = src
+        for (pat, rep), need in zip(rules, needles):
+            rx, rp = java(pat, ignore_case), java_repl(rep)
+            if not need:
+                v = F.regexp_replace(v, rx, rp)
+            elif ignore_case:
+                v = let(v, _guard_step(rx, rp, need, low))
+            else:
+                v = let(v, _guard_step(rx, rp, need, None))
+        return v
+
+    if ignore_case:
+        return let(c, lambda src: let(F.lower(src), lambda low: run(src, low)))
+    return run(c, None)
+
+
+def _any_contains(hay: Column, need: list[str]) -> Column:
+    hit = None
+    for n in need:
+        t = hay.contains(n)
+        hit = t if hit is None else hit | t
+    return hit
+
+
+def _guard_step(rx: str, rp: str, need: list[str], hay: Column | None):
     def step(v: Column) -> Column:
-        hay = F.lower(v) if ignore_case else v
-        hit = None
-        for n in need:
-            t = hay.contains(n)
-            hit = t if hit is None else hit | t
-        return F.when(hit, F.regexp_replace(v, rx, rp)).otherwise(v)
+        h = v if hay is None else hay
+        return F.when(_any_contains(h, need), F.regexp_replace(v, rx, rp)).otherwise(v)
     return step
 
 
@@ -263,14 +278,22 @@ def decode_entities(c: ColumnOrName) -> Column:
 
 def html_to_text(c: ColumnOrName) -> Column:
     """Drop comments, declarations, script/style/template bodies; tags -> ' ';
-    decode character references.  Text nodes end up separated by spaces."""
-    out = _c(c)
-    for pat, rep in HTML_STEPS:
-        out = F.regexp_replace(out, pat, rep)
-    return decode_entities(out)
+    decode character references.  Text nodes end up separated by spaces.
+
+    Texts without '<' skip the markup passes, texts without '&' the
+    entity decoding (both are exact: no rule can match otherwise).
+    """
+    def markup(v: Column) -> Column:
+        out = v
+        for pat, rep in HTML_STEPS:
+            out = F.regexp_replace(out, pat, rep)
+        return F.when(v.contains("<"), out).otherwise(v)
+
+    def entities(v: Column) -> Column:
+        return F.when(v.contains("&"), decode_entities(v)).otherwise(v)
 
+    return let(let(_c(c), markup), entities)
 
-# ------------------------------------------------- context window
 
 def _strip_word(w: Column) -> Column:
     """lower(w) with ``.,!?;:`` removed from both ends (Python ``str.strip``)."""
