@@ -225,19 +225,20 @@ SELECT page_id, html_text AS text FROM h2
 
 
 def token_encoding(spark, d):
-    """C17: hashed token ids of the noisy texts, truncated to 8 tokens."""
+    """C17: hashed token ids of the noisy texts, truncated to 512 tokens
+    (the scoring length)."""
     from ..functions.tokens import encode
-    e = _noisy(spark, d).select("id", encode("text", max_len=8).alias("e"))
+    e = _noisy(spark, d).select("id", encode("text", max_len=512).alias("e"))
     return e.select("id", F.array_join(F.transform("e.input_ids", lambda x: x.cast("string")),
                                        " ").alias("input_ids"),
                     F.col("e.length").alias("length"))
 
 
 SQL_TOKEN_ENCODING = f"""
-SELECT id, array_to_string(list_transform({O.words('text')}[1:8], lambda w:
+SELECT id, array_to_string(list_transform({O.words('text')}[1:512], lambda w:
          CAST(1 + CAST(('0x' || substr(md5(lower(w)), 1, 8)) AS BIGINT) % 30521 AS INTEGER)), ' ')
          AS input_ids,
-       CAST(least(len({O.words('text')}), 8) AS INTEGER) AS length
+       CAST(least(len({O.words('text')}), 512) AS INTEGER) AS length
 FROM noisy
 """
 

@@ -126,11 +126,10 @@ def views() -> str:
     return f"""
 classes AS (SELECT * FROM (VALUES {classes}) t(label, name)),
 noisy AS (
-  SELECT id, CASE WHEN tail = '' THEN head ELSE head || ' ' || tail END AS text, label
-  FROM (SELECT doc_id AS id, CAST(doc_id % 6 AS INTEGER) AS label,
-               array_to_string({words('text')}[1:12], ' ') AS head,
+  SELECT id, CASE WHEN tail = '' THEN text ELSE text || ' ' || tail END AS text, label
+  FROM (SELECT doc_id AS id, CAST(doc_id % 6 AS INTEGER) AS label, text,
                {sql_list(NOISY_TAILS)}[doc_id % {len(NOISY_TAILS)} + 1] AS tail
-        FROM documents WHERE lang = 'en' AND strlen(text) = length(text))),
+        FROM documents WHERE strlen(text) = length(text))),
 preds_base AS (
   SELECT vec_id, label, CAST(embedding[1:10] AS DOUBLE[]) AS student,
          CAST(embedding[11:20] AS DOUBLE[]) AS teacher FROM embeddings),
