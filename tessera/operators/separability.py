@@ -136,20 +136,28 @@ def reduce_2d(df: DataFrame, vec_col: str, out: str = "xy", k: int = 2) -> DataF
 
 
 def best_kmeans(df: DataFrame, features: str, k: int, seeds: Sequence[int] = range(42, 52),
-                out: str = "cluster"):
+                out: str = "cluster", parallelism: int = 4):
     """KMeans with k clusters, best training cost over several seeds.
 
     The input is checkpointed once (reliable, shared dir) because each seed
-    is an iterative job over it.
+    is an iterative job over it.  Seeds run as concurrent distributed fits;
+    the winner is the lowest cost, ties going to the earlier seed.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
 
     from ..session import cut_lineage
     data = cut_lineage(df)
-    best = None
-    for s in seeds:
+
+    def fit(s):
         m = KMeans(k=k, seed=s, featuresCol=features, predictionCol=out).fit(data)
-        cost = m.summary.trainingCost
+        return m.summary.trainingCost, m
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(fit, list(seeds)))
+    best = None
+    for cost, m in results:                 # in seed order
         if best is None or cost < best[0]:
             best = (cost, m)
     return best[1].transform(data), best[0]

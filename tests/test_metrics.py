@@ -129,3 +129,17 @@ def test_latency_stats(spark):
     r = evaluate.latency_stats(df).first()
     assert r.total_time == pytest.approx(1.2)
     assert r.time_per_sample_std == pytest.approx(np.std([0.1, 0.2, 0.3, 0.6]))
+
+
+def test_kmeans_separability_recovers_separated_clusters(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for lab in range(3):
+        centre = np.zeros(8)
+        centre[lab] = 50.0
+        for _ in range(40):
+            rows.append((lab, (centre + rng.normal(size=8)).tolist()))
+    df = spark.createDataFrame(rows, "label INT, embedding ARRAY<DOUBLE>")
+    r = separability.kmeans_separability(df, "embedding", "label", n_starts=3).first()
+    assert r.k == 3
+    assert r.ari == pytest.approx(1.0) and r.ami == pytest.approx(1.0)
