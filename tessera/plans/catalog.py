@@ -804,6 +804,18 @@ def batch_scoring(spark, d):
                       F.element_at(lab, argmax("logits") + 1).alias("y_pred"))
 
 
+SQL_BATCH_SCORING = """
+WITH x AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, embedding
+           FROM embeddings),
+xv AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS v FROM x),
+c AS (SELECT label AS cl, i, avg(v) AS m FROM xv GROUP BY label, i),
+d AS (SELECT xv.vec_id, xv.label AS y_true, c.cl, sum((xv.v - c.m) * (xv.v - c.m)) AS dist
+      FROM xv JOIN c ON xv.i = c.i GROUP BY xv.vec_id, xv.label, c.cl),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cl) AS rn FROM d)
+SELECT vec_id, y_true, cl AS y_pred FROM r WHERE rn = 1
+"""
+
+
 # ============================================================ log store
 
 LOG_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -916,7 +928,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "weighted_classifier": (weighted_classifier, None),
     "random_search": (random_search, None),
     "inference_report": (inference_report, None),
-    "batch_scoring": (batch_scoring, None),
+    "batch_scoring": (batch_scoring, SQL_BATCH_SCORING),
 }
 
 # Flagged single-rule cleaners on the noisy view: SQL from the same rules.
