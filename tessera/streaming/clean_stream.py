@@ -50,3 +50,18 @@ def run_clean_stream(spark: SparkSession, src_dir: str, schema: str, out_dir: st
 def with_ingest_time(stream: DataFrame) -> DataFrame:
     """Tag each micro-batch row with its processing time (for audits)."""
     return stream.withColumn("ingested_at", F.current_timestamp())
+
+
+def run_score_stream(spark: SparkSession, model, src_dir: str, schema: str, out_dir: str,
+                     name: str = "score_stream", keep=("id",), fmt: str = "parquet",
+                     text_col: str = "text") -> StreamingQuery:
+    """L3 on a stream: clean (C14) then score with a fitted PipelineModel
+    (stateless, so the batch plan runs unchanged); predictions appended."""
+    from ..operators.ml import score
+    stream = spark.readStream.schema(schema).format(fmt).load(src_dir)
+    cleaned = stream.withColumn(text_col, T.clean_sample(text_col))
+    out = score(model, cleaned, keep=list(keep), label_col=None)
+    ckpt = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
+    return (out.writeStream.format("parquet").option("path", out_dir)
+            .option("checkpointLocation", ckpt).outputMode("append")
+            .trigger(availableNow=True).start())

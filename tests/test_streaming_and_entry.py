@@ -55,3 +55,25 @@ def test_oracle_agrees(spark, name):
     assert sorted(df.columns) == sorted(ocols)
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == \
         digest(ocols, cur.fetchall())[0]
+
+
+def test_score_stream_matches_batch(spark, tmp_path):
+    from tessera.functions import text as T
+    from tessera.operators import ml
+    from tessera.streaming.clean_stream import run_score_stream
+    train = spark.createDataFrame(
+        [(i, t, lab) for i, (t, lab) in enumerate(
+            [("i am so happy today", 1), ("what a joy this is", 1), ("so sad and blue", 0),
+             ("i feel sad today", 0), ("happy happy joy", 1), ("tears and sadness", 0)] * 3)],
+        "id INT, text STRING, label INT")
+    model = ml.weighted_classifier(train, max_iter=10)
+    src = tmp_path / "in"
+    new = spark.createDataFrame([(100, "soooo happy"), (101, "very sad")], "id INT, text STRING")
+    new.write.parquet(str(src))
+    q = run_score_stream(spark, model, str(src), "id INT, text STRING", str(tmp_path / "out"),
+                         name="score_test")
+    q.awaitTermination(180)
+    got = sorted((r.id, r.y_pred) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    batch = ml.score(model, new.withColumn("text", T.clean_sample("text")), keep=["id"],
+                     label_col=None)
+    assert got == sorted((r.id, r.y_pred) for r in batch.collect())
