@@ -133,3 +133,21 @@ def metrics_long(metrics: DataFrame, by: Sequence[str] = ("model",),
 def curves_long(log: DataFrame, keys: Sequence[str], series: Sequence[str]) -> DataFrame:
     """Training curves in long form (keys..., series, value)."""
     return log.unpivot(list(keys), list(series), "series", "value")
+
+
+def pair_models(pretrained: DataFrame, finetuned: DataFrame, key: str = "model") -> DataFrame:
+    """Pair per-model results of the two model types by key.
+
+    Full outer join on the key; a model present on one side only fails the
+    job (unequal pairings are an error).  The check sits in the key column
+    itself, so column pruning cannot drop it.
+    """
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in df.columns if c != key]
+        return df.select(key, F.struct(*rest).alias(name))
+    j = packed(pretrained, "pretrained").join(packed(finetuned, "finetuned"), key, "full_outer")
+    unpaired = F.col("pretrained").isNull() | F.col("finetuned").isNull()
+    checked = F.when(unpaired, F.raise_error(F.concat(F.lit("unpaired model: "),
+                                                      F.col(key).cast("string"))))
+    return j.select(F.coalesce(checked.cast(j.schema[key].dataType), F.col(key)).alias(key),
+                    "pretrained", "finetuned")
