@@ -87,3 +87,30 @@ def strings(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Arra
     off = offsets.astype(np.int64 if large else np.int32)
     return pa.Array.from_buffers(kind, len(off) - 1,
                                  [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+#: Rows of a lookup table up to which it is sent to every executor; beyond it both sides are dealt out.
+LOOKUP_ROWS = 100_000
+#: Parts that the rows of one key are dealt to in that case.
+SALTS = 32
+
+
+def join_lookup(big: DataFrame, lookup: DataFrame, key: str, rows: int = LOOKUP_ROWS) -> DataFrame:
+    """``big`` with the columns of ``lookup`` (one row per key), left join.
+
+    The lookup's size is counted: up to ``rows`` it is broadcast, and beyond that the rows of
+    a key are salted, so a key with a third of all rows is not one task."""
+    if lookup.count() <= rows:
+        return big.join(F.broadcast(lookup), key, "left")
+    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (big.withColumn("_salt", F.floor(F.rand(SALTS) * SALTS).cast("int"))
+            .join(salted, [key, "_salt"], "left").drop("_salt"))
+
+
+BLANKS = "\x20\t\n\x0b\f\r"
+
+
+def word_list(text: Column) -> Column:
+    """The words of a text that is not null."""
+    inner = F.btrim(text, F.lit(BLANKS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACES))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sentencepiece_codec
+from . import host_rules, mix_sources, sentencepiece_codec, simhash_pivots
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,25 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document and the verdict with its host's."""
+    return host_rules.judge(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mix_sources.mix(read(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sentencepiece,)}
+    return {f.__name__: f for f in (
+        op1_sentencepiece, op4_quality_rules, op5_mix_sources, op8_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
