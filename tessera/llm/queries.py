@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import host_rules, mix_sources, sentencepiece_codec, simhash_pivots
+from . import (host_rules, html_consensus, mix_sources, sentencepiece_codec, simhash_pivots, topk_nra,
+               toxicity_bags)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every 50th vector."""
+    return topk_nra.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document and the verdict with its host's."""
     return host_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -30,14 +37,26 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_consensus.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_pivots.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity_bags.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_sentencepiece, op4_quality_rules, op5_mix_sources, op8_simhash)}
+        op1_sentencepiece, op2_topk_search, op4_quality_rules, op5_mix_sources, op7_html_text, op8_simhash,
+        op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
