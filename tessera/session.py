@@ -47,7 +47,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Fill in missing job settings on an existing session."""
+    """Fill in missing job settings on an existing session, and let Python workers
+    import this package from where the driver has it (a cluster ships it)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
     for k, v in DEFAULT_CONF.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
