@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (host_rules, html_consensus, mix_sources, sentencepiece_codec, simhash_pivots, topk_nra,
-               toxicity_bags)
+from . import (host_rules, html_consensus, kn_quality, mix_sources, sentencepiece_codec,
+               simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.mix(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document."""
+    return kn_quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -55,8 +60,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_sentencepiece, op2_topk_search, op4_quality_rules, op5_mix_sources, op7_html_text, op8_simhash,
-        op9_toxicity)}
+        op1_sentencepiece, op2_topk_search, op4_quality_rules, op5_mix_sources,
+        op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
