@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (host_rules, html_consensus, kn_quality, mix_sources, sentencepiece_codec,
-               simhash_pivots, topk_nra, toxicity_bags)
+from . import (host_rules, html_consensus, kn_quality, license_digests, mix_sources,
+               sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,11 +58,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_bags.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest, licence and quoted notices of every document."""
+    return license_digests.scan(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op4_quality_rules, op5_mix_sources,
-        op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity)}
+        op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_license_scan": license_digests.oracle_sql()}
