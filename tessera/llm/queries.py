@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (host_rules, html_consensus, kn_quality, license_digests, mix_sources,
+from . import (host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
                sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
@@ -26,6 +26,11 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_nra.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii_boost.detect(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document and the verdict with its host's."""
     return host_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -65,7 +70,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_sentencepiece, op2_topk_search, op4_quality_rules, op5_mix_sources,
+        op1_sentencepiece, op2_topk_search, op3_pii, op4_quality_rules, op5_mix_sources,
         op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan)}
 
 
