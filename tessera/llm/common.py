@@ -114,3 +114,13 @@ def word_list(text: Column) -> Column:
     """The words of a text that is not null."""
     inner = F.btrim(text, F.lit(BLANKS))
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACES))
+
+
+def hide(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses inside, and the new name of each column."""
+    names = {c: f"d_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restore(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(hidden).alias(c) for c, hidden in names.items()])

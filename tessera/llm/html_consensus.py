@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, join_lookup, steps
+from .common import cut, hide, join_lookup, restore, steps
 
 #: Share of a host's votes from which on a path wins.
 WINNING_SHARE = 0.1
@@ -261,18 +261,19 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", out: str =
               paths: DataFrame | None = None) -> DataFrame:
     """``pages`` without ``html``, with the main text of each page."""
     paths = cut(host_paths(pages, html, url)) if paths is None else paths
-    pages = pages.drop(*[out] if out != html else [])
-    kept = [f for f in pages.schema.fields if f.name != html]
+    pages, names = hide(pages.drop(*[out] if out not in (html, url) else []))
+    html, url = names.pop(html), names[url]
     joined = join_lookup(_hosted(pages, url), paths, "_host").drop("_host")
-    schema = T.StructType([*kept, T.StructField(out, T.StringType())])
-    names = [f.name for f in schema.fields]
+    kept = [f for f in pages.schema.fields if f.name != html]
+    schema = T.StructType([*kept, T.StructField("_text", T.StringType())])
+    fields = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, html):
             have = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             texts = [extract(blocks(page), won or [])
                      for page, won in zip(have[html].to_pylist(), have["paths"].to_pylist(), strict=True)]
-            have[out] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([have[n] for n in names], names=names)
+            have["_text"] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([have[n] for n in fields], names=fields)
 
-    return joined.mapInArrow(run, schema)
+    return restore(joined.mapInArrow(run, schema), names | {out: "_text"})

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, gather, join_lookup, steps, text_bytes, whole
+from .common import cut, gather, hide, join_lookup, restore, steps, text_bytes, whole
 
 ORDER = 5
 BITS = 12
@@ -222,7 +222,9 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
                                  F.col("_keep").alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
+              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    scored = cut(perplexity(with_trust(docs, labels)))
-    return decide(scored).filter("_keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    hidden, names = hide(docs)
+    scored = cut(perplexity(with_trust(hidden, labels, names[doc_id]), names[text]))
+    return restore(decide(scored, names[lang]).filter("_keep"), names)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, join_lookup, whole, word_list
+from .common import cut, hide, join_lookup, restore, whole, word_list
 
 SHARES = (5, 2, 1)
 TOTAL = 1.5
@@ -129,9 +129,12 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
 def repeat(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
            weight: Column | None = None) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its epochs say."""
-    keyed = _keyed(docs, text, source, doc_id, weight)
+    """``docs`` as the mix takes them: each row as often as its epochs say.
+
+    A ``weight`` of one's own is a column expression that does not name columns of ``docs``."""
+    hidden, names = hide(docs)
+    keyed = _keyed(hidden, names[text], names[source], names[doc_id], weight)
     found = cut(plan(cut(keyed.select("_id", "_source", "_size", "_key"))))
     done = join_lookup(keyed, found.drop("source_size", "target"), "_source")
     times = F.array_repeat(F.lit(0), _epochs().cast("int"))
-    return done.withColumn("_time", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(done.withColumn("_time", F.explode(times)), names)

@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, whole
+from .common import cut, hide, restore, whole
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 4000
@@ -300,15 +300,20 @@ def _written(spans: Column) -> Column:
 
 def detect(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without ``text``, with the base counts, base_sha256 and spans."""
-    found = _with_spans(docs, text, rows)
+    hidden, names = hide(docs)
+    found = _with_spans(hidden, names[text], rows)
     count = lambda k: F.size(F.filter("_base", lambda x: x.kind == k)).cast("long")
-    return found.withColumns({**{f"n_{k}": count(k) for k in KINDS},
-                              "base_sha256": F.sha2(_written(F.col("_base")).cast("binary"), 256),
-                              "spans": _written(F.col("_all"))}).drop("_base", "_all", text)
+    new = {**{f"n_{k}": count(k) for k in KINDS},
+           "base_sha256": F.sha2(_written(F.col("_base")).cast("binary"), 256), "spans": _written(F.col("_all"))}
+    return found.select(*[F.col(h).alias(c) for c, h in names.items() if c != text and c not in new],
+                        *[x.alias(c) for c, x in new.items()])
 
 
 def redact(docs: DataFrame, text: str = "text", chars: str | None = None, rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` with every span replaced by ``<KIND>``, and the length in ``chars`` if named."""
+    kinds = dict(docs.dtypes)
+    docs, names = hide(docs)
+    text = names[text]
     found = _with_spans(docs, text, rows)
     t = whole(text)
     by_place = F.array_sort(F.transform("_all", lambda x: F.struct(x.at.alias("at"), x.to.alias("to"), x.kind.alias("kind"))))
@@ -325,5 +330,5 @@ def redact(docs: DataFrame, text: str = "text", chars: str | None = None, rows:
         F.substring(t, F.element_at(m, -1).to + 1, F.length(t))))
     found = found.withColumn(text, F.when(F.size("_all") > 0, clean).otherwise(F.col(text)))
     if chars:
-        found = found.withColumn(chars, F.length(text).cast(dict(docs.dtypes)[chars]))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+        found = found.withColumn(names[chars], F.length(text).cast(kinds[chars]))
+    return restore(found, names)

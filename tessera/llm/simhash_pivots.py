@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, steps
+from .common import cut, hide, restore, steps
 
 SEED = 42
 BLOCK_BITS = 2
@@ -195,6 +195,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
              max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each component, the one of the smallest id (rows without
     an id come last; of equal ids in a component one row stays)."""
+    docs, names = hide(docs)
+    text, doc_id = names[text], names[doc_id]
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = cut(fingerprints(narrow, "text", shingle))
     labels = _labels(marked, max_bits)
@@ -209,9 +211,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
     # rows whose id is null or not unique: few; of each, one row per component stays
     again = several.select(F.col("doc_id").alias("_id"))
     rows = docs.join(again, docs[doc_id].eqNullSafe(F.col("_id")), "left_semi")
-    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
-                         F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    packed = rows.select(F.struct(*rows.columns).alias("row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     packed = fingerprints(packed, "text", shingle).join(labels, "fp")
     packed = (packed.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
               .groupBy("root").agg(F.min("row").alias("row")))
-    return kept.unionByName(packed.select("row.*"))
+    return restore(kept.unionByName(packed.select("row.*")), names)
