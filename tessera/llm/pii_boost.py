@@ -36,7 +36,7 @@ from .common import cut, hide, restore, whole
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 4000
-TREES = 12
+TREES = 8
 DEPTH = 4
 PRECISION = 0.99
 SEED = 42
@@ -258,7 +258,7 @@ def fit(spark: SparkSession, rows: int = TRAIN_ROWS):
     made = training_rows(spark, rows)
     found = made.withColumn("c", F.explode(candidates(F.col("text")))).filter("c.kind = kind").select(
         "kind", "label", "part", F.col("c.f").alias("f"))
-    found = cut(found.withColumn("features", array_to_vector("f")))   # ``rows`` rows about
+    found = cut(found.withColumn("features", array_to_vector("f")).coalesce(2))   # ``rows`` rows about
     model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
                           checkpointInterval=-1).fit(found.filter("part > 0").withColumn("label", F.col("label").cast("double")))
     trees = _trees(model)

@@ -38,7 +38,8 @@ BUCKETS = 1 << 16
 DIMENSIONS = 4
 #: Lengths of the character n-grams.
 GRAMS = (3, 4, 5, 6)
-EPOCHS = 12
+#: Steps of the training; small samples are gone over oftener.
+STEPS = 600
 BATCH = 100
 RATE = 0.02
 #: Documents are means over many words; this brings them to the scale of a unit.
@@ -148,9 +149,10 @@ def train(docs: list[tuple[list[str], list[int]]], labels: np.ndarray) -> Model:
          rng.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32),
          np.log(np.array([1 - share, share], np.float32))]
     m, v, step = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p], 0
-    for epoch in range(EPOCHS):
+    epochs = -(-STEPS * BATCH // len(docs))
+    for epoch in range(epochs):
         order = rng.permutation(len(docs))
-        rate = RATE * (1 - epoch / EPOCHS)
+        rate = RATE * (1 - epoch / epochs)
         for k in range(0, len(order), BATCH):
             chosen = order[k:k + BATCH]
             at = np.concatenate([bags[i][0] for i in chosen])
