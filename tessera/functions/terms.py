@@ -208,6 +208,16 @@ CONTRACTIONS = {
     "y'all": "you all",
     "you'd": "you would", "you'll": "you will", "you're": "you are",
     "youre": "you are", "you've": "you have", "youve": "you have",
+    # forms of several parts
+    "couldn't've": "could not have", "hadn't've": "had not have", "he'd've": "he would have",
+    "i'd've": "i would have", "i'll've": "i will have", "it'd've": "it would have",
+    "mightn't've": "might not have", "mustn't've": "must not have", "she'd've": "she would have",
+    "shouldn't've": "should not have", "they'd've": "they would have", "we'd've": "we would have",
+    "who'd've": "who would have", "won't've": "will not have", "wouldn't've": "would not have",
+    "y'all're": "you all are", "y'all've": "you all have", "you'd've": "you would have",
+    # informal forms
+    "gimme": "give me", "gonna": "going to", "gotta": "got to", "kinda": "kind of", "lemme": "let me",
+    "outta": "out of", "sorta": "sort of", "wanna": "want to",
 }
 
 # Model names of the derived prediction fixture, in order (our own).

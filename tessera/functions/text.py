@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def words(c: ColumnOrName) -> Column:
 
 
 def word_count(c: ColumnOrName) -> Column:
-    """``len(text.split())`` without materialising the word array."""
+    """``len(text.split())``: the number of runs of anything but white space."""
     return F.regexp_count(_c(c), F.lit(NOT_WS + "+"))
 
 
@@ -62,12 +63,6 @@ def _chain(c: Column, rules, ignore_case: bool = False) -> Column:
     return c
 
 
-def _literals(pattern_keys: str) -> list[str] | None:
-    """Plain literal alternatives of a rule (None if any is a real regex)."""
-    keys = pattern_keys.split("|")
-    return keys if all(re.fullmatch(r"[a-z0-9_.]+", k) for k in keys) else None
-
-
 def _guarded_chain(c: Column, rules, needles, ignore_case: bool = False) -> Column:
     """Ordered regex rules, each skipped when its text cannot match.
 
@@ -142,27 +137,37 @@ def fix_apostrophes(c: ColumnOrName) -> Column:
     return _chain(F.lower(_c(c)), terms.APOSTROPHE_FIXES)
 
 
-def _slang_groups():
-    """Rules sharing a phrase become one alternation (order of first use).
+#: A word run, and a word with inner apostrophes, with Python's Unicode word characters.
+WORD_RUN = r"\w+"
+WORD_WITH_APOSTROPHES = r"'?\w+(?:'\w+)*"
 
-    Safe because no phrase contains another rule's key as a whole word,
-    except 'b c' whose group ('because') comes before 'c' anyway.
-    """
-    groups: dict[str, list[str]] = {}
-    for pat, phrase in terms.SLANG:
-        assert pat.startswith(r"\b") and pat.endswith(r"\b"), pat
-        groups.setdefault(phrase, []).append(pat[2:-2])
-    return [(r"\b(?:" + "|".join(keys) + r")\b", phrase) for phrase, keys in groups.items()]
+
+def _map_words(c: Column, pattern: str, one: Callable[[Column], Column]) -> Column:
+    """Replace each match of ``pattern`` by ``one(match)``; what stands between stays."""
+    def body(t: Column) -> Column:
+        between = F.split(t, java(pattern), -1)
+        found = F.transform(F.regexp_extract_all(t, F.lit(java(pattern)), F.lit(0)), one)
+        return F.array_join(F.zip_with(between, found, lambda s, w: F.concat(s, F.coalesce(w, F.lit("")))), "")
+    return let(c, body)
+
+
+def _slang_words() -> dict[str, str]:
+    """The slang rules whose key is one word.  No phrase contains a key as a whole
+    word, so one pass over the words equals the ordered rules."""
+    return {pat[2:-2]: phrase for pat, phrase in terms.SLANG if re.fullmatch(r"\\b\w+\\b", pat)}
 
 
-SLANG_GROUPS = _slang_groups()
+#: Slang rules of several words, which go first (their parts are keys as well).
+SLANG_PAIRS = tuple((pat, phrase) for pat, phrase in terms.SLANG if not re.fullmatch(r"\\b\w+\\b", pat))
+SLANG_WORDS = _slang_words()
 
 
 def normalize_slang(c: ColumnOrName) -> Column:
-    """Lower-case, then the slang table.  Groups whose keys are all
-    literals are skipped for texts containing none of them."""
-    needles = [_literals(pat[len(r"\b(?:"):-len(r")\b")]) for pat, _ in SLANG_GROUPS]
-    return _guarded_chain(F.lower(_c(c)), SLANG_GROUPS, needles)
+    """Lower-case, then the slang table: pairs first, then one pass over the words
+    with a hash-set test."""
+    table = _literal_map(SLANG_WORDS)
+    return _map_words(_chain(F.lower(_c(c)), SLANG_PAIRS), WORD_RUN, lambda w: F.when(
+        w.isin(*SLANG_WORDS), F.try_element_at(table, w)).otherwise(w))
 
 
 def repeated_chars(c: ColumnOrName) -> Column:
@@ -174,36 +179,30 @@ def _literal_map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
-_EDGE = r"^[^\w']+|[^\w']+$"
-
-
 def expand_contractions(c: ColumnOrName, mapping: Column | None = None) -> Column:
-    """C11: dictionary expansion per space-separated token.
-
-    Punctuation around a token is kept; a capitalised token keeps its
-    capital.  Splitting and re-joining on single spaces is lossless.
-    """
+    """C11: dictionary expansion of every word (a run of word characters with inner
+    apostrophes), whatever separates the words; a capitalised word keeps its capital."""
     if mapping is None:
         m, keys = _literal_map(terms.CONTRACTIONS), list(terms.CONTRACTIONS)
     else:
         m, keys = mapping, None
 
-    def one(tok: Column) -> Column:
-        def with_core(core: Column) -> Column:
-            def with_rep(rep: Column) -> Column:
-                cased = F.when(core.substr(1, 1) != F.lower(core.substr(1, 1)),
-                               F.concat(F.upper(rep.substr(1, 1)),
-                                        rep.substr(F.lit(2), F.length(rep)))).otherwise(rep)
-                pre = F.regexp_extract(tok, java(r"^([^\w']*)"), 1)
-                post = F.regexp_extract(tok, java(r"([^\w']*)$"), 1)
-                return F.when(rep.isNull(), tok).otherwise(F.concat(pre, cased, post))
-            key = F.lower(core)
-            # Hash-set test first; the map is probed only for real keys.
-            probe = F.try_element_at(m, key)
-            return let(probe if keys is None else F.when(key.isin(*keys), probe), with_rep)
-        return let(F.regexp_replace(tok, java(_EDGE), ""), with_core)
+    def lookup(key: Column) -> Column:
+        # Hash-set test first; the map is probed only for real keys.
+        found = F.try_element_at(m, key)
+        return found if keys is None else F.when(key.isin(*keys), found)
+
+    def one(word: Column) -> Column:
+        def cased(core: Column) -> Callable[[Column], Column]:
+            return lambda rep: F.when(core.substr(1, 1) != F.lower(core.substr(1, 1)), F.concat(
+                F.upper(rep.substr(1, 1)), rep.substr(F.lit(2), F.length(rep)))).otherwise(rep)
+
+        bare = F.substring(word, 2, 1 << 30)
+        return F.coalesce(
+            let(lookup(F.lower(word)), cased(word)),
+            F.when(word.startswith("'"), F.concat(F.lit("'"), let(lookup(F.lower(bare)), cased(bare)))), word)
 
-    return F.array_join(F.transform(F.split(_c(c), " "), one), " ")
+    return _map_words(_c(c), WORD_WITH_APOSTROPHES, one)
 
 
 def fix_constructions(c: ColumnOrName) -> Column:
@@ -213,22 +212,12 @@ def fix_constructions(c: ColumnOrName) -> Column:
 
 # ------------------------------------------------------------ markup
 
-# Named character references decoded by html_to_text (HTML standard names;
-# our own selection of the common ones).  Numeric references are decoded
-# by rule.
-HTML_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "copy": "©", "reg": "®", "trade": "™", "hellip": "…",
-    "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’",
-    "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
-    "middot": "·", "bull": "•", "euro": "€", "pound": "£",
-    "yen": "¥", "cent": "¢", "sect": "§", "deg": "°",
-    "times": "×", "divide": "÷", "eacute": "é", "egrave": "è",
-    "ecirc": "ê", "agrave": "à", "aacute": "á", "acirc": "â",
-    "ccedil": "ç", "ouml": "ö", "auml": "ä", "uuml": "ü",
-    "szlig": "ß", "ntilde": "ñ", "iacute": "í", "oacute": "ó",
-    "uacute": "ú",
-}
+# Named character references of the HTML standard, from the standard library's table:
+# names that end in ";", and the older ones that are also read without it.
+HTML_ENTITIES = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+HTML_LEGACY = {k: v for k, v in html5.items() if not k.endswith(";")}
+# Numeric references 128 to 159 stand for Windows-1252 characters.
+HTML_C1 = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
 # Regex chain of the markup rule, in order (pattern, replacement); written
 # in a syntax Java and RE2 both accept.
@@ -239,34 +228,52 @@ HTML_STEPS = (
     (r"(?is)<template\b[^>]*>.*?</template\s*>", " "),
     (r"<![^>]*>", " "),
     (r"<\?[^>]*>", " "),
+    # a tag ends at the first ">" outside quotes; an unclosed quote ends at the first one
+    (r"</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", " "),
     (r"</?[A-Za-z][^>]*>", " "),
 )
-ENTITY_RE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+NUMERIC_RE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+)"
+NAMED_RE = r"^([A-Za-z][A-Za-z0-9]*);"
+LEGACY_RE = "^(" + "|".join(sorted(HTML_LEGACY, key=lambda k: (-len(k), k))) + ")"
 
 
 def _code_point(n: Column) -> Column:
-    """Integer code point -> one-character string (U+FFFD if invalid)."""
+    """Integer code point -> one-character string (U+FFFD if there is none)."""
     valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
     ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return F.when(valid, ch).otherwise(F.lit("�"))
+    old = F.try_element_at(_literal_map(HTML_C1), n.cast("int"))
+    return F.when(n.between(128, 159), F.coalesce(old, ch)).when(valid, ch).otherwise(F.lit("�"))
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode ``&name;``, ``&#NNN;`` and ``&#xHH;`` references."""
-    entity_map = _literal_map(HTML_ENTITIES)
+    """Decode ``&name;``, the older names without ``;``, ``&#NNN`` and ``&#xHH`` references."""
+    named_map, legacy_map = _literal_map(HTML_ENTITIES), _literal_map(HTML_LEGACY)
+
+    def after(p: Column, ref: Column) -> Column:
+        """What follows a reference, without its semicolon."""
+        return F.regexp_replace(F.substring(p, F.length(ref) + 1, 1 << 30), "^;", "")
+
+    def numeric(p: Column) -> Callable[[Column], Column]:
+        def of(ref: Column) -> Column:
+            # more than 8 digits are no character
+            digits = F.ltrim(F.when(F.lower(ref.substr(1, 2)) == "#x", F.substring(ref, 3, 1 << 30)).otherwise(
+                F.substring(ref, 2, 1 << 30)), F.lit("0"))
+            number = F.when(F.length(digits) > 8, F.lit(-1).cast("bigint")).when(
+                F.lower(ref.substr(1, 2)) == "#x", F.conv(digits, 16, 10).try_cast("bigint")).otherwise(
+                digits.try_cast("bigint"))
+            return F.concat(let(F.coalesce(number, F.lit(0).cast("bigint")), _code_point), after(p, ref))
+        return of
+
+    def word(p: Column) -> Column:
+        name, old = F.regexp_extract(p, NAMED_RE, 1), F.regexp_extract(p, LEGACY_RE, 1)
+        return let(F.try_element_at(named_map, name), lambda v: F.when(
+            v.isNotNull(), F.concat(v, after(p, name))).otherwise(let(old, lambda o: F.when(
+                o != "", F.concat(F.try_element_at(legacy_map, o), F.substring(p, F.length(o) + 1, 1 << 30))
+            ).otherwise(F.concat(F.lit("&"), p)))))
 
     def piece(p: Column) -> Column:
-        def with_ref(ref: Column) -> Column:
-            rest = F.substring(p, F.length(ref) + 2, 1 << 30)
-            hexnum = F.conv(F.substring(ref, 3, 16), 16, 10).cast("bigint")
-            decnum = F.substring(ref, 2, 16).cast("bigint")
-            named = F.try_element_at(entity_map, ref)
-            return (F.when(ref == "", F.concat(F.lit("&"), p))
-                    .when(F.lower(ref.substr(1, 2)) == "#x", F.concat(_code_point(hexnum), rest))
-                    .when(ref.startswith("#"), F.concat(_code_point(decnum), rest))
-                    .when(named.isNotNull(), F.concat(named, rest))
-                    .otherwise(F.concat(F.lit("&"), p)))
-        return let(F.regexp_extract(p, ENTITY_RE, 1), with_ref)
+        return F.when(p.rlike(NUMERIC_RE), let(F.regexp_extract(p, NUMERIC_RE, 1), numeric(p))).when(
+            p.rlike("^[A-Za-z]"), word(p)).otherwise(F.concat(F.lit("&"), p))
 
     def body(parts: Column) -> Column:
         tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))

@@ -1,4 +1,4 @@
-"""Token-id encoding with truncation (C17).
+"""Token-id encoding (C17).
 
 Word tokens (Python ``str.split`` semantics, lower-cased) are mapped to ids
 by hashing, so no vocabulary is built, collected or broadcast: the id of a
@@ -23,18 +23,12 @@ def token_id(w: Column, vocab_size: int = VOCAB_SIZE) -> Column:
     return (F.lit(1) + h % F.lit(vocab_size - 1)).cast("int")
 
 
-def encode(c: ColumnOrName, max_len: int = 512, vocab_size: int = VOCAB_SIZE) -> Column:
-    """struct(input_ids, attention_mask, length): ids of the first
-    ``max_len`` words (truncation), a mask of ones, and the encoded length."""
+def encode(c: ColumnOrName, max_len: int | None = None, vocab_size: int = VOCAB_SIZE) -> Column:
+    """struct(input_ids, attention_mask, length): ids of all words, or of the first
+    ``max_len`` if the caller sets that limit, a mask of ones, and the encoded length."""
     def body(ws: Column) -> Column:
-        ids = F.transform(F.slice(ws, 1, max_len), lambda w: token_id(w, vocab_size))
+        ids = F.transform(ws if max_len is None else F.slice(ws, 1, max_len), lambda w: token_id(w, vocab_size))
         return F.struct(ids.alias("input_ids"),
                         F.transform(ids, lambda _: F.lit(1)).alias("attention_mask"),
                         F.size(ids).alias("length"))
     return let(words(_c(c)), body)
-
-
-def token_length(c: ColumnOrName, max_len: int = 512) -> Column:
-    """Encoded length = min(#words, max_len) (length function for strata, Q12)."""
-    from .text import word_count
-    return F.least(word_count(c), F.lit(max_len)).cast("int")

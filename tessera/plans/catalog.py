@@ -131,7 +131,7 @@ def _flagged(df, fn, frame=False, **kw):
 
 
 def _sql_flagged(expr: str) -> str:
-    return f"SELECT id, {expr} AS cleaned, ({expr}) <> text AS is_cleaned FROM noisy"
+    return f"SELECT id, cleaned, cleaned <> text AS is_cleaned FROM (SELECT id, text, {expr} AS cleaned FROM noisy)"
 
 
 def fix_apostrophes(spark, d):
@@ -180,9 +180,8 @@ w4 AS (SELECT *, list_transform(rm, lambda f, i: f OR (i > 1 AND i < n AND rm[i
        coalesce(list_position(list_reverse(tech), false) - 1, n) AS tail FROM w3),
 w5 AS (SELECT *, CASE WHEN tail >= 2 OR (tail = 1 AND list_contains({always}, {O.strip_word('w[n]')}))
           THEN n - tail ELSE n END AS cut FROM w4),
-w6 AS (SELECT id, text{extra}, trim(regexp_replace(regexp_replace(
-          array_to_string(list_filter(w, lambda x, i: NOT (rm2[i] OR i > cut)), ' '),
-          {S(O.re2(terms.HREF_TOKEN))}, '', 'gi'), {S(WS + '+')}, ' ', 'g')) AS out FROM w5)"""
+w5b AS (SELECT *, array_to_string(list_filter(w, lambda x, i: NOT (rm2[i] OR i > cut)), ' ') AS kept FROM w5),
+w6 AS (SELECT id, text{extra}, trim(regexp_replace({O.href_token('kept')}, {S(WS + '+')}, ' ', 'g')) AS out FROM w5b)"""
 
 
 SQL_METADATA_WINDOW = f"""
@@ -203,8 +202,9 @@ SQL_CLEAN_PIPELINE = f"""
 WITH {_sql_html_stage('noisy', 'text', 'id, text').strip()},
 p AS (SELECT id, text, {O.fuse_bigrams(O.remove_blocks(O.remove_urls('html_text')))} AS pre FROM h2),
 {_sql_window_stage('p', 'pre', 0.35)},
-t AS (SELECT id, text, {O.expand_contractions(O.normalize_slang(O.fix_apostrophes('out')))} AS t9
-      FROM w6),
+t1 AS (SELECT id, text, {O.slang_pairs(O.fix_apostrophes('out'))} AS s1 FROM w6),
+t2 AS (SELECT id, text, {O.slang_words('s1')} AS s2 FROM t1),
+t AS (SELECT id, text, {O.expand_contractions('s2')} AS t9 FROM t2),
 c AS (SELECT id, text, string_split(t9, '') AS ch FROM t),
 k AS (SELECT id, text, array_to_string(list_filter(ch, lambda x, i: NOT (i > 2 AND x = ch[i - 1]
                           AND x = ch[i - 2] AND x <> chr(10))), '') AS cleaned FROM c)
@@ -225,20 +225,19 @@ SELECT page_id, html_text AS text FROM h2
 
 
 def token_encoding(spark, d):
-    """C17: hashed token ids of the noisy texts, truncated to 512 tokens
-    (the scoring length)."""
+    """C17: hashed token ids of the whole noisy texts."""
     from ..functions.tokens import encode
-    e = _noisy(spark, d).select("id", encode("text", max_len=512).alias("e"))
+    e = _noisy(spark, d).select("id", encode("text").alias("e"))
     return e.select("id", F.array_join(F.transform("e.input_ids", lambda x: x.cast("string")),
                                        " ").alias("input_ids"),
                     F.col("e.length").alias("length"))
 
 
 SQL_TOKEN_ENCODING = f"""
-SELECT id, array_to_string(list_transform({O.words('text')}[1:512], lambda w:
+SELECT id, array_to_string(list_transform({O.words('text')}, lambda w:
          CAST(1 + CAST(('0x' || substr(md5(lower(w)), 1, 8)) AS BIGINT) % 30521 AS INTEGER)), ' ')
          AS input_ids,
-       CAST(least(len({O.words('text')}), 512) AS INTEGER) AS length
+       CAST(len({O.words('text')}) AS INTEGER) AS length
 FROM noisy
 """
 
@@ -886,7 +885,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "duplicate_report": (duplicate_report, SQL_DUPLICATE_REPORT),
     "short_text_filter": (short_text_filter, SQL_SHORT_TEXT_FILTER),
     "repeated_chars": (repeated_chars, SQL_REPEATED_CHARS),
-    "fix_apostrophes": (fix_apostrophes, O._py_repl("") or None),
+    "fix_apostrophes": (fix_apostrophes, None),
     "slang": (slang, None),
     "url_block_strip": (url_block_strip, None),
     "metadata_window": (metadata_window, SQL_METADATA_WINDOW),
@@ -933,7 +932,10 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
 
 # Flagged single-rule cleaners on the noisy view: SQL from the same rules.
 QUERIES["fix_apostrophes"] = (fix_apostrophes, _sql_flagged(O.fix_apostrophes("text")))
-QUERIES["slang"] = (slang, _sql_flagged(O.normalize_slang("text")))
+QUERIES["slang"] = (slang, f"""
+WITH p AS (SELECT id, text, {O.slang_pairs('text')} AS s FROM noisy)
+SELECT id, cleaned, cleaned <> text AS is_cleaned FROM (SELECT id, text, {O.slang_words('s')} AS cleaned FROM p)
+""")
 QUERIES["url_block_strip"] = (url_block_strip, _sql_flagged(
     O.fuse_bigrams(O.remove_blocks(O.remove_urls("text")))))
 QUERIES["contractions"] = (contractions, _sql_flagged(O.expand_contractions("text")))

@@ -36,15 +36,12 @@ NOISY_TAILS = (
 
 
 def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """noisy(id, text, label): every ASCII-only document, whole, plus a tail.
+    """noisy(id, text, label): every document, whole, plus a tail.
 
     Documents carry no markup, slang or missing apostrophes, so a tail
-    chosen by ``doc_id % 8`` adds them.  ASCII-only rows are kept so that
-    the Java (Spark) and RE2 (DuckDB oracle) regex dialects agree; the
-    whole text of each document is cleaned.
+    chosen by ``doc_id % 8`` adds them.
     """
     d = table(spark, sf_dir, "documents")
-    d = d.filter(F.octet_length("text") == F.length("text"))
     tails = F.array(*[F.lit(t) for t in NOISY_TAILS])
     tail = F.element_at(tails, (F.col("doc_id") % len(NOISY_TAILS) + 1).cast("int"))
     text = F.when(tail == "", F.col("text")).otherwise(F.concat_ws(" ", "text", tail))
@@ -63,8 +60,13 @@ def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     (a Generate, not a join).
     """
     e = table(spark, sf_dir, "embeddings")
-    student = to_double_array(F.slice("embedding", 1, 10))
-    teacher = to_double_array(F.slice("embedding", 11, 10))
+    def folded(shift: int):
+        """Ten logits: the sums of every tenth entry of the whole vector."""
+        x = to_double_array("embedding")
+        return F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.aggregate(
+            F.filter(x, lambda v, i: (i + shift) % 10 == k), F.lit(0.0), lambda a, v: a + v))
+
+    student, teacher = folded(0), folded(5)
     e = e.select("vec_id", "label", student.alias("student"), teacher.alias("teacher"))
     e = e.withColumn("model", F.explode(F.array(*[F.lit(m) for m in terms.FIXTURE_MODELS])))
     m = F.col("model")
