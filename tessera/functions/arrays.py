@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 
 def _c(c):
     return F.col(c) if isinstance(c, str) else c
@@ -19,17 +21,16 @@ def argmax(a) -> Column:
 
 
 def log_sum_exp(a) -> Column:
-    a = _c(a)
-    m = F.array_max(a)
-    return m + F.log(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    """ln(sum(exp(x))); the maximum is bound once, so the cost is linear in the classes."""
+    return let(_c(a), lambda x: let(F.array_max(x), lambda m: m + F.log(
+        F.aggregate(x, F.lit(0.0), lambda acc, v: acc + F.exp(v - m)))))
 
 
 def log_softmax(a, temperature: float = 1.0) -> Column:
     a = _c(a)
     if temperature != 1.0:
         a = F.transform(a, lambda x: x / F.lit(float(temperature)))
-    lse = log_sum_exp(a)
-    return F.transform(a, lambda x: x - lse)
+    return let(a, lambda x: let(log_sum_exp(x), lambda lse: F.transform(x, lambda v: v - lse)))
 
 
 def softmax(a, temperature: float = 1.0) -> Column:

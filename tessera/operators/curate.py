@@ -32,13 +32,22 @@ def classes_frame(spark, mapping: dict[int, str] | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------ A1
 
+def _flag_candidates(df: DataFrame, text_col: str, by: list[str]) -> DataFrame:
+    """``df`` with ``__h`` and ``__rep`` (set where the text's hash repeats within ``by``)."""
+    keyed = df.withColumn("__h", F.xxhash64(text_col))
+    repeated = (keyed.groupBy(*by, "__h").agg(F.count("*").alias("__rep")).filter("__rep > 1"))
+    same = [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in [*by, "__h"]]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return keyed.alias("a").join(repeated.alias("b"), on, "left").select("a.*", "b.__rep")
+
+
 def duplicated_texts(df: DataFrame, text_col: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """Exact set of (by..., __h, text) whose text occurs more than once."""
     by = list(by)
-    keyed = df.select(*by, F.xxhash64(text_col).alias("__h"), F.col(text_col))
-    rep_hash = (keyed.groupBy(*by, "__h").count().filter("count > 1").drop("count"))
-    cand = keyed.join(rep_hash, by + ["__h"], "left_semi")
-    return (cand.groupBy(*by, "__h", text_col).count()
+    cand = _flag_candidates(df.select(*by, text_col), text_col, by).filter("__rep IS NOT NULL")
+    return (cand.filter(F.col(text_col).isNotNull()).groupBy(*by, "__h", text_col).count()
             .filter("count > 1").drop("count"))
 
 
@@ -46,12 +55,19 @@ def drop_all_copies(df: DataFrame, text_col: str = "text", by: Sequence[str] = (
     """A1: remove every row whose text occurs more than once within ``by``.
 
     Unlike ``dropDuplicates`` no copy survives.  Nulls are kept (they are
-    not texts).
+    not texts).  The texts are dealt out once, by hash: rows whose hash is
+    single pass straight through, and only the others are grouped by text,
+    where a row comes back if its text is single after all (a collision).
+    A hot text is folded by the partial aggregate.
     """
-    by = list(by)
-    dups = duplicated_texts(df, text_col, by)
-    keyed = df.withColumn("__h", F.xxhash64(text_col))
-    return keyed.join(dups, by + ["__h", text_col], "left_anti").drop("__h")
+    by, columns = list(by), df.columns
+    flagged = _flag_candidates(df, text_col, by)
+    single = flagged.filter(F.col("__rep").isNull() | F.col(text_col).isNull())
+    others = flagged.filter(F.col("__rep").isNotNull() & F.col(text_col).isNotNull())
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    alone = (others.groupBy(*by, "__h", text_col).agg(F.count("*").alias("__n"), F.first(row).alias("__row"))
+             .filter("__n = 1"))
+    return single.select(*[F.col(f"`{c}`") for c in columns]).unionByName(alone.select("__row.*"))
 
 
 def duplicate_report(df: DataFrame, label_col: str = "label", order_col: str = "doc_id",
@@ -59,23 +75,23 @@ def duplicate_report(df: DataFrame, label_col: str = "label", order_col: str = "
                      ) -> DataFrame:
     """A2 + O4: the first ``n`` duplicated texts (by text) with their labels.
 
-    ``labels`` joins the class names of the copies with '/', each name once,
-    in order of its first copy; ``n_copies`` counts the copies.  Listing
-    distinct names keeps the group state bounded by the number of classes
-    however many copies a text has.
+    ``labels`` lists every class of the copies with its number of copies, in
+    order of first copy (``Joy:2/Sadness:1``), so each copy is counted and
+    the group state is bounded by the number of classes however many copies
+    a text has; ``n_copies`` is their sum.
     """
     classes = classes if classes is not None else classes_frame(df.sparkSession)
     top = duplicated_texts(df, text_col).orderBy(text_col).limit(n)   # <= n rows
     rows = (df.withColumn("__h", F.xxhash64(text_col))
             .join(F.broadcast(top), ["__h", text_col])
             .join(F.broadcast(classes.withColumnRenamed("label", label_col)), label_col, "left"))
-    per_label = (rows.groupBy(text_col, "name")
+    per_label = (rows.groupBy(text_col, F.coalesce("name", F.col(label_col).cast("string"), F.lit("null")).alias("name"))
                  .agg(F.min(order_col).alias("__first"), F.count("*").alias("__n")))
     return (per_label.groupBy(text_col)
-            .agg(F.array_sort(F.collect_list(F.struct("__first", "name"))).alias("__s"),
+            .agg(F.array_sort(F.collect_list(F.struct("__first", "name", "__n"))).alias("__s"),
                  F.sum("__n").alias("n_copies"))
-            .select(F.array_join(F.transform("__s", lambda s: s["name"]), "/").alias("labels"),
-                    F.col(text_col), "n_copies")
+            .select(F.array_join(F.transform("__s", lambda s: F.concat_ws(":", s["name"], s["__n"].cast("string"))), "/")
+                    .alias("labels"), F.col(text_col), "n_copies")
             .orderBy(text_col))
 
 
@@ -86,6 +102,20 @@ def filter_short_texts(df: DataFrame, min_words: int = 3, text_col: str = "text"
     return df.filter(word_count(text_col) >= min_words)
 
 
+def replace_texts(df: DataFrame, value: Column, min_words: int = 0, text_col: str = "text",
+                  length_col: str | None = None) -> DataFrame:
+    """``df`` with ``text_col`` = ``value`` where that has at least ``min_words`` words, and
+    its word count in ``length_col`` if named.
+
+    The value, its count and the test are made in one generator, so no optimizer rule
+    can evaluate the value again in a filter, let alone push it below a join.
+    """
+    made = F.transform(F.array(value), lambda t: F.struct(t.alias("__t"), word_count(t).cast("int").alias("__n")))
+    kept = df.withColumn("__x", F.explode(F.filter(made, lambda x: x["__n"] >= min_words)))
+    out = kept.withColumn(text_col, F.col("__x.__t"))
+    return (out.withColumn(length_col, F.col("__x.__n")) if length_col else out).drop("__x")
+
+
 def with_length(df: DataFrame, text_col: str = "text", out: str = "length") -> DataFrame:
     """Word-count length column (the default length function, Q12)."""
     return df.withColumn(out, word_count(text_col).cast("int"))
@@ -93,18 +123,28 @@ def with_length(df: DataFrame, text_col: str = "text", out: str = "length") -> D
 
 # ------------------------------------------------------------------ A3 / A4
 
-def class_distribution(df: DataFrame, label_col: str = "label", by: Sequence[str] = ("split",)
-                       ) -> DataFrame:
-    """A3 + W3: counts and share of each label within each ``by`` group."""
+def class_distribution(df: DataFrame, label_col: str = "label", by: Sequence[str] = ("split",),
+                       labels: Sequence | None = None) -> DataFrame:
+    """A3 + W3 + O3: counts and share of each label within each ``by`` group, in order of
+    group and class.  With ``labels`` the grid is dense: each group has a row for each of
+    them, with 0 where it has none; labels outside them stay.  The window runs over one
+    row per group and class."""
     by = list(by)
     counts = df.groupBy(*by, label_col).agg(F.count("*").alias("n"))
+    if labels is not None:
+        groups = counts.select(*by).distinct() if by else df.sparkSession.range(1).select()
+        kind = dict(df.dtypes)[label_col]
+        zero = groups.withColumn(label_col, F.explode(F.array(*[F.lit(x).cast(kind) for x in labels]))
+                                 ).withColumn("n", F.lit(0).cast("long"))
+        counts = counts.unionByName(zero).groupBy(*by, label_col).agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return counts.withColumn("proportion", F.col("n") / F.sum("n").over(w))
+    return counts.withColumn("proportion", F.try_divide(F.col("n"), F.sum("n").over(w))).orderBy(*by, label_col)
 
 
-def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """A4: weight = max class count / class count, as float32."""
-    counts = df.groupBy(label_col).agg(F.count("*").alias("n"))
+def class_weights(df: DataFrame, label_col: str = "label", labels: Sequence | None = None) -> DataFrame:
+    """A4: weight = max class count / class count, as float32; a class of ``labels`` that does
+    not occur has n = 0 and no weight.  The window runs over one row per class."""
+    counts = class_distribution(df, label_col, (), labels).drop("proportion")
     return counts.withColumn(
         "weight", F.try_divide(F.max("n").over(Window.partitionBy()), F.col("n")).cast("float"))
 
@@ -118,7 +158,8 @@ def length_histogram(df: DataFrame, length_col: str = "length", by: Sequence[str
     Rows are first counted per exact length (partial aggregation; the
     result has at most #groups x #distinct lengths rows), and the global
     maximum, bins and densities are derived from that small table, so the
-    input is read once and nothing goes through the driver.
+    input is read once and nothing goes through the driver.  Every group has
+    a row for each bin, with n = 0 where it is empty.
     """
     by = list(by)
     per_len = df.groupBy(*by, length_col).agg(F.count("*").alias("__n"))
@@ -128,8 +169,12 @@ def length_histogram(df: DataFrame, length_col: str = "length", by: Sequence[str
     b = F.least(F.floor(F.col(length_col) * F.lit(float(bins))
                         / F.when(F.col("__mx") > 0, F.col("__mx")).otherwise(F.lit(1.0))) + 1,
                 F.lit(bins)).cast("int")
-    counts = (t.groupBy(*by, b.alias("bin"))
-              .agg(F.sum("__n").alias("n"), F.first(width).alias("__width")))
+    filled = t.select(*by, b.alias("bin"), F.col("__n").alias("n"), width.alias("__width"))
+    empty = (filled.groupBy(*by).agg(F.first("__width").alias("__width")) if by
+             else filled.agg(F.first("__width").alias("__width")).filter("__width IS NOT NULL"))
+    empty = empty.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)))).withColumn("n", F.lit(0).cast("long"))
+    counts = (filled.unionByName(empty).groupBy(*by, "bin")
+              .agg(F.sum("n").alias("n"), F.first("__width").alias("__width")))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
     return (counts
             .withColumn("lo", (F.col("bin") - 1) * F.col("__width"))
@@ -177,25 +222,36 @@ def with_strat_key(df: DataFrame, edges: Sequence[float], label_col: str = "labe
 # ------------------------------------------------------------------ W2
 
 def stratum_quotas(counts: DataFrame, strat_col: str, fraction: float) -> DataFrame:
-    """Exact per-stratum quotas summing to ceil(fraction * N), largest remainder.
+    """Exact per-stratum quotas summing to ceil(fraction * N), largest remainder, where N
+    counts the strata of more than one row: a single row stays in train (see
+    :func:`singleton_strata`).
 
     ``counts`` holds one row per stratum with its size ``n``, so the
-    un-partitioned windows here see only (#strata) rows.
+    un-partitioned windows here see only (#strata) rows; products are
+    decimals, as two sizes of 5e9 overflow a long.
     """
     all_ = Window.partitionBy()
-    total = F.sum("n").over(all_)
-    num = F.round(F.lit(fraction) * 1_000_000).cast("long")       # fraction as k/1e6
-    n_val = F.ceil(total * num / F.lit(1_000_000)).cast("long")
+    exact = lambda c: c.cast("decimal(38,0)")
+    counts = counts.withColumn("__m", F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0).cast("long")))
+    total = F.sum("__m").over(all_)
+    num = round(fraction * 1_000_000)       # fraction as k/1e6
+    n_val = F.ceil(exact(total) * F.lit(num).cast("decimal(10,0)") / F.lit(1_000_000).cast("decimal(10,0)")).cast("long")
     q = counts.withColumn("__nval", n_val).withColumn("__total", total)
-    q = (q.withColumn("__base", F.floor(F.col("__nval") * F.col("n") / F.col("__total"))
-                      .cast("long"))
-          .withColumn("__rem", F.col("__nval") * F.col("n") - F.col("__base") * F.col("__total")))
+    share = exact(F.col("__nval").cast("decimal(19,0)") * F.col("__m").cast("decimal(19,0)"))
+    q = q.withColumn("__share", share)
+    q = q.withColumn("__base", F.when(F.col("__total") > 0, F.expr("__share div __total")).otherwise(0).cast("long"))
+    q = q.withColumn("__rem", F.col("__share") - F.col("__base").cast("decimal(19,0)") * F.col("__total").cast("decimal(19,0)"))
     q = q.withColumn("__extra", F.col("__nval") - F.sum("__base").over(all_))
     rank = F.row_number().over(Window.orderBy(F.desc("__rem"), F.asc(strat_col)))
     return q.withColumn("quota", F.col("__base") + F.when(rank <= F.col("__extra"), 1).otherwise(0)
                         ).select(strat_col, "n", "quota")
 
 
+def singleton_strata(df: DataFrame, strat_col: str = "strat_key") -> DataFrame:
+    """The strata of a single row, which the split leaves in train."""
+    return df.groupBy(strat_col).agg(F.count("*").alias("n")).filter("n = 1").drop("n")
+
+
 def stratified_split(df: DataFrame, strat_col: str = "strat_key", id_col: str = "doc_id",
                      fraction: float = 0.2, seed: int = 42, bucket_bits: int = 16,
                      split_col: str = "split") -> DataFrame:

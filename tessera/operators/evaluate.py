@@ -11,18 +11,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import log_softmax, log_sum_exp, softmax
+from ..functions.arrays import log_softmax, log_sum_exp
+from ..session import cut_lineage
+
+#: Class-weight rows up to which the table is broadcast.
+BROADCAST_WEIGHTS = 100_000
 
 
 def confusion_matrix(df: DataFrame, by: Sequence[str] = ("model",), y_true: str = "y_true",
-                     y_pred: str = "y_pred") -> DataFrame:
-    """Counts per (true, predicted) and the row-normalised share."""
+                     y_pred: str = "y_pred", dense: bool = False) -> DataFrame:
+    """Counts per (true, predicted) and the row-normalised share; with ``dense`` a row for
+    every pair of the classes seen in the group (share null for a class without rows).
+
+    The grid is made per group from the list of its classes, which is as long as they are."""
     by = list(by)
     counts = df.groupBy(*by, y_true, y_pred).agg(F.count("*").alias("n"))
+    if dense:
+        seen = F.array_distinct(F.concat(F.collect_set(y_true), F.collect_set(y_pred))).alias("__c")
+        grid = (counts.groupBy(*by).agg(seen).withColumn(y_true, F.explode("__c"))
+                .withColumn(y_pred, F.explode("__c")).drop("__c").withColumn("n", F.lit(0).cast("long")))
+        counts = counts.unionByName(grid).groupBy(*by, y_true, y_pred).agg(F.sum("n").alias("n"))
     return counts.withColumn(
         "share", F.try_divide(F.col("n"), F.sum("n").over(Window.partitionBy(*by, y_true))))
 
 
+def confusion_wide(df: DataFrame, labels: Sequence, by: Sequence[str] = ("model",), y_true: str = "y_true",
+                   y_pred: str = "y_pred") -> DataFrame:
+    """One row per true class, one column ``pred_<label>`` per predicted class."""
+    by = list(by)
+    wide = confusion_matrix(df, by, y_true, y_pred, dense=True).groupBy(*by, y_true).pivot(y_pred, list(labels)).agg(F.sum("n"))
+    return wide.select(*by, y_true, *[F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("long")).alias(f"pred_{x}") for x in labels])
+
+
 def per_class_counts(df: DataFrame, by: Sequence[str] = ("model",), y_true: str = "y_true",
                      y_pred: str = "y_pred") -> DataFrame:
     """tp / true / predicted counts per class, in one aggregation.
@@ -82,33 +102,31 @@ def class_weight_table(df: DataFrame, by: Sequence[str] = ("model",), y_true: st
 
 def losses(df: DataFrame, by: Sequence[str] = ("model",), student: str = "student",
            teacher: str = "teacher", y_true: str = "y_true", temperature: float = 2.0,
-           alpha: float = 0.5) -> DataFrame:
+           alpha: float = 0.5, weights: DataFrame | None = None) -> DataFrame:
     """M3-M5 over a stored table of logits (global means, not batch means).
 
     * weighted_ce  = sum(w[y] * CE) / sum(w[y])           (M3, J2)
     * distill_kl   = mean over rows of KL(teacher_T || student_T) * T^2   (M4)
     * hybrid_loss  = alpha * weighted_ce + (1 - alpha) * distill_kl      (M5)
 
-    The class-weight table has one row per (group, class); it is joined
-    by key and AQE broadcasts it from its measured size.
+    ``weights`` (by..., y_true, w) are those of the training split; without it they
+    come from the scored rows.  The table has one row per (group, class): it is
+    written, counted and broadcast up to ``BROADCAST_WEIGHTS`` rows, so the logits
+    are not dealt out by label; beyond that both sides are.
     """
     by = list(by)
-    weights = class_weight_table(df, by, y_true)
+    weights = cut_lineage(class_weight_table(df, by, y_true) if weights is None else weights)
+    keys = [c for c in [*by, y_true] if c in weights.columns]
+    if weights.count() <= BROADCAST_WEIGHTS:
+        weights = F.broadcast(weights)
     ce = log_sum_exp(student) - F.element_at(F.col(student), F.col(y_true) + 1)
     lt = log_softmax(teacher, temperature)
     ls = log_softmax(student, temperature)
     kl = F.aggregate(F.zip_with(lt, ls, lambda a, b: F.exp(a) * (a - b)), F.lit(0.0),
                      lambda acc, x: acc + x)
-    rows = df.join(weights, by + [y_true]).select(*by, "w", ce.alias("ce"), kl.alias("kl"))
+    rows = df.join(weights, keys).select(*by, "w", ce.alias("ce"), kl.alias("kl"))
     agg = rows.groupBy(*by).agg(
         (F.sum(F.col("w") * F.col("ce")) / F.sum("w")).alias("weighted_ce"),
         (F.avg("kl") * F.lit(temperature ** 2)).alias("distill_kl"))
     return agg.withColumn("hybrid_loss", F.lit(alpha) * F.col("weighted_ce")
                           + F.lit(1 - alpha) * F.col("distill_kl"))
-
-
-def argmax_softmax(df: DataFrame, logits: str, keep: Sequence[str] = ("id",)) -> DataFrame:
-    """M1 + M2 per row: predicted class, probabilities and top probability."""
-    from ..functions.arrays import argmax
-    return df.select(*keep, argmax(logits).alias("pred"), softmax(logits).alias("probs")
-                     ).withColumn("max_prob", F.array_max("probs"))

@@ -29,6 +29,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from ..functions.arrays import argmax
 from ..session import cut_lineage
 from . import curate, evaluate
+from .evaluate import BROADCAST_WEIGHTS
 
 
 # ------------------------------------------------------------ evaluator
@@ -68,11 +69,11 @@ def featurizer(text_col: str = "text", num_features: int = 1 << 18) -> Pipeline:
 
 
 def with_class_weights(df: DataFrame, label_col: str = "label", out: str = "weight") -> DataFrame:
-    """Each row gets max-count / count of its class (A4).  The weight
-    table has one row per class; AQE broadcasts it from its measured size."""
-    w = curate.class_weights(df, label_col).select(label_col, F.col("weight").cast("double")
-                                                   .alias(out))
-    return df.join(w, label_col)
+    """Each row gets max-count / count of its class (A4).  The weight table has one row
+    per class; it is counted and broadcast up to ``evaluate.BROADCAST_WEIGHTS`` rows, so the
+    texts are not dealt out by label."""
+    w = cut_lineage(curate.class_weights(df, label_col).select(label_col, F.col("weight").cast("double").alias(out)))
+    return df.join(F.broadcast(w) if w.count() <= BROADCAST_WEIGHTS else w, label_col)
 
 
 def _weight_kw(weighted: bool) -> dict:

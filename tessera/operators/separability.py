@@ -34,6 +34,7 @@ def _keyed(df: DataFrame, by: Sequence[str]):
 
 
 def _pairs2(x):
+    x = x.cast("double")   # a cell of 4e9 squared is no long
     return x * (x - 1) / 2.0
 
 
@@ -85,8 +86,11 @@ def adjusted_mutual_info(df: DataFrame, a: str, b: str, by: Sequence[str] = (),
         (-F.sum(F.col("bj") / N * (F.log(F.col("bj")) - F.log(N)))).alias("h_b"),
         F.count("*").alias("k_b"))
 
-    # All (label, cluster) marginal pairs: (#labels x #clusters) per group.
-    pairs = with_n(ai.join(bj, by))
+    # Labels of equal size, and clusters of equal size, give equal terms: pairs of distinct
+    # sizes with their multiplicities, N * 2 ** 0.5 sizes at most whatever the labels.
+    sizes_a = ai.groupBy(*by, "ai").agg(F.count("*").alias("__ma"))
+    sizes_b = bj.groupBy(*by, "bj").agg(F.count("*").alias("__mb"))
+    pairs = with_n(sizes_a.join(sizes_b, by)).withColumn("__m", F.col("__ma") * F.col("__mb"))
     lo = F.greatest(F.lit(1), F.col("ai") + F.col("bj") - F.col("N"))
     hi = F.least(F.col("ai"), F.col("bj"))
     pairs = pairs.filter(lo <= hi).withColumn("__lo", lo).withColumn("__hi", hi)
@@ -103,7 +107,7 @@ def adjusted_mutual_info(df: DataFrame, a: str, b: str, by: Sequence[str] = (),
            - ln_factorial(F.col("N") - F.col("ai") - F.col("bj") + F.col("nij")))
     term = (nn / N * (F.log(N * nn) - F.log(F.col("ai").cast("double") * F.col("bj")))
             * F.exp(gln))
-    emi = terms.groupBy(*by).agg(F.sum(term).alias("emi"))
+    emi = terms.groupBy(*by).agg(F.sum(term * F.col("__m")).alias("emi"))
 
     def j(x, y):
         return x.join(y, by, "left")

@@ -47,9 +47,7 @@ WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) = 1)
 
 
 def _labelled_docs(spark, d):
-    lab = tables.table(spark, d, "labels").select("doc_id")
-    return (_docs(spark, d).select("doc_id", "text").join(lab, "doc_id")
-            .withColumn("label", (F.col("doc_id") % 6).cast("int")))
+    return _docs(spark, d).select("doc_id", "text", (F.col("doc_id") % 6).cast("int").alias("label"))
 
 
 def duplicate_report(spark, d):
@@ -59,21 +57,20 @@ def duplicate_report(spark, d):
 
 
 SQL_DUPLICATE_REPORT = """
-WITH d AS (SELECT doc_id, text, CAST(doc_id % 6 AS INTEGER) AS label
-           FROM documents JOIN labels USING (doc_id)),
+WITH d AS (SELECT doc_id, text, CAST(doc_id % 6 AS INTEGER) AS label FROM documents),
 top AS (SELECT text FROM d GROUP BY text HAVING count(*) > 1 ORDER BY text LIMIT 5),
 per AS (SELECT d.text, c.name, min(d.doc_id) AS first_id, count(*) AS n
         FROM d JOIN top ON d.text = top.text LEFT JOIN classes c ON c.label = d.label
         GROUP BY d.text, c.name)
-SELECT string_agg(name, '/' ORDER BY first_id) AS labels, text, CAST(sum(n) AS BIGINT) AS n_copies
+SELECT string_agg(name || ':' || n, '/' ORDER BY first_id) AS labels, text, CAST(sum(n) AS BIGINT) AS n_copies
 FROM per GROUP BY text
 """
 
 
 def short_text_filter(spark, d):
     """P3 + C16: documents with at least 3 words, and their word count."""
-    docs = _docs(spark, d).withColumn("n_words", T.word_count("text"))
-    return docs.filter(F.col("n_words") >= 3).select("doc_id", "n_words")
+    docs = curate.replace_texts(_docs(spark, d).select("doc_id", "text"), F.col("text"), 3, length_col="n_words")
+    return docs.select("doc_id", "n_words")
 
 
 SQL_SHORT_TEXT_FILTER = f"""
@@ -101,8 +98,7 @@ SELECT doc_id, cleaned, cleaned <> text AS is_cleaned FROM k
 def entry_slice(spark, d):
     """Minimum slice: A1 -> C12 -> P3 (2 words) -> A3 by source."""
     docs = curate.drop_all_copies(_docs(spark, d).select("doc_id", "text", "source"))
-    docs = docs.withColumn("text", T.repeated_chars("text"))
-    docs = curate.filter_short_texts(docs, 2)
+    docs = curate.replace_texts(docs, T.repeated_chars("text"), 2)
     out = curate.class_distribution(docs, "source", by=())
     return out.select("source", "n", r6(F.col("proportion")).alias("proportion"))
 
@@ -250,29 +246,31 @@ def _labels(spark, d):
 
 
 def class_distribution(spark, d):
-    """A3 + J1: class counts and shares per toxic flag, with class names."""
-    out = curate.class_distribution(_labels(spark, d), "label", by=["toxic"])
+    """A3 + J1 + O3: class counts and shares per toxic flag over all classes, with their names."""
+    out = curate.class_distribution(_labels(spark, d), "label", by=["toxic"], labels=sorted(terms.CLASSES))
     names = curate.classes_frame(spark)
     return (out.join(F.broadcast(names), "label", "left")
             .select("toxic", "label", "name", "n", r6(F.col("proportion")).alias("proportion")))
 
 
 SQL_CLASS_DISTRIBUTION = """
-SELECT toxic, quality AS label, c.name, count(*) AS n,
-       round(count(*) / sum(count(*)) OVER (PARTITION BY toxic), 6) AS proportion
-FROM labels LEFT JOIN classes c ON c.label = quality
-GROUP BY toxic, quality, c.name
+WITH c AS (SELECT toxic, quality AS label, count(*) AS n FROM labels GROUP BY ALL),
+grid AS (SELECT DISTINCT toxic, classes.label FROM labels, classes),
+g AS (SELECT toxic, label, coalesce(n, 0) AS n FROM grid FULL JOIN c USING (toxic, label))
+SELECT toxic, g.label, name, n, round(n / sum(n) OVER (PARTITION BY toxic), 6) AS proportion
+FROM g LEFT JOIN classes ON classes.label = g.label
 """
 
 
 def class_weights(spark, d):
-    """A4: max count / count as float32."""
-    return curate.class_weights(_labels(spark, d), "label").select("label", "n", "weight")
+    """A4: max count / count as float32, over all classes (none for absent ones)."""
+    return curate.class_weights(_labels(spark, d), "label", sorted(terms.CLASSES)).select("label", "n", "weight")
 
 
 SQL_CLASS_WEIGHTS = """
-SELECT label, n, CAST(max(n) OVER () / n AS FLOAT) AS weight
-FROM (SELECT quality AS label, count(*) AS n FROM labels GROUP BY quality)
+WITH c AS (SELECT quality AS label, count(*) AS n FROM labels GROUP BY quality),
+g AS (SELECT label, coalesce(n, 0) AS n FROM (SELECT label FROM classes) FULL JOIN c USING (label))
+SELECT label, n, CAST(max(n) OVER () / nullif(n, 0) AS FLOAT) AS weight FROM g
 """
 
 
@@ -291,11 +289,13 @@ SQL_LENGTH_HISTOGRAM = f"""
 WITH l AS (SELECT lang, {O.word_count('text')} AS length FROM documents),
 m AS (SELECT max(length) AS mx FROM l),
 b AS (SELECT lang, CAST(least(floor(length * CAST(49 AS DOUBLE) / mx) + 1, 49) AS INTEGER) AS bin,
-             count(*) AS n FROM l, m GROUP BY ALL)
+             count(*) AS n FROM l, m GROUP BY ALL),
+g AS (SELECT lang, CAST(k AS INTEGER) AS bin FROM (SELECT DISTINCT lang FROM l), range(1, 50) t(k)),
+f AS (SELECT g.lang, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN b ON b.lang = g.lang AND b.bin = g.bin)
 SELECT lang, bin, round((bin - 1) * (mx / CAST(49 AS DOUBLE)), 6) AS lo,
-       round(bin * (mx / CAST(49 AS DOUBLE)), 6) AS hi, n,
+       round(bin * (mx / CAST(49 AS DOUBLE)), 6) AS hi, CAST(n AS BIGINT) AS n,
        round(n / (sum(n) OVER (PARTITION BY lang) * (mx / CAST(49 AS DOUBLE))), 6) AS density
-FROM b, m
+FROM f, m
 """
 
 
@@ -368,7 +368,7 @@ def stratified_split(spark, d):
 
 SQL_STRATIFIED_SPLIT = f"""
 WITH {_SQL_BINNED.strip()},
-c AS (SELECT strat_key, count(*) AS n FROM keyed GROUP BY strat_key),
+c AS (SELECT strat_key, CASE WHEN count(*) > 1 THEN count(*) ELSE 0 END AS n FROM keyed GROUP BY strat_key),
 t AS (SELECT strat_key, n, sum(n) OVER () AS total,
              CAST(ceil(sum(n) OVER () * 200000 / 1000000) AS BIGINT) AS n_val FROM c),
 b AS (SELECT *, CAST(floor(n_val * n / total) AS BIGINT) AS base FROM t),
@@ -409,15 +409,30 @@ FROM preds
 
 
 def confusion_matrix(spark, d):
-    """Per model counts and row-normalised shares."""
-    out = evaluate.confusion_matrix(_preds(spark, d))
+    """A8 + R2: per model counts and row-normalised shares of every pair of classes."""
+    out = evaluate.confusion_matrix(_preds(spark, d), dense=True)
     return out.select("model", "y_true", "y_pred", "n", r6(F.col("share")).alias("share"))
 
 
+def confusion_wide(spark, d):
+    """The counts with one column per predicted class."""
+    return evaluate.confusion_wide(_preds(spark, d), list(range(10)))
+
+
+SQL_CONFUSION_WIDE = """
+SELECT model, y_true, """ + ", ".join(f"count(*) FILTER (WHERE y_pred = {k}) AS pred_{k}" for k in range(10)) + """
+FROM (SELECT model, y_true, y_pred FROM preds
+      UNION ALL SELECT DISTINCT model, y_pred, NULL FROM preds) GROUP BY ALL
+"""
+
+
 SQL_CONFUSION_MATRIX = """
-SELECT model, y_true, y_pred, count(*) AS n,
-       round(count(*) / sum(count(*)) OVER (PARTITION BY model, y_true), 6) AS share
-FROM preds GROUP BY model, y_true, y_pred
+WITH k AS (SELECT model, y_true AS c FROM preds UNION SELECT model, y_pred FROM preds),
+g AS (SELECT a.model, a.c AS y_true, b.c AS y_pred FROM k a JOIN k b ON a.model = b.model),
+n AS (SELECT model, y_true, y_pred, count(*) AS n FROM preds GROUP BY ALL),
+f AS (SELECT model, y_true, y_pred, coalesce(n, 0) AS n FROM g LEFT JOIN n USING (model, y_true, y_pred))
+SELECT model, y_true, y_pred, n,
+       round(n / nullif(sum(n) OVER (PARTITION BY model, y_true), 0), 6) AS share FROM f
 """
 
 
@@ -749,14 +764,36 @@ def _labelled_for_training(spark, d):
 
 
 def preprocess(spark, d):
-    """Dedupe -> clean -> >= 2 words -> length -> stratified split."""
-    out = pipelines.preprocess(_labelled_for_training(spark, d))
-    return out.select("doc_id", "label", "length", "split")
+    """Dedupe -> clean -> >= 2 words -> length -> stratified split -> encode."""
+    out = pipelines.preprocess(_labelled_for_training(spark, d), encode=True)
+    ids = F.array_join(F.transform("input_ids", lambda x: x.cast("string")), " ")
+    return out.select("doc_id", "label", "length", "split", F.md5(ids).alias("ids_md5"))
+
+
+SQL_PREPROCESS = f"""
+WITH lab AS (SELECT doc_id AS id, text, quality AS label FROM documents JOIN labels USING (doc_id)),
+src AS (SELECT * FROM lab WHERE text IN (SELECT text FROM lab GROUP BY text HAVING count(*) = 1)),
+{_sql_html_stage('src', 'text', 'id, text, label').strip()},
+p AS (SELECT id, text, label, {O.fuse_bigrams(O.remove_blocks(O.remove_urls('html_text')))} AS pre FROM h2),
+{_sql_window_stage('p', 'pre', 0.35, ', label')},
+t1 AS (SELECT id, label, {O.slang_pairs(O.fix_apostrophes('out'))} AS s1 FROM w6),
+t2 AS (SELECT id, label, {O.slang_words('s1')} AS s2 FROM t1),
+t AS (SELECT id, label, {O.expand_contractions('s2')} AS t9 FROM t2),
+ch AS (SELECT id, label, string_split(t9, '') AS ch FROM t),
+cl AS (SELECT id AS doc_id, label, array_to_string(list_filter(ch, lambda x, i: NOT (i > 2 AND x = ch[i - 1]
+                          AND x = ch[i - 2] AND x <> chr(10))), '') AS cleaned FROM ch),
+kept AS (SELECT doc_id, label, cleaned, {O.word_count('cleaned')} AS length FROM cl WHERE {O.word_count('cleaned')} >= 2),
+{_SQL_BINNED.strip().replace('curated', 'kept')},
+{SQL_STRATIFIED_SPLIT.partition(_SQL_BINNED.strip() + ",")[2].partition("SELECT doc_id, strat_key, CASE")[0].strip()},
+sp AS (SELECT doc_id, CASE WHEN rn <= quota THEN 'validation' ELSE 'train' END AS split FROM o)
+SELECT doc_id, label, length, split, md5(array_to_string(list_transform({O.words('cleaned')}, lambda w:
+         CAST(1 + CAST(('0x' || substr(md5(lower(w)), 1, 8)) AS BIGINT) % 30521 AS INTEGER)), ' ')) AS ids_md5
+FROM kept JOIN sp USING (doc_id)
+"""
 
 
 def _split(spark, d):
-    p = pipelines.preprocess(_labelled_for_training(spark, d))
-    p = session.cut_lineage(p)       # reused by fit and scoring
+    p = session.cut_lineage(pipelines.preprocess(_labelled_for_training(spark, d)))  # reused by fit and scoring
     return p.filter(F.col("split") == "train"), p.filter(F.col("split") == "validation")
 
 
@@ -902,6 +939,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "stratified_split": (stratified_split, SQL_STRATIFIED_SPLIT),
     "argmax_softmax": (argmax_softmax, SQL_ARGMAX_SOFTMAX),
     "confusion_matrix": (confusion_matrix, SQL_CONFUSION_MATRIX),
+    "confusion_wide": (confusion_wide, SQL_CONFUSION_WIDE),
     "macro_metrics": (macro_metrics, SQL_MACRO_METRICS),
     "weighted_f1": (weighted_f1, SQL_WEIGHTED_F1),
     "latency_stats": (latency_stats, SQL_LATENCY_STATS),
@@ -923,7 +961,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "scatter_points": (scatter_points, None),
     "word_diff": (word_diff, None),
     "cleaning_audit": (cleaning_audit, None),
-    "preprocess": (preprocess, None),
+    "preprocess": (preprocess, SQL_PREPROCESS),
     "weighted_classifier": (weighted_classifier, None),
     "random_search": (random_search, None),
     "inference_report": (inference_report, None),

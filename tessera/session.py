@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go with the frames that were cut.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -55,14 +57,15 @@ def apply_defaults(spark: SparkSession) -> None:
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
     for k, v in DEFAULT_CONF.items():
-        if spark.conf.get(k, None) is None:
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (tests, a laptop) a private scratch folder is created.
+    Only in local mode, when it is unset (tests, a laptop), a private scratch folder is
+    created; on a cluster a folder of one machine would not be seen by the others.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -73,6 +76,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -17,12 +17,24 @@ from pyspark.sql.types import StructType
 from ..functions import terms
 from ..session import cut_lineage
 
-TWEETS_SCHEMA = "text STRING, label STRING"
+#: Keys of a class mapping up to which it is broadcast.
+BROADCAST_CLASSES = 100_000
 
 
-def _csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+def _csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The named columns of a headed CSV as strings, wherever they stand in it."""
+    raw = (spark.read.option("header", True).option("multiLine", True).option("inferSchema", False)
+           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    if lost := [c for c in columns if c not in raw.columns]:
+        raise ValueError(f"{path} has no column {', '.join(lost)}; it has {', '.join(raw.columns)}")
+    return raw.select(*columns)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 # ------------------------------------------------------------------ S3
@@ -43,13 +55,16 @@ def label_to_index(label: str, classes: DataFrame) -> Callable[[DataFrame], Data
     """A label column holding an index or a class name -> INT index.
     Unknown labels fail the job (the reference raises a key error)."""
     def run(df: DataFrame) -> DataFrame:
-        names = classes.select(F.col("name").alias("__name"), F.col("label").alias("__idx"))
-        j = df.join(F.broadcast(names), F.col(label) == F.col("__name"), "left")
-        idx = F.coalesce(F.col(label).try_cast("int"), F.col("__idx"))
-        checked = F.when(idx.isNull() & F.col(label).isNotNull(),
-                         F.raise_error(F.concat(F.lit("unknown label: "), F.col(label))))
-        return (j.withColumn(label, F.coalesce(checked.cast("int"), idx))
-                .drop("__name", "__idx"))
+        known = classes.select(F.explode(F.array(F.col("name"), F.col("label").cast("string"))).alias("__key"),
+                               F.col("label").alias("__idx")).dropDuplicates(["__key"])
+        text = F.trim(F.col(label).cast("string"))
+        key = F.coalesce(text.try_cast("int").cast("string"), text)   # " 07" is 7
+        # counted first: a mapping of classes is small, and the texts are not dealt by label
+        small = F.broadcast(known) if known.count() <= BROADCAST_CLASSES else known
+        j = df.withColumn("__key", key).join(small, "__key", "left")
+        bad = F.col("__idx").isNull() & F.col(label).isNotNull()
+        checked = F.when(bad, F.raise_error(F.concat(F.lit("unknown label: "), F.col(label).cast("string"))))
+        return (j.withColumn(label, F.coalesce(checked.cast("int"), F.col("__idx"))).select(*df.columns))
     return run
 
 
@@ -60,7 +75,7 @@ def load_csv_dataset(spark: SparkSession, paths: dict[str, str],
     """One frame with a ``split`` column from ``{split: csv_path}``.
     Labels may be indices or class names; both become INT indices."""
     classes = classes if classes is not None else load_label_mapping(spark)
-    frames = [_csv(spark, p, TWEETS_SCHEMA).withColumn("split", F.lit(s))
+    frames = [_csv(spark, p, ["text", "label"]).withColumn("split", F.lit(s))
               for s, p in paths.items()]
     df = frames[0]
     for f in frames[1:]:
@@ -73,9 +88,9 @@ def load_scoring_csv(spark: SparkSession, path: str, classes: DataFrame | None =
     """A CSV to score; ``label`` is optional (index or name)."""
     head = spark.read.option("header", True).csv(path).columns
     if "label" not in head:
-        return _csv(spark, path, "text STRING")
+        return _csv(spark, path, ["text"])
     classes = classes if classes is not None else load_label_mapping(spark)
-    return _csv(spark, path, TWEETS_SCHEMA).transform(label_to_index("label", classes))
+    return _csv(spark, path, ["text", "label"]).transform(label_to_index("label", classes))
 
 
 # ------------------------------------------------------------------ S4
@@ -149,6 +164,8 @@ def append_log(df: DataFrame, path: str) -> None:
 
 HPARAM_SCHEMA = ("model STRING, learning_rate DOUBLE, num_train_epochs INT, "
                  "warmup_ratio DOUBLE, weight_decay DOUBLE")
+#: What the random search (L2) finds, stored beside them.
+SEARCH_SCHEMA = "reg_param DOUBLE, max_iter INT, elastic_net DOUBLE, val_f1 DOUBLE"
 
 
 def write_hparams(df: DataFrame, root: str) -> None:
@@ -160,24 +177,20 @@ def write_hparams(df: DataFrame, root: str) -> None:
 def load_hparams(spark: SparkSession, root: str, model: str | None = None) -> DataFrame:
     """Stored hyperparameters; a missing store or model gives an empty
     frame (the reference returns None)."""
-    body = HPARAM_SCHEMA.split(", ", 1)[1]
-    try:
-        df = spark.read.schema(body + ", model STRING").json(root)
-        df.limit(0).collect()
-    except Exception:   # no store yet
-        return spark.createDataFrame([], HPARAM_SCHEMA)
+    if not exists(spark, root):
+        return spark.createDataFrame([], f"{HPARAM_SCHEMA}, {SEARCH_SCHEMA}")
+    body = f'{HPARAM_SCHEMA.split(", ", 1)[1]}, {SEARCH_SCHEMA}'
+    df = spark.read.schema(body + ", model STRING").json(root)
     if model is not None:
         df = df.filter(F.col("model") == model)    # partition pruning
-    return df.select(*[c.split()[0] for c in HPARAM_SCHEMA.split(", ")])
+    return df.select(*[c.split()[0] for c in f"{HPARAM_SCHEMA}, {SEARCH_SCHEMA}".split(", ")])
 
 
 # ------------------------------------------------------------------ S7 / S8 / J3
 
 def _stored_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).select(*keys).distinct()
-    except Exception:   # empty store
-        return None
+    """The store's keys; None if there is no store.  A store that cannot be read is an error."""
+    return spark.read.parquet(path).select(*keys).distinct() if exists(spark, path) else None
 
 
 def missing_keys(spark: SparkSession, path: str, wanted: DataFrame, keys: Sequence[str]
@@ -209,14 +222,14 @@ def compute_if_absent(spark: SparkSession, path: str, wanted: DataFrame, keys: S
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
            partition_by: Sequence[str] = ()) -> DataFrame:
     """Old rows not replaced by ``new`` (``left_anti`` on keys) plus
-    ``new``.  The merged frame is checkpointed (reliable, shared dir)
+    ``new``; columns that one of them lacks are null there.  The merged frame is checkpointed (reliable, shared dir)
     before the old files are overwritten, so reading and replacing the
     same path is safe."""
-    try:
+    merged = new
+    if exists(spark, path):   # any error of reading it goes up: the store stays as it is
         old = spark.read.parquet(path)
-        merged = old.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
-    except Exception:
-        merged = new
+        kept = old.join(new.select(*keys), list(keys), "left_anti")
+        merged = kept.unionByName(new, allowMissingColumns=True)
     merged = cut_lineage(merged)
     w = merged.write.mode("overwrite")
     if partition_by:

@@ -5,8 +5,10 @@ text filter (P3) are stateless column expressions, so the same plan runs
 on a streaming DataFrame unchanged.  Duplicate removal (A1) needs every
 copy of a text and is not offered on streams.
 
-The stream's checkpoint lives under the shared ``spark.checkpoint.dir``
-so a restarted query resumes from its last committed batch.
+The stream's checkpoint is a folder that the caller names (``checkpoint``) and keeps, on
+storage that all nodes share: a restarted query, in another session too, resumes from its
+last committed batch.  Spark's own checkpoint folder is no place for it, as that one is
+new in each application.
 """
 
 from __future__ import annotations
@@ -17,18 +19,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as T
 from ..operators import curate
-from ..session import checkpoint_dir
 
 
 def cleaned_stream(stream: DataFrame, text_col: str = "text", min_words: int = 2,
                    markup: bool = True) -> DataFrame:
     """P2 + C14 + P3 on a (streaming or batch) DataFrame."""
-    out = stream.transform(T.apply_clean(lambda c: T.clean_sample(c, markup), text_col))
-    return curate.filter_short_texts(out, min_words, "cleaned")
+    out = curate.replace_texts(stream.withColumn("cleaned", F.lit(None).cast("string")),
+                               T.clean_sample(text_col, markup), min_words, "cleaned")
+    return out.withColumn("is_cleaned", ~F.equal_null(F.col("cleaned"), F.col(text_col)))
 
 
 def run_clean_stream(spark: SparkSession, src_dir: str, schema: str, out_dir: str,
-                     name: str = "clean_stream", fmt: str = "parquet",
+                     checkpoint: str, fmt: str = "parquet",
                      text_col: str = "text", min_words: int = 2,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Read new files of ``src_dir``, clean them, append Parquet to ``out_dir``.
@@ -41,19 +43,13 @@ def run_clean_stream(spark: SparkSession, src_dir: str, schema: str, out_dir: st
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(src_dir)
     out = cleaned_stream(stream, text_col, min_words)
-    ckpt = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
     return (out.writeStream.format("parquet").option("path", out_dir)
-            .option("checkpointLocation", ckpt).outputMode("append")
+            .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())
 
 
-def with_ingest_time(stream: DataFrame) -> DataFrame:
-    """Tag each micro-batch row with its processing time (for audits)."""
-    return stream.withColumn("ingested_at", F.current_timestamp())
-
-
 def run_score_stream(spark: SparkSession, model, src_dir: str, schema: str, out_dir: str,
-                     name: str = "score_stream", keep=("id",), fmt: str = "parquet",
+                     checkpoint: str, keep=("id",), fmt: str = "parquet",
                      text_col: str = "text") -> StreamingQuery:
     """L3 on a stream: clean (C14) then score with a fitted PipelineModel
     (stateless, so the batch plan runs unchanged); predictions appended."""
@@ -61,7 +57,6 @@ def run_score_stream(spark: SparkSession, model, src_dir: str, schema: str, out_
     stream = spark.readStream.schema(schema).format(fmt).load(src_dir)
     cleaned = stream.withColumn(text_col, T.clean_sample(text_col))
     out = score(model, cleaned, keep=list(keep), label_col=None)
-    ckpt = checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
     return (out.writeStream.format("parquet").option("path", out_dir)
-            .option("checkpointLocation", ckpt).outputMode("append")
+            .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())

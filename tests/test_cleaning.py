@@ -180,3 +180,17 @@ GOLDEN_PAIRS = [
 @pytest.mark.parametrize("fn,before,after", GOLDEN_PAIRS)
 def test_golden_pairs(spark, fn, before, after):
     assert apply(spark, fn, [before]) == [after]
+
+
+def test_contractions_between_any_separators(spark):
+    got = apply(spark, T.expand_contractions, [
+        "dont\nworry", "dont\tgo", "im,ok", "well-i'm", "I'd've gone, gonna go", "'dont' y'all've", "écantà can't", "“Don't”"])
+    assert got == ["do not\nworry", "do not\tgo", "i am,ok", "well-i am", "I would have gone, going to go", "'do not' you all have",
+                   "écantà cannot", "“Do not”"]
+
+
+def test_references_and_quoted_attributes(spark):
+    import html as h
+    texts = ["&rarr; &amp &copy2 &notit; &notin; &#38;&#x26 &#146; &#0; &#99999999999; &nosuch; &", "A&ampB &AMP; &Aacute &quot"]
+    assert apply(spark, T.decode_entities, texts) == [h.unescape(x) for x in texts]
+    assert apply(spark, T.html_to_text, ['<a title="1>2">z</a>'])[0].strip() == "z"

@@ -33,7 +33,7 @@ def test_duplicate_report(spark):
     df = spark.createDataFrame(data, "doc_id INT, text STRING, label INT")
     out = curate.duplicate_report(df, "label", "doc_id").collect()
     assert [(r.text, r.labels, r.n_copies) for r in out] == [
-        ("a text", "Joy/Sadness", 3), ("b text", "Sadness/Joy", 2)]
+        ("a text", "Joy:2/Sadness:1", 3), ("b text", "Sadness:1/Joy:1", 2)]
 
 
 def test_class_weights(spark):
@@ -48,7 +48,32 @@ def test_length_histogram_matches_numpy(spark):
     df = spark.createDataFrame([(int(x), "s") for x in lens], "length INT, split STRING")
     out = {r.bin: r.n for r in curate.length_histogram(df, "length", ["split"]).collect()}
     counts, _ = np.histogram(lens, bins=np.linspace(0, lens.max(), 50))
-    assert {i + 1: int(c) for i, c in enumerate(counts) if c} == out
+    assert {i + 1: int(c) for i, c in enumerate(counts)} == out
+
+
+def test_grids_are_dense(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 0), ("b", 2)], "split STRING, label INT")
+    got = [(r.split, r.label, r.n) for r in curate.class_distribution(df, "label", ["split"], [0, 1, 2]).collect()]
+    assert got == [("a", 0, 2), ("a", 1, 0), ("a", 2, 0), ("b", 0, 0), ("b", 1, 0), ("b", 2, 1)]
+    weights = {r.label: r.weight for r in curate.class_weights(df, "label", [0, 1, 2]).collect()}
+    assert weights == {0: 1.0, 1: None, 2: 2.0}
+
+
+def test_large_strata_and_singletons(spark):
+    counts = spark.createDataFrame([("a", 5_000_000_000), ("b", 5_000_000_000)] + [(f"s{i}", 1) for i in range(10)],
+                                   "strat_key STRING, n LONG")
+    quota = {r.strat_key: r.quota for r in curate.stratum_quotas(counts, "strat_key", 0.2).collect()}
+    assert quota == {"a": 1_000_000_000, "b": 1_000_000_000} | {f"s{i}": 0 for i in range(10)}
+    rows = spark.createDataFrame([(i, f"s{i}") for i in range(10)] + [(20 + i, "big") for i in range(10)], "doc_id INT, strat_key STRING")
+    split = {r.doc_id: r.split for r in curate.stratified_split(rows).collect()}
+    assert all(split[i] == "train" for i in range(10)) and sum(v == "validation" for v in split.values()) == 2
+    assert curate.singleton_strata(rows).count() == 10
+
+
+def test_dedupe_handles_nulls_and_groups(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "t", "x"), (4, "t", "y"), (5, "t", "y"), (6, "u", None), (7, "u", None)],
+                               "id INT, text STRING, split STRING")
+    assert sorted(r.id for r in curate.drop_all_copies(df, by=["split"]).collect()) == [1, 2, 3]
 
 
 def test_deciles_and_bins(spark):

@@ -143,3 +143,18 @@ def test_kmeans_separability_recovers_separated_clusters(spark):
     r = separability.kmeans_separability(df, "embedding", "label", n_starts=3).first()
     assert r.k == 3
     assert r.ari == pytest.approx(1.0) and r.ami == pytest.approx(1.0)
+
+
+def test_ari_of_very_large_cells(spark):
+    df = spark.createDataFrame([("a", "x", 4_000_000_000), ("b", "y", 4_000_000_000)], "l STRING, c STRING, nij LONG")
+    pairs = df.select(separability._pairs2(F.col("nij")).alias("p")).collect()
+    assert all(r.p == pytest.approx(8e18) for r in pairs)
+
+
+def test_softmax_is_linear_in_the_classes(spark):
+    import time
+    wide = spark.range(200).select(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: (i % 7).cast("double")).alias("a")).cache()
+    wide.count()
+    t = time.time()
+    total = wide.select(F.aggregate(softmax("a"), F.lit(0.0), lambda s, x: s + x).alias("t")).agg(F.sum("t")).first()[0]
+    assert total == pytest.approx(200) and time.time() - t < 10

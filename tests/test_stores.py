@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.sources import stores
@@ -100,3 +102,31 @@ def test_label_to_index_rejects_unknown(spark):
     df = spark.createDataFrame([("x", "Nope")], "text STRING, label STRING")
     with pytest.raises(Exception):
         df.transform(stores.label_to_index("label", stores.load_label_mapping(spark))).collect()
+
+
+def test_upsert_keeps_the_store_on_schema_drift_and_read_errors(spark, tmp_path):
+    path = str(tmp_path / "store")
+    stores.upsert(spark, path, spark.createDataFrame([("a", 1)], "k STRING, v INT"), ["k"])
+    stores.upsert(spark, path, spark.createDataFrame([("b", 2.5)], "k STRING, w DOUBLE"), ["k"])
+    assert sorted((r.k, r.v, r.w) for r in spark.read.parquet(path).collect()) == [("a", 1, None), ("b", None, 2.5)]
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        stores.upsert(spark, str(broken), spark.createDataFrame([("a", 1)], "k STRING, v INT"), ["k"])
+    assert (broken / "part-0.parquet").read_text() == "not parquet"
+    with pytest.raises(Exception):
+        stores.missing_keys(spark, str(broken), spark.createDataFrame([("a",)], "k STRING"), ["k"]).collect()
+
+
+def test_readers_go_by_name_and_check_labels(spark, tmp_path):
+    a, b, c = (tmp_path / f"{x}.csv" for x in "abc")
+    a.write_text("label,id,text\nJoy,7,hello\n1,8,there\n")
+    b.write_text("id,text\n77,only text\n")
+    c.write_text("text,label\nbad,17\n")
+    assert [(r.text, r.label) for r in stores.load_csv_dataset(spark, {"train": str(a)}).collect()] == [("hello", 1), ("there", 1)]
+    assert [r.text for r in stores.load_scoring_csv(spark, str(b)).collect()] == ["only text"]
+    with pytest.raises(Exception, match="unknown label"):
+        stores.load_csv_dataset(spark, {"train": str(c)}).collect()
+    with pytest.raises(ValueError, match="no column"):
+        stores.load_csv_dataset(spark, {"train": str(b)})
