@@ -13,8 +13,9 @@ joined by plain column arithmetic.
 3. From order 1 up, the probabilities of all distinct query n-grams come from joins with the
    counts of the n-gram, of its context and the probability of its suffix.  The tables are
    sharded by their keys; a context has at most ``CLASSES`` followers, so no key is hot.
-4. Documents are dealt to chunks of about ``CHUNK_CHARS``; the distinct n-grams of each chunk
-   are joined with the probabilities, and the chunk's documents are summed up with them.
+4. Documents are dealt to chunks of about ``CHUNK_CHARS``, packed (compressed Arrow) so that
+   their one shuffle is small; the distinct n-grams of each chunk are joined with the
+   probabilities, and the chunk's documents are summed up with them.
 5. Short texts say little: for the verdict, each text gets ``PRIOR_CHARS`` more characters at
    the mean of its language's trusted text.  A document is rejected if that perplexity is
    over the ``QUANTILE`` of the trusted documents of its language, times ``SLACK``.
@@ -46,7 +47,7 @@ BITS = 12
 CLASSES = 1 << BITS
 SHARED = 0xF00
 MASK = (1 << BITS * ORDER) - 1
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 32_000_000
 BROADCAST_IDS = 1_000_000
 PRIOR_CHARS = 50
 QUANTILE = 0.99
@@ -152,47 +153,71 @@ def with_trust(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> Da
                           "_hold": F.col("_trusted_id").isNotNull() & (turn == 0)}).drop("_trusted_id"))
 
 
-def perplexity(docs: DataFrame, text: str = "text", train: str = "_train") -> DataFrame:
+def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
+    """(_chunk, packed): the rows of ``docs``, several to a row, as compressed Arrow streams."""
+    plain = [c for c, kind in docs.dtypes if not kind.startswith("map")]
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks)).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, text):
+            chunk = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
+            found, blobs = np.unique(chunk), []
+            for c in found:
+                sink = pa.BufferOutputStream()
+                part = batch.take(pa.array(np.flatnonzero(chunk == c)))
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(part)
+                blobs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], names=["_chunk", "packed"])
+
+    return dealt.mapInArrow(run, "_chunk int, packed binary")
+
+
+def _unpack(packed: pa.Table) -> Iterator[pa.RecordBatch]:
+    for blob in packed.column("packed"):
+        with pa.ipc.open_stream(blob.as_buffer()) as stream:
+            yield from stream
+
+
+def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
     """``docs`` with _chars and _ppl, each text's perplexity per character (null without any)."""
     counted = cut(count_ngrams(docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))))
     known = probabilities(counted)
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0   # one number
-    chunks = max(1, -(-chars // CHUNK_CHARS))
-    docs = docs.drop("_ppl", "_chars", "_chunk").withColumn("_chunk", F.pmod(F.xxhash64(*[
-        c for c, kind in docs.dtypes if not kind.startswith("map")]), F.lit(chunks)).cast("int"))
+    docs = docs.drop("_ppl", "_chars", "_chunk")
+    packed = _pack(docs, text, max(1, -(-chars // CHUNK_CHARS)))
 
     def keys(table: pa.Table) -> pa.Table:
         chunk = table.column("_chunk")[0].as_py() if table.num_rows else 0
-        found = [_counted(ngrams(b.column(b.schema.get_field_index(text)))[0])[0]
-                 for b in steps(table.to_batches(), text)]
-        found, _ = _counted(np.concatenate(found)) if found else (np.zeros(0, np.int64), None)
+        found = np.zeros(0, np.int64)
+        for b in _unpack(table):
+            own, _ = _counted(ngrams(b.column(b.schema.get_field_index(text)))[0])
+            found, _ = _counted(np.concatenate([found, own]))
         return pa.table({"_chunk": pa.array(np.full(len(found), chunk, np.int32)), "g": pa.array(found)})
 
-    asked = docs.groupBy("_chunk").applyInArrow(keys, "_chunk int, g long")
+    asked = packed.groupBy("_chunk").applyInArrow(keys, "_chunk int, g long")
     answers = asked.join(known, "g").select("_chunk", "g", "lp")
-    schema = T.StructType([*[f for f in docs.schema.fields if f.name != "_chunk"], T.StructField("_chars", T.LongType()),
-                           T.StructField("_ppl", T.DoubleType())])
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text]
+    schema = T.StructType([*kept, T.StructField("_chars", T.LongType()), T.StructField("_ppl", T.DoubleType())])
     names = [f.name for f in schema.fields]
 
     def add_up(texts: pa.Table, table: pa.Table) -> pa.Table:
         g, lp = table.column("g").to_numpy(), table.column("lp").to_numpy().astype(np.float64)
         order = np.argsort(g)
         g, lp = g[order], lp[order]
-        out: list[np.ndarray] = []
-        many: list[np.ndarray] = []
-        for batch in steps(texts.to_batches(), text):
+        out = []
+        for batch in _unpack(texts):
             code, at = ngrams(batch.column(batch.schema.get_field_index(text)))
             total = np.r_[0.0, np.cumsum(lp[np.searchsorted(g, code)] if len(code) else [])]
             size = np.diff(at)
-            many.append(size)
             with np.errstate(invalid="ignore", divide="ignore"):
-                out.append(np.exp(-(total[at[1:]] - total[at[:-1]]) / size))
-        ppl = np.concatenate(out) if out else np.zeros(0)
-        texts = texts.drop_columns(["_chunk"]).append_column(
-            "_chars", pa.array(np.concatenate(many) if many else np.zeros(0, np.int64))).append_column("_ppl", pa.array(ppl, pa.float64(), mask=np.isnan(ppl)))
-        return texts.select(names)
+                ppl = np.exp(-(total[at[1:]] - total[at[:-1]]) / size)
+            have = dict(zip(batch.schema.names, batch.columns, strict=True))
+            have |= {"_chars": pa.array(size), "_ppl": pa.array(ppl, pa.float64(), mask=size == 0)}
+            out.append(pa.RecordBatch.from_arrays([have[n] for n in names], names=names))
+        return pa.Table.from_batches(out)
 
-    return docs.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(add_up, schema)
+    return packed.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(add_up, schema)
 
 
 def decide(scored: DataFrame, lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
@@ -217,7 +242,7 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
              doc_id: str = "doc_id") -> DataFrame:
     """Per row: doc_id, lang, perplexity, limit, kept."""
     narrow = with_trust(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels)
-    scored = cut(perplexity(narrow).drop("text"))
+    scored = cut(perplexity(narrow, keep_text=False))
     return decide(scored).select("doc_id", "lang", F.col("_ppl").alias("perplexity"), F.col("_limit").alias("limit"),
                                  F.col("_keep").alias("kept"))
 
