@@ -49,6 +49,8 @@ SHARED = 0xF00
 MASK = (1 << BITS * ORDER) - 1
 CHUNK_CHARS = 32_000_000
 BROADCAST_IDS = 1_000_000
+#: Bytes of text whose n-grams a task holds at once (some 40 times that in memory).
+AT_ONCE = 2 << 20
 PRIOR_CHARS = 50
 QUANTILE = 0.99
 SLACK = 1.2
@@ -59,17 +61,16 @@ HOLD = 5
 def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(5-grams of all texts, offsets of each text in them); a text is led by four pads."""
     raw, off = text_bytes(column)
-    cps = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.int64)
+    cps = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     at = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][off]
-    cls = np.where(cps < SHARED, cps, SHARED + cps % (CLASSES - SHARED))
-    sizes = np.diff(at)
-    padded = np.zeros(len(cls) + (ORDER - 1) * len(sizes), np.int64)
-    places = gather(at[:-1] + (ORDER - 1) * (np.arange(len(sizes)) + 1), sizes)
-    padded[places] = cls
-    code = np.zeros(len(cls), np.int64)
-    for back in range(ORDER):
-        code |= padded[places - back] << (BITS * back)
-    return code, at
+    own = np.ones(len(cps) + (ORDER - 1) * (len(at) - 1), bool)
+    own[gather(at[:-1] + (ORDER - 1) * np.arange(len(at) - 1), np.full(len(at) - 1, ORDER - 1))] = False
+    padded = np.zeros(len(own), np.int16)
+    padded[own] = np.where(cps < SHARED, cps, SHARED + cps % (CLASSES - SHARED))
+    code = padded.astype(np.int64)
+    for back in range(1, ORDER):
+        code[back:] |= padded[:-back].astype(np.int64) << (BITS * back)
+    return code[own], at
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +83,7 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
     """(g, c) of ``texts`` (text, trusted): every 5-gram and its count in trusted texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", AT_ONCE):
             code, at = ngrams(batch.column(batch.schema.get_field_index("text")))
             trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
             own = np.repeat(trusted, np.diff(at))
@@ -159,7 +160,7 @@ def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
     dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks)).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, AT_ONCE):
             chunk = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
             found, blobs = np.unique(chunk), []
             for c in found:
