@@ -120,3 +120,40 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str
     failed = rules()["base"]
     return done.select("doc_id", "_m.*", failed.alias("base_failed"), "host_rejected",
                        (~failed & ~F.col("host_rejected")).alias("kept"))
+
+
+def oracle_sql() -> str:
+    """The verdicts on ``documents`` in DuckDB."""
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+x AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+y AS (SELECT r, i, x, lead(x) OVER o AS x1, lead(x, 2) OVER o AS x2 FROM x WINDOW o AS (PARTITION BY r ORDER BY i)),
+z AS (SELECT r, i, count(*) OVER (PARTITION BY r, x, x1, x2) AS n FROM y WHERE x2 IS NOT NULL),
+p AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM z WHERE n > 1) GROUP BY r),
+c AS (
+  SELECT r, doc_id, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines, coalesce(p.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN p USING (r)),
+m AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         10 * n_symbols > word_chars AS f2, 10 * n_dup_lines > 3 * n_lines AS f3,
+         word_chars < 2 * n_words OR word_chars > 15 * n_words AS f4 FROM c),
+q AS (SELECT source, count(*) AS n, [count(*) FILTER (WHERE base_failed), count(*) FILTER (WHERE f2),
+             count(*) FILTER (WHERE f3), count(*) FILTER (WHERE f4)] AS fs FROM m GROUP BY source),
+h AS (SELECT source, n, unnest([1, 2, 3, 4]) AS rule, unnest(fs) AS f FROM q),
+t AS (SELECT rule, sum(n) AS docs, count(*) AS hosts, sum(f) / sum(n) AS rate FROM h GROUP BY rule),
+v AS (SELECT rule, docs, hosts, rate, rate * (1 - rate) AS noise,
+             (sum(n * (f / n - rate) * (f / n - rate)) - (hosts - 1) * rate * (1 - rate)) / docs AS between_
+      FROM h JOIN t USING (rule) GROUP BY ALL),
+s AS (SELECT rule, rate, CASE WHEN between_ > 0 THEN least({MOST_STRENGTH}, greatest({LEAST_STRENGTH}, noise / between_ - 1))
+                         ELSE {MOST_STRENGTH} END AS strength FROM v),
+j AS (SELECT source, bool_or((f + strength * rate) / (n + strength) > {HOST_LIMIT}) AS rejected
+      FROM h JOIN s USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept
+FROM m JOIN j ON m.source IS NOT DISTINCT FROM j.source"""

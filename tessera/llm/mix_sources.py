@@ -138,3 +138,33 @@ def repeat(docs: DataFrame, text: str = "text", source: str = "source", doc_id:
     done = join_lookup(keyed, found.drop("source_size", "target"), "_source")
     times = F.array_repeat(F.lit(0), _epochs().cast("int"))
     return restore(done.withColumn("_time", F.explode(times)), names)
+
+
+def oracle_sql() -> str:
+    """The mix of ``documents`` in DuckDB, with one window per source."""
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+k AS (
+  SELECT r, doc_id, source, size,
+         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE))
+             / CAST({2 ** 52} AS DOUBLE))
+         / (CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + CAST({SYMBOL_PENALTY} AS DOUBLE)
+            * ((length(t) - length(translate(t, '{SYMBOLS}', ''))) / greatest(length(t), 1)))) AS key
+  FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+o AS (SELECT *, CAST({list(SHARES)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(SHARES)} + 1] AS DOUBLE) AS weight,
+             CAST({MOST_EPOCHS} AS DOUBLE) * source_size AS most FROM s),
+l AS (SELECT *, (CAST({TOTAL} AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(most) OVER b, 0))
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
+      FROM o WINDOW b AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT level FROM l WHERE level * weight <= most ORDER BY most / weight, source NULLS LAST LIMIT 1),
+g AS (SELECT source, source_size, coalesce(least(most, (SELECT level FROM v) * weight), most) AS target FROM l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM g),
+f AS (SELECT k.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS budget,
+             sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS FIRST, k.size) AS upto
+      FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + CASE WHEN budget > 0 AND upto - size / 2 <= budget THEN size ELSE 0 END AS BIGINT) AS taken
+FROM f"""

@@ -75,4 +75,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_license_scan": license_digests.oracle_sql()}
+    return {"op4_quality_rules": host_rules.oracle_sql(), "op5_mix_sources": mix_sources.oracle_sql(),
+            "op10_license_scan": license_digests.oracle_sql()}
