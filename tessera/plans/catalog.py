@@ -778,8 +778,8 @@ p AS (SELECT id, text, label, {O.fuse_bigrams(O.remove_blocks(O.remove_urls('htm
 {_sql_window_stage('p', 'pre', 0.35, ', label')},
 t1 AS (SELECT id, label, {O.slang_pairs(O.fix_apostrophes('out'))} AS s1 FROM w6),
 t2 AS (SELECT id, label, {O.slang_words('s1')} AS s2 FROM t1),
-t AS (SELECT id, label, {O.expand_contractions('s2')} AS t9 FROM t2),
-ch AS (SELECT id, label, string_split(t9, '') AS ch FROM t),
+t3 AS (SELECT id, label, {O.expand_contractions('s2')} AS t9 FROM t2),
+ch AS (SELECT id, label, string_split(t9, '') AS ch FROM t3),
 cl AS (SELECT id AS doc_id, label, array_to_string(list_filter(ch, lambda x, i: NOT (i > 2 AND x = ch[i - 1]
                           AND x = ch[i - 2] AND x <> chr(10))), '') AS cleaned FROM ch),
 kept AS (SELECT doc_id, label, cleaned, {O.word_count('cleaned')} AS length FROM cl WHERE {O.word_count('cleaned')} >= 2),
