@@ -149,7 +149,7 @@ h AS (SELECT source, n, unnest([1, 2, 3, 4]) AS rule, unnest(fs) AS f FROM q),
 t AS (SELECT rule, sum(n) AS docs, count(*) AS hosts, sum(f) / sum(n) AS rate FROM h GROUP BY rule),
 v AS (SELECT rule, docs, hosts, rate, rate * (1 - rate) AS noise,
              (sum(n * (f / n - rate) * (f / n - rate)) - (hosts - 1) * rate * (1 - rate)) / docs AS between_
-      FROM h JOIN t USING (rule) GROUP BY ALL),
+      FROM h JOIN t USING (rule) GROUP BY rule, docs, hosts, rate),
 s AS (SELECT rule, rate, CASE WHEN between_ > 0 THEN least({MOST_STRENGTH}, greatest({LEAST_STRENGTH}, noise / between_ - 1))
                          ELSE {MOST_STRENGTH} END AS strength FROM v),
 j AS (SELECT source, bool_or((f + strength * rate) / (n + strength) > {HOST_LIMIT}) AS rejected
