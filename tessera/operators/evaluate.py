@@ -43,6 +43,18 @@ def confusion_wide(df: DataFrame, labels: Sequence, by: Sequence[str] = ("model"
     return wide.select(*by, y_true, *[F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("long")).alias(f"pred_{x}") for x in labels])
 
 
+def pair_by_id(truth: DataFrame, predictions: DataFrame, id_col: str = "id", y_true: str = "y_true",
+               y_pred: str = "y_pred") -> DataFrame:
+    """Predictions joined with the truth of their id, never by position.
+
+    A prediction without a truth fails the job; a truth without a prediction has
+    ``y_pred`` null."""
+    both = truth.withColumn("__t", F.lit(True)).join(predictions, id_col, "full")
+    lost = F.raise_error(F.concat(F.lit("prediction without truth: "), F.col(id_col).cast("string")))
+    return both.withColumn(y_true, F.when(F.col("__t").isNull(), lost.cast(dict(truth.dtypes)[y_true]))
+                           .otherwise(F.col(y_true))).drop("__t")
+
+
 def per_class_counts(df: DataFrame, by: Sequence[str] = ("model",), y_true: str = "y_true",
                      y_pred: str = "y_pred") -> DataFrame:
     """tp / true / predicted counts per class, in one aggregation.

@@ -158,3 +158,12 @@ def test_softmax_is_linear_in_the_classes(spark):
     t = time.time()
     total = wide.select(F.aggregate(softmax("a"), F.lit(0.0), lambda s, x: s + x).alias("t")).agg(F.sum("t")).first()[0]
     assert total == pytest.approx(200) and time.time() - t < 10
+
+
+def test_pairing_by_id_never_by_position(spark):
+    truth = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "id INT, y_true INT")
+    pred = spark.createDataFrame([(3, 2), (1, 1)], "id INT, y_pred INT")
+    got = sorted((r.id, r.y_true, r.y_pred) for r in evaluate.pair_by_id(truth, pred).collect())
+    assert got == [(1, 0, 1), (2, 1, None), (3, 2, 2)]
+    with pytest.raises(Exception, match="without truth"):
+        evaluate.pair_by_id(truth, spark.createDataFrame([(9, 0)], "id INT, y_pred INT")).collect()
