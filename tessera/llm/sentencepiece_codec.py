@@ -36,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import STEP_BYTES, gather, steps, strings, text_bytes
+from .common import gather, steps, strings, text_bytes
 
 #: No such pair.
 NONE = np.int32(2**31 - 1)
+#: Bytes of text, or of packed ids, that a task works on at once (some 30 times that in memory).
+AT_ONCE = 3 << 20
 #: Symbols of a word from which on it is merged with a heap.
 LONG_WORD = 2048
 SPACE = "▁"
@@ -357,7 +359,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary.load(model.value)  # once per worker
-        for batch in steps(batches, text, STEP_BYTES):
+        for batch in steps(batches, text, AT_ONCE):
             flat, off = encode_texts(v, batch.column(batch.schema.get_field_index(text)))
             have = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             have[ids] = strings(flat.astype("<u4").view(np.uint8), off * 4, pa.binary())
@@ -376,7 +378,7 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary.load(model.value)  # once per worker
-        for batch in steps(batches, ids, STEP_BYTES):
+        for batch in steps(batches, ids, AT_ONCE):
             packed = pc.fill_null(batch.column(batch.schema.get_field_index(ids)), b"").cast(pa.large_binary())
             _, offsets, data = packed.buffers()
             off = np.frombuffer(offsets, np.int64, len(packed) + 1, packed.offset * 8)
