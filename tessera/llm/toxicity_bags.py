@@ -128,7 +128,7 @@ def word_vectors(embedding: np.ndarray, buckets: np.ndarray, many: np.ndarray) -
     return np.add.reduceat(embedding[buckets], np.cumsum(many) - many, axis=0) / many[:, None]
 
 
-def train(docs: list[tuple[list[str], list[int]]], labels: np.ndarray) -> Model:
+def train(docs: list[tuple[list[str], np.ndarray]], labels: np.ndarray) -> Model:
     """Joint training with Adam over batches of documents (words, counts)."""
     share = float(labels.mean()) if len(labels) else 0.0
     if not len(labels) or share in (0.0, 1.0):
@@ -140,7 +140,7 @@ def train(docs: list[tuple[list[str], list[int]]], labels: np.ndarray) -> Model:
     # each document as its buckets and what each adds to the mean
     bags = []
     for own, (_, counts) in zip(codes, docs, strict=True):
-        per_gram = np.array(counts, float) / max(1, sum(counts)) / many[own] * SCALE
+        per_gram = counts / max(1, counts.sum()) / many[own] * SCALE
         bag = np.bincount(buckets[gather(start[own], many[own])], weights=np.repeat(per_gram, many[own]))
         at = np.flatnonzero(bag)
         bags.append((at.astype(np.int32), bag[at].astype(np.float32)))
@@ -205,9 +205,11 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[
                 pa.array(out_words, pa.list_(pa.string())), pa.array(out_counts, pa.list_(pa.int64()))],
                 names=["doc_id", "toxic", "words", "counts"])
 
-    found = sorted(((r.doc_id, r.words, r.counts, int(r.toxic)) for r in texts.mapInArrow(words, schema).toLocalIterator()
-                    if r.words))
-    return [(w, c) for _, w, c, _ in found], np.array([int(t > 0) for *_, t in found], np.int64)
+    one: dict[str, str] = {}   # each word is held once
+    found = [(r.doc_id, [one.setdefault(w, w) for w in r.words], np.array(r.counts, np.int32), int(r.toxic > 0))
+             for r in texts.mapInArrow(words, schema).toLocalIterator() if r.words]
+    found.sort(key=lambda x: (x[0], x[1]))
+    return [(w, c) for _, w, c, _ in found], np.array([t for *_, t in found], np.int64)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
