@@ -50,7 +50,7 @@ MASK = (1 << BITS * ORDER) - 1
 CHUNK_CHARS = 32_000_000
 BROADCAST_IDS = 1_000_000
 #: Bytes of text whose n-grams a task holds at once (some 40 times that in memory).
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 PRIOR_CHARS = 50
 QUANTILE = 0.99
 SLACK = 1.2
@@ -250,7 +250,17 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str =
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
               doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows that the classifier rejects."""
+    """``docs`` without the rows that the classifier rejects.
+
+    Rows are judged by their id, language and text alone; the rejected ones are found again
+    by a 128-bit key of the whole row, so no other column goes through the tasks.  They are
+    counted: up to ``BROADCAST_IDS`` keys are sent out, beyond that both sides are dealt."""
     hidden, names = hide(docs)
-    scored = cut(perplexity(with_trust(hidden, labels, names[doc_id]), names[text]))
-    return restore(decide(scored, names[lang]).filter("_keep"), names)
+    plain = [names[c] for c, kind in docs.dtypes if not kind.startswith("map")]
+    keyed = hidden.withColumns({"_k1": F.xxhash64(*plain), "_k2": F.xxhash64(F.lit(1), *plain)})
+    narrow = keyed.select(F.col(names[doc_id]).alias("doc_id"), F.col(names[lang]).alias("lang"),
+                          F.col(names[text]).alias("text"), "_k1", "_k2")
+    scored = cut(perplexity(with_trust(narrow, labels), keep_text=False))
+    rejected = cut(decide(scored).filter(~F.col("_keep")).select("_k1", "_k2").distinct())
+    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_IDS else rejected
+    return restore(keyed.join(rejected, ["_k1", "_k2"], "left_anti"), names)
