@@ -1,18 +1,19 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model (operator 6).
 
-The n-grams are of characters, so the model's tables grow with the kinds of text, not with
-its amount, and misspelt or rare words need no special case.  A character is one of
-``CLASSES`` classes (code points from ``SHARED`` on share the last ones), and a 5-gram is a
-60-bit integer whose prefix and suffix are shifts and masks, so all tables are made and
-joined by plain column arithmetic.
-
-1. Tasks count the 5-grams of their texts, those of trusted documents apart, and Spark adds
-   them up: the query set (all n-grams of the corpus) and the counts of trusted text.
+The model is of word trigrams, so its tables grow with the corpus and word order counts.  Words
+(:data:`TOKEN`: runs of letters and digits, with the blank before them, and single other
+characters) are hashed to 64 bits.  Below the unigrams, each word is spelled by a Kneser-Ney model of
+character 5-grams over the distinct trusted words, so misspelt and unseen words have a
+probability of their own; perplexities are per character.  A second model, of the 5-grams of whole
+texts, finds garbled text; a document goes if either model rejects it.
+
+1. Tasks count the trigrams of their texts, those of trusted documents apart, and Spark adds
+   them up: the query set (all trigrams of the corpus) and the counts of trusted text.
 2. Lower orders get continuation counts, each order its three discounts from its counts of
-   counts, each context its sum and its numbers of followers seen once, twice and oftener.
+   counts, each context its sum and what its discounts free.
 3. From order 1 up, the probabilities of all distinct query n-grams come from joins with the
-   counts of the n-gram, of its context and the probability of its suffix.  The tables are
-   sharded by their keys; a context has at most ``CLASSES`` followers, so no key is hot.
+   context and the probability of the suffix.  The tables are sharded by their keys; keys of
+   more than ``HOT`` rows are salted, as a common word has followers without bound.
 4. Documents are dealt to chunks of about ``CHUNK_CHARS``, packed (compressed Arrow) so that
    their one shuffle is small; the distinct n-grams of each chunk are joined with the
    probabilities, and the chunk's documents are summed up with them.
@@ -20,6 +21,9 @@ joined by plain column arithmetic.
    the mean of its language's trusted text.  A document is rejected if that perplexity is
    over the ``QUANTILE`` of the trusted documents of its language, times ``SLACK``.
 
+The spelling model's characters are of ``CLASSES`` classes (code points from ``SHARED`` on share
+the last ones); a 5-gram is a 60-bit integer whose prefix and suffix are shifts and masks.
+
 Trusted documents are those with the label quality = 1.  Four fifths of them, by a digest of
 the id, train the model, and the rest, which it has not seen, give the means and quantiles: text
 that was counted looks better than it is, the more so the less there is.  The ids are counted: up to ``BROADCAST_IDS`` they are sent out, beyond that both sides are dealt by id.
@@ -32,7 +36,9 @@ make it trusted; other columns pass through; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, gather, hide, join_lookup, restore, steps, text_bytes, whole
+from .common import LOOKUP_ROWS, SALTS, cut, gather, hide, join_lookup, restore, steps, text_bytes, whole
 
 ORDER = 5
 BITS = 12
@@ -56,6 +62,14 @@ QUANTILE = 0.99
 SLACK = 1.2
 #: One of so many trusted documents is kept from the counts, for the thresholds.
 HOLD = 5
+#: Every character of a text is in one token; scripts without blanks give one for each character,
+#: and longer runs give several.
+CJK = "\u3040-\u30ff\u3400-\u9fff"
+TOKEN = re.compile(rf" ?[{CJK}]| ?[^\W{CJK}]{{1,32}}| ?[^\w\s]|\s")
+#: Ends the spelling of a word.
+END = "\0"
+#: Rows of a key from which on they are dealt to several tasks.
+HOT = 1000
 
 
 def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -180,10 +194,10 @@ def _unpack(packed: pa.Table) -> Iterator[pa.RecordBatch]:
             yield from stream
 
 
-def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
-    """``docs`` with _chars and _ppl, each text's perplexity per character (null without any)."""
-    counted = cut(count_ngrams(docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))))
-    known = probabilities(counted)
+def _summed(docs: DataFrame, known: DataFrame, grams: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]],
+            text: str, keep_text: bool) -> DataFrame:
+    """``docs`` with _chars and _ppl from the log probabilities ``known`` (g, lp) of the n-grams that
+    ``grams`` gives with the offsets and characters of each text."""
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0   # one number
     docs = docs.drop("_ppl", "_chars", "_chunk")
     packed = _pack(docs, text, max(1, -(-chars // CHUNK_CHARS)))
@@ -192,7 +206,7 @@ def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_
         chunk = table.column("_chunk")[0].as_py() if table.num_rows else 0
         found = np.zeros(0, np.int64)
         for b in _unpack(table):
-            own, _ = _counted(ngrams(b.column(b.schema.get_field_index(text)))[0])
+            own, _ = _counted(grams(b.column(b.schema.get_field_index(text)))[0])
             found, _ = _counted(np.concatenate([found, own]))
         return pa.table({"_chunk": pa.array(np.full(len(found), chunk, np.int32)), "g": pa.array(found)})
 
@@ -208,9 +222,8 @@ def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_
         g, lp = g[order], lp[order]
         out = []
         for batch in _unpack(texts):
-            code, at = ngrams(batch.column(batch.schema.get_field_index(text)))
+            code, at, size = grams(batch.column(batch.schema.get_field_index(text)))
             total = np.r_[0.0, np.cumsum(lp[np.searchsorted(g, code)] if len(code) else [])]
-            size = np.diff(at)
             with np.errstate(invalid="ignore", divide="ignore"):
                 ppl = np.exp(-(total[at[1:]] - total[at[:-1]]) / size)
             have = dict(zip(batch.schema.names, batch.columns, strict=True))
@@ -221,6 +234,143 @@ def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_
     return packed.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(add_up, schema)
 
 
+def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
+    """``docs`` with _chars and _ppl, each text's perplexity per character (null without any) under character 5-grams."""
+    counted = cut(count_ngrams(docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))))
+
+    def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code, at = ngrams(column)
+        return code, at, np.diff(at)
+
+    return _summed(docs, probabilities(counted), grams, text, keep_text)
+
+
+def _rotl(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def trigram_keys(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64(w1, w2, w3)`` of longs."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    h = np.full(len(w1), 42, np.uint64)
+    for w in (w1, w2, w3):
+        h = (h + (p5 + np.uint64(8))) ^ (_rotl(w.view(np.uint64) * p2, 31) * p1)
+        h = _rotl(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return h.view(np.int64)
+
+
+def _token_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """(token number of all texts, offsets of each text in them, characters of each text, tokens, their hashes)."""
+    known: dict[str, int] = {}
+    codes, at, chars = [], [0], []
+    for t in column.to_pylist():
+        codes += [known.setdefault(w, len(known)) for w in TOKEN.findall(t or "")]
+        at.append(len(codes))
+        chars.append(len(t or ""))
+    hashes = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+                       for w in known], np.int64)
+    return np.array(codes, np.int64), np.array(at, np.int64), np.array(chars, np.int64), list(known), hashes
+
+
+def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the three word hashes of each token's trigram, offsets of each text in them, characters
+    of each text); a text is led by two pads."""
+    codes, at, chars, _, hashes = _token_ids(column)
+    own = np.ones(len(codes) + 2 * (len(at) - 1), bool)
+    own[gather(at[:-1] + 2 * np.arange(len(at) - 1), np.full(len(at) - 1, 2))] = False
+    padded = np.zeros(len(own), np.int64)
+    padded[own] = hashes[codes] if len(codes) else 0
+    place = np.flatnonzero(own)
+    return np.stack([padded[place - 2], padded[place - 1], padded[place]]), at, chars
+
+
+def count_trigrams(texts: DataFrame) -> DataFrame:
+    """(w1, w2, w3, c) of ``texts`` (text, trusted): every trigram and its count in trusted texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text", AT_ONCE):
+            grams, at, _ = trigrams(batch.column(batch.schema.get_field_index("text")))
+            trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
+            _, first, of = np.unique(trigram_keys(*grams), return_index=True, return_inverse=True)
+            many = np.bincount(of, weights=np.repeat(trusted, np.diff(at)), minlength=len(first)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(w[first]) for w in grams), pa.array(many)], names=["w1", "w2", "w3", "c"])
+
+    return texts.mapInArrow(run, "w1 long, w2 long, w3 long, c long").groupBy("w1", "w2", "w3").agg(F.sum("c").alias("c"))
+
+
+def spellings(texts: DataFrame) -> DataFrame:
+    """(w3, spelled): log probability of the spelling of every word of ``texts`` (text, trusted)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text", AT_ONCE):
+            codes, at, _, names, hashes = _token_ids(batch.column(batch.schema.get_field_index("text")))
+            trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
+            yes = np.zeros(len(names), bool)
+            yes[codes[np.repeat(trusted, np.diff(at))]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([w + END for w in names], pa.string()), pa.array(yes)],
+                                             names=["w3", "text", "_train"])
+
+    words = cut(texts.mapInArrow(run, "w3 long, text string, _train boolean").groupBy("w3").agg(
+        F.min("text").alias("text"), F.max("_train").alias("_train")))
+    return perplexity(words, keep_text=False).select("w3", (-F.log("_ppl") * F.col("_chars")).alias("spelled"))
+
+
+def _join_hot(big: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``big`` with the columns of ``table``, which has one row for each key, and in ``n`` its rows in ``big``.
+
+    The rows of keys with more than ``HOT`` are salted on both sides."""
+    rows = table.agg(F.sum("n")).first()[0] or 0   # one number
+    hot = table.filter(F.col("n") > max(HOT, rows // LOOKUP_ROWS)).select(*keys, F.lit(True).alias("_hot"))
+    hot = F.broadcast(cut(hot))   # LOOKUP_ROWS rows at most
+    salt = F.pmod(F.xxhash64("w1" if "w1" in big.columns else "w2", "w3"), F.lit(SALTS)).cast("int")
+    left = big.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    right = table.drop("n").join(hot, keys, "left").withColumn("_salt", F.explode(F.when(
+        F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+def word_probabilities(counted: DataFrame, spelled: DataFrame) -> DataFrame:
+    """(g, lp): natural log probability of the last word of every counted trigram, by its key."""
+    tables = {3: counted}
+    for k, words in ((2, ["w2", "w3"]), (1, ["w3"])):
+        # continuation counts: how many different words come before
+        tables[k] = cut(tables[k + 1].groupBy(*words).agg(
+            F.sum((F.col("c") > 0).cast("long")).alias("c"), F.count(F.lit(1)).alias("n")))
+    lower = None
+    for k in (1, 2, 3):
+        less = F.get(F.array(*[F.lit(x) for x in _discounts(tables[k])]), F.least(F.col("c"), F.lit(3)).cast("int"))
+        sums = [F.sum("c").alias("all"), F.sum(less).alias("freed")]
+        if lower is None:
+            found = tables[1].join(spelled.withColumn("p_low", F.exp(F.greatest("spelled", F.lit(-700.0)))), "w3").crossJoin(
+                F.broadcast(tables[1].agg(*sums)))   # one row
+        else:
+            context = [f"w{i}" for i in range(4 - k, 3)]
+            contexts = cut(tables[k].groupBy(*context).agg(*sums, F.count(F.lit(1)).alias("n")))
+            found = _join_hot(_join_hot(tables[k], contexts, context), lower, [f"w{i}" for i in range(5 - k, 4)])
+        p = F.when(F.coalesce(F.col("all"), F.lit(0)) == 0, F.col("p_low")).otherwise(
+            (F.when(F.col("c") > 0, F.col("c") - less).otherwise(0.0) + F.col("freed") * F.col("p_low")) / F.col("all"))
+        lower = found.withColumn("p_low", p).select(*[f"w{i}" for i in range(4 - k, 4)], "p_low", *["n"] * (k < 3))
+        if k < 3:
+            lower = cut(lower)
+    return lower.select(F.xxhash64("w1", "w2", "w3").alias("g"), F.log("p_low").cast("float").alias("lp"))
+
+
+def word_perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
+    """``docs`` with _chars and _ppl, each text's perplexity per character under the word model."""
+    texts = docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))
+    known = word_probabilities(cut(count_trigrams(texts)), spellings(texts))
+
+    def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, at, chars = trigrams(column)
+        return trigram_keys(*found), at, chars
+
+    return _summed(docs, known, grams, text, keep_text)
+
+
 def decide(scored: DataFrame, lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``scored`` (lang, _hold, _chars, _ppl) with _smooth, _limit and _keep."""
     keyed = scored.withColumns({
@@ -239,28 +389,41 @@ def decide(scored: DataFrame, lang: str = "lang", quantile: float = QUANTILE, sl
     return join_lookup(keyed, limits, "_lang").drop("_lang", "_mean", "_bits").withColumn("_keep", keep)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a 128-bit key of the whole row."""
+    plain = [c for c, kind in docs.dtypes if not kind.startswith("map")]
+    return docs.withColumns({"_k1": F.xxhash64(*plain), "_k2": F.xxhash64(F.lit(1), *plain)})
+
+
+def _rejected(decided: DataFrame) -> DataFrame:
+    return decided.filter(~F.col("_keep")).select("_k1", "_k2").distinct()
+
+
+def _sent(rejected: DataFrame) -> DataFrame:
+    """Rejected keys are counted: up to ``BROADCAST_IDS`` they are sent out, beyond that both sides are dealt."""
+    rejected = cut(rejected)
+    return F.broadcast(rejected) if rejected.count() <= BROADCAST_IDS else rejected
+
+
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
              doc_id: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, lang, perplexity, limit, kept."""
-    narrow = with_trust(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")), labels)
-    scored = cut(perplexity(narrow, keep_text=False))
-    return decide(scored).select("doc_id", "lang", F.col("_ppl").alias("perplexity"), F.col("_limit").alias("limit"),
-                                 F.col("_keep").alias("kept"))
+    """Per row: doc_id, lang, perplexity and limit of the word model, kept by both models."""
+    narrow = with_trust(_keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))), labels)
+    garbled = _sent(_rejected(decide(cut(perplexity(narrow, keep_text=False)))).withColumn("_garbled", F.lit(True)))
+    decided = decide(cut(word_perplexity(narrow, keep_text=False))).join(garbled, ["_k1", "_k2"], "left")
+    return decided.select("doc_id", "lang", F.col("_ppl").alias("perplexity"), F.col("_limit").alias("limit"),
+                          (F.col("_keep") & F.col("_garbled").isNull()).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
               doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows that the classifier rejects.
+    """``docs`` without the rows that one of the two models rejects.
 
     Rows are judged by their id, language and text alone; the rejected ones are found again
-    by a 128-bit key of the whole row, so no other column goes through the tasks.  They are
-    counted: up to ``BROADCAST_IDS`` keys are sent out, beyond that both sides are dealt."""
+    by a 128-bit key of the whole row, so no other column goes through the tasks."""
     hidden, names = hide(docs)
-    plain = [names[c] for c, kind in docs.dtypes if not kind.startswith("map")]
-    keyed = hidden.withColumns({"_k1": F.xxhash64(*plain), "_k2": F.xxhash64(F.lit(1), *plain)})
-    narrow = keyed.select(F.col(names[doc_id]).alias("doc_id"), F.col(names[lang]).alias("lang"),
-                          F.col(names[text]).alias("text"), "_k1", "_k2")
-    scored = cut(perplexity(with_trust(narrow, labels), keep_text=False))
-    rejected = cut(decide(scored).filter(~F.col("_keep")).select("_k1", "_k2").distinct())
-    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_IDS else rejected
-    return restore(keyed.join(rejected, ["_k1", "_k2"], "left_anti"), names)
+    keyed = _keyed(hidden)
+    narrow = with_trust(keyed.select(F.col(names[doc_id]).alias("doc_id"), F.col(names[lang]).alias("lang"),
+                                     F.col(names[text]).alias("text"), "_k1", "_k2"), labels)
+    both = [_rejected(decide(cut(model(narrow, keep_text=False)))) for model in (perplexity, word_perplexity)]
+    return restore(keyed.join(_sent(both[0].union(both[1]).distinct()), ["_k1", "_k2"], "left_anti"), names)

@@ -83,3 +83,28 @@ def test_odd_rows(odd, labels, none):
     # without trusted documents, what has characters stays
     free = kn_quality.classify(odd, labels.limit(0)).collect()
     assert {r.kept for r in free if r.doc_id not in (2, 3)} == {True} and {r.kept for r in free if r.doc_id in (2, 3)} == {False}
+
+
+def test_word_keys_are_those_of_spark(spark):
+    import numpy as np
+    w = [np.array(x, np.int64) for x in ([0, -5, 2 ** 62], [1, 7, -2 ** 63], [2, 0, 9])]
+    df = spark.createDataFrame([tuple(int(x) for x in r) for r in zip(*w, strict=True)], "w1 long, w2 long, w3 long")
+    assert kn_quality.trigram_keys(*w).tolist() == [r.g for r in df.select(F.xxhash64("w1", "w2", "w3").alias("g")).collect()]
+
+
+def test_word_order_counts_and_unseen_words_are_spelled(spark, monkeypatch):
+    monkeypatch.setattr(kn_quality, "HOT", 2)
+    trusted = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog sat on the rug"] * 5
+    other = ["the cat sat on the log", "log the on cat sat the", "the the the the the the", "the cats sat on the log", "the xqzv sat on the log", "", " \n"]
+    rows = [(i, t, i < len(trusted)) for i, t in enumerate(trusted + other)] + [(99, None, False)]
+    got = {r.text: r._ppl for r in kn_quality.word_perplexity(spark.createDataFrame(rows, "doc_id long, text string, _train boolean")).collect()}
+    good, shuffled, repeated, near, far, empty, blank = (got[t] for t in other)
+    assert 2 * good < shuffled and 1.5 * good < repeated and good < near < far and empty is None and got[None] is None and blank > 1
+
+
+def test_word_tables_grow_with_the_text(spark):
+    n = {}
+    for sf in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("text").distinct()
+        n[sf] = kn_quality.count_trigrams(docs.select("text", F.lit(False).alias("trusted"))).count()
+    assert n["sf0.01"] > 3 * n["sf0.001"]
