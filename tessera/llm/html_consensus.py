@@ -1,8 +1,10 @@
 """Main text of web pages by consensus host paths (operator 7).
 
 1. In tasks, every page is cut into blocks of text, each with the generalised path of its
-   container (tags with their first class, digits as ``#``).  Blocks in menus, adverts,
-   forms and the like are marked.  The others give their length, less twice that of links,
+   container (tags with their first class, digits as ``#``).  Blocks in menus, forms and the
+   like (by tag, role or style) are marked.  Where only class or id words say so, the container
+   is marked unless it has ``LARGE`` times the unlinked text of what is not marked around it, so
+   an article in a badly named container stays and takes part in the votes.  The others give their length, less twice that of links,
    to their container and half of it to the one above; the best container is the page's vote.
 2. Spark adds the votes up by host and path (pre-aggregated in tasks, so a host with a third
    of all pages is no hot key).  Paths with a tenth of their host's votes win, ten at most.
@@ -12,7 +14,7 @@
 Blocks: white space is one blank, entities are decoded, ``<br>`` is white space, blocks are
 joined in page order by a line feed.  Nothing else is dropped or cut.
 
-Defined cases: a null or empty html, and a page with nothing but marked blocks, gives an
+Defined cases: a null or empty html, and a page with nothing but marked (and no large) blocks, gives an
 empty text; pages without a usable url are one host; unclosed tags, comments and scripts
 run to where HTML closes them or to the end; containers deeper than ``DEEPEST`` count as
 their ancestor there; equal rows give equal rows; other columns pass through.
@@ -35,6 +37,9 @@ from .common import cut, hide, join_lookup, restore, steps
 #: Share of a host's votes from which on a path wins.
 WINNING_SHARE = 0.1
 DEEPEST = 64
+#: A container that class words mark stays if it has so many characters, and so many times the text around it.
+LEAST = 200
+LARGE = 4
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +73,9 @@ MARKED_WORDS = frozenset(
     "subscription signup login share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager skip skiplink hidden".split())
 MARKED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
+#: Words that turn the words beside them in a class around, and layout words, whose widgets hold anything.
+NEGATED = frozenset("has no not with without".split())
+LAYOUT = frozenset("container wrapper wrap layout".split())
 #: Words beside ``header`` that make it the article's own.
 OWN_HEADER = frozenset("article entry post story content".split())
 
@@ -97,19 +105,50 @@ def _marked(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in MARKED_ROLES:
         return True
-    if tag in ("html", "body"):
+    return False
+
+
+def _suspect(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether class or id words mark the element."""
+    if not attributes or tag in ("html", "body"):
         return False
-    words = {w.lower() for w in WORDS.split(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
-    found = words & MARKED_WORDS
+    words: set[str] = set()
+    found: set[str] = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        own = {w.lower() for w in WORDS.split(name)}
+        words |= own
+        if not own & NEGATED:
+            found |= (own & MARKED_WORDS) - ({"widget", "widgets"} if own & LAYOUT else set())
     return bool(found) and not (found <= {"header", "headers"} and (in_article or words & OWN_HEADER))
 
 
+Suspects = tuple[str, ...]
+
+
+def _cleared(found: list[tuple[str, str, int, Suspects]]) -> list[tuple[str, str, int]]:
+    """The blocks without those in suspect containers, unless these are large beside the rest."""
+    own: defaultdict[Suspects, int] = defaultdict(int)
+    inside: defaultdict[Suspects, int] = defaultdict(int)
+    for _, text, links, chain in found:
+        worth = max(0, len(text) - 2 * links)
+        own[chain] += worth
+        for k in range(len(chain)):
+            inside[chain[:k + 1]] += worth
+    # text that is not marked, of the container and those above it; -1 is a marked container
+    rest = {(): own[()]}
+    for chain in sorted(inside, key=len):
+        around = rest[chain[:-1]]
+        stays = around >= 0 and inside[chain] >= max(LEAST, LARGE * around)
+        rest[chain] = around + own[chain] if stays else -1
+    return [(path, text, links) for path, text, links, chain in found if rest[chain] >= 0]
+
+
 def blocks(page: str | None) -> list[tuple[str, str, int]]:
     """(path of the container, text, characters in links) of each block that is not marked."""
-    out: list[tuple[str, str, int]] = []
+    out: list[tuple[str, str, int, Suspects]] = []
     page = page or ""
-    # open elements: (tag, path of the container in it, marked, inside an article)
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    # open elements: (tag, path of the container in it, marked, inside an article, suspect containers)
+    stack: list[tuple[str, str, bool, bool, Suspects]] = [("", "", False, False, ())]
     opened: defaultdict[str, int] = defaultdict(int)
     text: list[str] = []
     linked = 0
@@ -119,7 +158,7 @@ def blocks(page: str | None) -> list[tuple[str, str, int]]:
         if text:
             if joined := " ".join("".join(text).split()):
                 # a paragraph is a block of the container that holds it
-                out.append((stack[-1][1], joined, min(linked, len(joined))))
+                out.append((stack[-1][1], joined, min(linked, len(joined)), stack[-1][4]))
             text.clear()
             linked = 0
 
@@ -182,16 +221,19 @@ def blocks(page: str | None) -> list[tuple[str, str, int]]:
                 close = page.find(">", at)
                 at = size if close < 0 else close + 1
             continue
-        _, path, marked, in_article = stack[-1]
+        _, path, marked, in_article, chain = stack[-1]
         found = _attributes(attributes) if attributes.strip() else {}
-        marked = marked or _marked(tag, found, in_article)
+        suspect = _suspect(tag, found, in_article)
+        marked = marked or _marked(tag, found, in_article) or (suspect and tag not in BLOCK)
         if tag in BLOCK and tag != "p" and not re.fullmatch("h[1-6]", tag) and path.count(">") < DEEPEST:
             first = found.get("class", "").split()[:1]
             path = f"{path}>{tag}" + (f".{DIGITS.sub('#', first[0])}" if first else "")
-        stack.append((tag, path, marked, in_article or tag == "article"))
+        if suspect and len(chain) < DEEPEST:
+            chain = (*chain, path)
+        stack.append((tag, path, marked, in_article or tag == "article", chain))
         opened[tag] += 1
     flush()
-    return out
+    return _cleared(out)
 
 
 ARTICLE = re.compile(r"^((?:.*?)>article(?:\.[^>]*)?)(?:>|$)")

@@ -47,3 +47,24 @@ def test_odd_rows(spark):
     assert len(got) == 6 and sorted(len(r.text) for r in got) == [0, 0, 0, 6, 499_999, 499_999]
     assert {r["paths"] for r in got} == {"p"}
     assert consensus.main_text(df.limit(0)).count() == 0
+
+
+def test_class_words_do_not_drop_the_article():
+    story = "A long story with many words, really, in every paragraph of it. " * 10
+    for outer in ("<div class='content has-sidebar'>", "<main class='no-sidebar'>", "<div class='elementor-widget-container'>",
+                  "<div class='page-with-header-banner'>", "<div class='story related-top'>", "<div id=sidebar-wrapper>"):
+        page = f"<body><nav>menu</nav>{outer}<p>{story}</p><div class='ad'>buy</div><div class=share><a href=x>{story}</a></div></div><p>foot"
+        assert consensus.extract(consensus.blocks(page), []).split("\n")[0] == story.strip(), outer
+        assert not any("buy" in t or t.count("story") > 10 or n for _, t, n in consensus.blocks(page)), outer
+    # a large block is still marked beside an article
+    page = f"<div class=story><p>{story}</p></div><div class=comments><p>{'No, never. ' * 100}</p></div>"
+    assert consensus.extract(consensus.blocks(page), []) == story.strip()
+    assert consensus.blocks("<div class=ad><p>buy</p></div>") == []
+
+
+def test_host_decides_on_large_marked_containers(spark):
+    story, talk = "A long story with many words, really, in it. " * 10, "No, never, said they. " * 200
+    page = "<body><div class=story><p>{}</p></div><div class=comments><p>{}</p></div>"
+    rows = [(i, "http://h.example/x", page.format(story, "No.")) for i in range(20)] + [(99, "http://h.example/y", page.format(story, talk))]
+    got = {r.page_id: r.text for r in consensus.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[99] == got[0] == story.strip()
