@@ -4,8 +4,8 @@ A text is brought to a canonical form: lower case, everything but letters, digit
 ends as one blank, copyright lines dropped, equivalent spellings made one; its digest is then
 hash-joined with the digests of known licence texts.  Entire texts are compared, and, since
 documents quote notices, so are their paragraphs and their lines, each as an entire text.
-The known texts are a fixed list with notices made from names and phrases by rule, so the
-broadcast side has a fixed size.  One pass over the documents; only digests that matched and
+The known texts are a fixed list (whole licences from ``licenses/``, their paragraphs, short texts
+with and without title) with notices made from names and phrases by rule, so the broadcast side has a fixed size.  One pass over the documents; only digests that matched and
 one row per document are shuffled.
 
 Defined cases: null and empty texts, and texts of copyright lines alone, have the digest of
@@ -15,6 +15,9 @@ rows; other columns are not looked at; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +69,7 @@ PHRASES = (
     "SPDX-License-Identifier: {}",
 )
 
-# Whole licence texts.
+# Short licence texts and notices.
 TEXTS = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
@@ -112,10 +115,41 @@ specific language governing permissions and limitations under the License.""",
 }
 
 
+#: Whole licences as they are published, shipped as data, by identifier.
+FILES = Path(__file__).with_name("licenses")
+#: Shorter paragraphs (headings, say) are no notices of their own.
+CLAUSE = 60
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(text, identifier) of whole licences, short ones also with their titles and without clause numbers."""
+    files = [(f.read_text(encoding="utf-8"), f.stem) for f in sorted(FILES.glob("*.txt"))]
+    found = [(text, known) for known, text in TEXTS.items()] + files
+    for text, known in [x for x in found if len(x[0]) < 3000 and x[1] != "Apache-2.0"]:
+        names = dict.fromkeys((*NAMES.get(known, ()), known, f"{known} License"))
+        titles = [t for n in names for t in (n, f"The {n}", f"{n} ({known})", f"The {n} ({known})")]
+        bare = re.sub(r"(?m)^ *[0-9]\. *", "", text)
+        for own in dict.fromkeys((text, bare)):
+            found += [(own, known), *((f"{t}\n\n{own}", known) for t in titles)]
+    return list(dict.fromkeys(found))
+
+
+def clauses() -> list[tuple[str, str]]:
+    """(text, identifier) of the paragraphs and numbered clauses that stand in one licence only."""
+    of: dict[str, tuple[str, set[str]]] = {}
+    for text, known in [*((re.sub(r"(?m)([.:])$", r"\1\n", t), k) for k, t in TEXTS.items() if k != "Apache-2.0"),
+                        *((f.read_text(encoding="utf-8"), f.stem) for f in sorted(FILES.glob("*.txt")))]:
+        for part in re.split(r"\n\s*\n", text):
+            if len(" ".join(part.split())) >= CLAUSE:
+                key = " ".join(re.findall(r"\w+", part.lower()))
+                of.setdefault(key, (part, set()))[1].add(known)
+    return [(part, next(iter(known))) for part, known in of.values() if len(known) == 1]
+
+
 def registry() -> list[tuple[str, str]]:
     """(text, identifier) of everything known; the first identifier of a text holds."""
     made = [(phrase.format(name), known) for known, names in NAMES.items() for name in (*names, known) for phrase in PHRASES]
-    return [(text, known) for known, text in TEXTS.items()] + made
+    return whole_texts() + made + clauses()
 
 
 def _plain(text: Column) -> Column:

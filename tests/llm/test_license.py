@@ -30,3 +30,20 @@ def test_rows_stay(odd, none):
 def test_registry_has_no_clash(spark):
     known = license_digests.known_digests(spark)
     assert known.count() == known.select("unit").distinct().count() > 100
+
+
+def test_whole_licences_are_known(spark):
+    files = {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+             "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [((license_digests.FILES / f"{v}.txt").read_text(), v) for v in files.values()]
+    mit = license_digests.TEXTS["MIT"]
+    parts = mit.replace("conditions:\n", "conditions:\n\n").replace("the Software.\nTHE", "the Software.\n\nTHE")
+    rows += [(f"{title}\n\nCopyright (c) 2020 Ann\n\n{parts}", "MIT") for title in ("MIT License", "The MIT License", "The MIT License (MIT)")]
+    bsd = (license_digests.FILES / "BSD-3-Clause.txt").read_text()
+    rows += [("BSD 3-Clause License\n\nCopyright (c) 2020, Ann\nAll rights reserved.\n\n" + bsd, "BSD-3-Clause"),
+             (bsd.replace("1.", "*").replace("2.", "*").replace("3.", "*"), "BSD-3-Clause")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_digests.scan(df).collect()}
+    assert [got[i].license for i in range(len(rows))] == [k for _, k in rows]
+    clause = "words\n\n" + parts.split("\n\n")[1] + "\n\nmore words"
+    assert license_digests.scan(spark.createDataFrame([(1, clause)], "doc_id long, text string")).first().notices == "MIT"
