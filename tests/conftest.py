@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -18,7 +15,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    return [tuple(r[c] for c in cols) for r in df.collect()]

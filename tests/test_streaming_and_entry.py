@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 
 
 def test_clean_stream_available_now(spark, tmp_path):
