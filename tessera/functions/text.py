@@ -142,6 +142,15 @@ WORD_RUN = r"\w+"
 WORD_WITH_APOSTROPHES = r"'?\w+(?:'\w+)*"
 
 
+def no_recursion(pattern: str) -> str:
+    """``pattern`` with possessive loops, for Java, whose loops over a group with alternatives
+    or of several parts use a stack frame for each turn.
+
+    Only for patterns in which giving a turn back cannot help: what follows a loop must not
+    start like what the loop takes."""
+    return re.sub(r"(?<=[\])\w])([*+])(?![*+?])", r"\1+", pattern)
+
+
 def _map_words(c: Column, pattern: str, one: Callable[[Column], Column]) -> Column:
     """Replace each match of ``pattern`` by ``one(match)``; what stands between stays."""
     def body(t: Column) -> Column:
@@ -202,7 +211,7 @@ def expand_contractions(c: ColumnOrName, mapping: Column | None = None) -> Colum
             let(lookup(F.lower(word)), cased(word)),
             F.when(word.startswith("'"), F.concat(F.lit("'"), let(lookup(F.lower(bare)), cased(bare)))), word)
 
-    return _map_words(_c(c), WORD_WITH_APOSTROPHES, one)
+    return _map_words(_c(c), no_recursion(WORD_WITH_APOSTROPHES), one)
 
 
 def fix_constructions(c: ColumnOrName) -> Column:
@@ -219,6 +228,9 @@ HTML_LEGACY = {k: v for k, v in html5.items() if not k.endswith(";")}
 # Numeric references 128 to 159 stand for Windows-1252 characters.
 HTML_C1 = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
+#: A tag ends at the first ">" outside quotes; where a quote stays open, at the first ">" of all.
+TAG = r"</?[A-Za-z](?:(?:[^>\"']+|\"[^\"]*\"|'[^']*')*>|[^>]*>)"
+
 # Regex chain of the markup rule, in order (pattern, replacement); written
 # in a syntax Java and RE2 both accept.
 HTML_STEPS = (
@@ -228,10 +240,10 @@ HTML_STEPS = (
     (r"(?is)<template\b[^>]*>.*?</template\s*>", " "),
     (r"<![^>]*>", " "),
     (r"<\?[^>]*>", " "),
-    # a tag ends at the first ">" outside quotes; an unclosed quote ends at the first one
-    (r"</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", " "),
-    (r"</?[A-Za-z][^>]*>", " "),
+    (TAG, " "),
 )
+#: How every match of a step ends.
+HTML_ENDS = ("-->", r"</script\s*>", r"</style\s*>", r"</template\s*>", ">", ">", ">")
 NUMERIC_RE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+)"
 NAMED_RE = r"^([A-Za-z][A-Za-z0-9]*);"
 LEGACY_RE = "^(" + "|".join(sorted(HTML_LEGACY, key=lambda k: (-len(k), k))) + ")"
@@ -288,12 +300,21 @@ def html_to_text(c: ColumnOrName) -> Column:
     decode character references.  Text nodes end up separated by spaces.
 
     Texts without '<' skip the markup passes, texts without '&' the
-    entity decoding (both are exact: no rule can match otherwise).
+    entity decoding (both are exact: no rule can match otherwise).  Each
+    pass reads up to the last end of its construct only: what follows
+    cannot match, and openers without an end would each be read on to the
+    end of the text.
     """
+    def step(pat: str, rep: str, end: str) -> Callable[[Column], Column]:
+        def to_last(v: Column) -> Callable[[Column], Column]:
+            return lambda head: F.concat(F.regexp_replace(head, no_recursion(pat) if pat == TAG else pat, rep),
+                                         F.substring(v, F.length(head) + 1, 1 << 30))
+        return lambda v: let(F.regexp_extract(v, f"(?is)^.*{end}", 0), to_last(v))
+
     def markup(v: Column) -> Column:
         out = v
-        for pat, rep in HTML_STEPS:
-            out = F.regexp_replace(out, pat, rep)
+        for (pat, rep), end in zip(HTML_STEPS, HTML_ENDS, strict=True):
+            out = let(out, step(pat, rep, end))
         return F.when(v.contains("<"), out).otherwise(v)
 
     def entities(v: Column) -> Column:

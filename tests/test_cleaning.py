@@ -194,3 +194,60 @@ def test_references_and_quoted_attributes(spark):
     texts = ["&rarr; &amp &copy2 &notit; &notin; &#38;&#x26 &#146; &#0; &#99999999999; &nosuch; &", "A&ampB &AMP; &Aacute &quot"]
     assert apply(spark, T.decode_entities, texts) == [h.unescape(x) for x in texts]
     assert apply(spark, T.html_to_text, ['<a title="1>2">z</a>'])[0].strip() == "z"
+
+
+# ------------------------------------------------------------ long inputs
+
+def py_tags(text):
+    """Tags one after the other, by a scanner of our own."""
+    out, i = [], 0
+    while i < len(text):
+        j = i + 1 + text.startswith("</", i)
+        if text[i] != "<" or not (j < len(text) and text[j].isascii() and text[j].isalpha()):
+            out.append(text[i])
+            i += 1
+            continue
+        k, quote = j, ""
+        while k < len(text) and (quote or text[k] != ">"):
+            quote = ("" if text[k] == quote else quote) if quote else (text[k] if text[k] in "\"'" else "")
+            k += 1
+        k = text.find(">", j) if k == len(text) else k
+        if k < 0:
+            out.append(text[i:])
+            break
+        out.append(" ")
+        i = k + 1
+    return "".join(out)
+
+
+def test_markup_against_a_scanner(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("<>\"'/b a=\n") for _ in range(rng.randint(0, 40))) for _ in range(600)]
+    assert apply(spark, T.html_to_text, texts) == [py_tags(t) for t in texts]
+
+
+def test_markup_of_a_megabyte(spark):
+    mb = 1 << 20
+    texts = {
+        "one tag": ("x<b " + "a" * mb + ">y", "x y"),
+        "unclosed": ("x<b " + "a" * mb, None),
+        "many unclosed": ("x" + "<b " * (mb // 3), None),
+        "many unclosed, open quote": ("x" + "<b " * (mb // 3) + "\">y", "x y"),
+        "attribute": ("x<b t=\"" + "a>" * (mb // 2) + "\">y", "x y"),
+        "quotes": ("x<b " + "\"a>\" 'b>' " * 50_000 + ">y", "x y"),
+        "odd quotes": ("x<b " + "\"'\"" * 33_333 + "\">y", "x y"),
+        "comments": ("x" + "<!--" * (mb // 4), None),
+        "scripts": ("x" + "<script>" * (mb // 8), "x" + " " * (mb // 8)),
+        "declarations": ("<!" * (mb // 2), None),
+        "prose": ("if a <x and b " + "word " * (mb // 5), None),
+    }
+    got = apply(spark, T.html_to_text, [t for t, _ in texts.values()])
+    for (name, (text, want)), value in zip(texts.items(), got, strict=True):
+        assert value == (text if want is None else want), name
+
+
+def test_apostrophe_runs_of_a_megabyte(spark):
+    run = "x'" * (1 << 19)
+    for text, want in ((run, run), (run + " dont", run + " do not"), ("'" * (1 << 20) + "dont", "'" * (1 << 20) + "do not")):
+        assert apply(spark, T.expand_contractions, [text]) == [want]
+    assert len(apply(spark, T.clean_sample, ["<b " + "it's " * 200_000 + run])[0]) > 0
