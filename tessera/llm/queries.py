@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
+from . import (best_fit, host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
                sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
@@ -68,10 +68,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digests.scan(read(spark, sf_dir, "documents"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences."""
+    return best_fit.digests(best_fit.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_pii, op4_quality_rules, op5_mix_sources,
-        op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan)}
+        op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan,
+        op12_best_fit)}
 
 
 def oracle_sql() -> dict[str, str]:
