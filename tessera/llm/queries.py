@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (best_fit, host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
-               sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
+               prefix_trie, sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digests.scan(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(prefix_trie.rebuilt(read(spark, sf_dir, "conversations"))).drop(*prefix_trie.KEY)
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences."""
     return best_fit.digests(best_fit.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
@@ -77,9 +82,9 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_pii, op4_quality_rules, op5_mix_sources,
         op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan,
-        op12_best_fit)}
+        op11_prefix_trie, op12_best_fit)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_quality_rules": host_rules.oracle_sql(), "op5_mix_sources": mix_sources.oracle_sql(),
-            "op10_license_scan": license_digests.oracle_sql()}
+            "op10_license_scan": license_digests.oracle_sql(), "op11_prefix_trie": prefix_trie.oracle_sql()}
