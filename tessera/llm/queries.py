@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit, host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
+from . import (best_fit, collocations, host_rules, html_consensus, kn_quality, license_digests, mix_sources, pii_boost,
                prefix_trie, sentencepiece_codec, simhash_pivots, topk_nra, toxicity_bags)
 from .common import read
 
@@ -78,13 +78,19 @@ def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.digests(best_fit.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_sentencepiece, op2_topk_search, op3_pii, op4_quality_rules, op5_mix_sources,
         op6_quality_classifier, op7_html_text, op8_simhash, op9_toxicity, op10_license_scan,
-        op11_prefix_trie, op12_best_fit)}
+        op11_prefix_trie, op12_best_fit, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_quality_rules": host_rules.oracle_sql(), "op5_mix_sources": mix_sources.oracle_sql(),
-            "op10_license_scan": license_digests.oracle_sql(), "op11_prefix_trie": prefix_trie.oracle_sql()}
+            "op10_license_scan": license_digests.oracle_sql(), "op11_prefix_trie": prefix_trie.oracle_sql(),
+            "op13_collocations": collocations.oracle_sql()}
