@@ -8,12 +8,12 @@ Texts are lower-cased (A-Z) and cut into pieces, pieces into words; everything i
    The relation is written once and is never shuffled as one row per word.
 2. *Words.*  Chunk counts are added up; words of ``LEAST`` or more get an id of 32 bits, ranked within
    256 buckets so that no task sees the whole vocabulary.
-3. *Semi-join.*  The frequent phrases go back to the chunks that hold them (at most a row a chunk and phrase,
-   so the most frequent phrase has no more rows than there are chunks), and each chunk drops occurrences
-   that are in no frequent phrase.  The reduced, sorted relation is written.
-4. *Merge join.*  Within a chunk, the relation of k words is joined with itself on equal piece and adjacent
+3. *Merge join.*  Within a chunk, the relation of k words is joined with itself on equal piece and adjacent
    position, which gives that of k + 1 words, as both of its parts must be frequent.  Each chunk sends its
-   distinct phrases with counts, Spark adds them up, and 3. follows, until four words.
+   distinct phrases with counts, and Spark adds them up.  The most frequent phrase has no more rows than
+   there are chunks.
+4. *Semi-join.*  The rows of frequent phrases go back to their chunks, and each chunk drops occurrences
+   that are in no frequent phrase.  The reduced, sorted relation is written, and 3. follows, until four words.
 5. *Scores.*  Counts of the two parts of each cut come by joins on phrase keys (two 64-bit integers of four
    word ids, no hash).  Products are decimals and the division is whole, so scores are exact.  A
    candidate goes if the largest count of a longer candidate that holds it is at least 80 % of its own.
@@ -60,12 +60,17 @@ PHRASE = ["x", "y"]
 # ------------------------------------------------------------------ occurrences
 
 def _squeeze(data: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(data).tobytes(), codec="zstd", asbytes=True)
+    """Compressed, the first bytes of all numbers before the second ones and so on."""
+    planes = np.ascontiguousarray(data).view(np.uint8).reshape(-1, data.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
 def _expand(blob: bytes, n: int, kind: str) -> np.ndarray:
-    size = n * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(blob, size, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
+    width = np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(blob, n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 class _Chunk:
@@ -140,16 +145,19 @@ def _collapse(ids: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ids[keep], flags[keep]
 
 
-def _relation(chunk: int, ids: np.ndarray, flags: np.ndarray) -> pa.Table:
+def _relation(chunk: int, ids: np.ndarray, flags: np.ndarray, found: np.ndarray = np.zeros((3, 0), np.int64)) -> pa.Table:  # noqa: B008
     """The chunk's occurrences: word ids in order of (piece, position), 0 between what is not
-    adjacent, and flags, whether a frequent phrase of the last length starts there."""
+    adjacent, flags, whether a frequent phrase of the last length starts there, and the
+    (x, y, a) of the frequent phrases that this chunk is the first to hold."""
     ids, flags = _collapse(ids, flags)
-    return pa.table({"chunk": pa.array([chunk], pa.int64()), "size": pa.array([len(ids)], pa.int64()),
-                     "ids": pa.array([_squeeze(ids.astype("<u4"))], pa.binary()),
-                     "flags": pa.array([_squeeze(flags.astype(np.uint8))], pa.binary())})
+    values = [chunk, len(ids), _squeeze(ids.astype("<u4")), _squeeze(flags.astype(np.uint8)),
+              found.shape[1], _squeeze(found.astype("<i8").ravel())]
+    return pa.table({f.name: pa.array([v], f.type) for f, v in zip(KINDS, values, strict=True)})
 
 
-RELATION = "chunk long, size long, ids binary, flags binary"
+KINDS = pa.schema([("chunk", pa.int64()), ("size", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()),
+                   ("n_found", pa.int64()), ("found", pa.binary())])
+RELATION = "chunk long, size long, ids binary, flags binary, n_found long, found binary"
 
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -173,54 +181,74 @@ def _groups(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
+def _distinct(ids: np.ndarray, flags: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(starts, number of the phrase at each start, x, y and c of the phrases in order of (x, y))."""
+    at, x, y = merge_join(ids, flags, k)
+    order, group = _groups(x, y)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
+    of = np.empty(len(group), np.int64)
+    of[order] = group
+    return at, of, x[order][first], y[order][first], np.diff(np.r_[first, len(group)])
+
+
 def phrases(relation: DataFrame, k: int) -> DataFrame:
-    """(chunk, x, y, c): the distinct phrases of k words of each chunk, and their counts there."""
+    """(of, i, x, y, c): the distinct phrases of k words of each chunk, in their order there, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, x, y = merge_join(*_read(row), k)
-                order, group = _groups(x, y)
-                first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
-                c = np.diff(np.r_[first, len(group)])
-                found = [np.full(len(first), row["chunk"]), x[order][first], y[order][first], c]
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], names=["chunk", "x", "y", "c"])
+                _, _, x, y, c = _distinct(*_read(row), k)
+                found = [np.full(len(x), row["chunk"]), np.arange(len(x)), x, y, c]
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], names=["of", "i", "x", "y", "c"])
 
-    return relation.mapInArrow(run, "chunk long, x long, y long, c long")
+    return relation.mapInArrow(run, "of long, i long, x long, y long, c long")
 
 
-def _small(table: DataFrame) -> bool:
-    return table.count() <= LOOKUP_ROWS
-
+def semi_join(relation: DataFrame, k: int, least: int = LEAST) -> DataFrame:
+    """The relation without the occurrences that are in no frequent phrase of k words, and with those phrases.
 
-def semi_join(relation: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    """The relation without the occurrences that are in no frequent phrase of k words."""
-    keys = frequent.select(*PHRASE)
-    asked = phrases(relation, k).select(F.col("chunk").alias("of"), *PHRASE)
-    answers = asked.join(F.broadcast(keys) if _small(keys) else keys, PHRASE)
+    Counting and answering the chunks is one shuffle of their distinct phrases: a phrase's rows,
+    at most one a chunk, get its count, and the first of them hands it on."""
+    same = Window.partitionBy(*PHRASE).orderBy("of")
+    counted = phrases(relation, k).withColumns({
+        "a": F.sum("c").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        "place": F.row_number().over(same)})
+    answers = counted.filter(F.col("a") >= least).select("of", "i", F.when(F.col("place") == 1, F.col("a")).otherwise(0).alias("a"))
 
     def reduce(kept: pa.Table, found: pa.Table) -> pa.Table:
-        if not kept.num_rows:
-            return pa.table({n: [] for n in ("chunk", "size", "ids", "flags")}).cast(_relation(0, np.zeros(0, np.int64), np.zeros(0, bool)).schema)
         row = kept.to_pylist()[0]
         ids, flags = _read(row)
-        at, x, y = merge_join(ids, flags, k)
-        ax, ay = (found.column(n).to_numpy() for n in PHRASE)
-        order, group = _groups(np.r_[ax, x], np.r_[ay, y])
-        yes = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
-        yes[group[order < len(ax)]] = True
-        of = np.empty(len(group), np.int64)
-        of[order] = group
-        at = at[yes[of[len(ax):]]]
+        at, of, x, y, _ = _distinct(ids, flags, k)
+        i, a = found.column("i").to_numpy(), found.column("a").to_numpy()
+        yes = np.zeros(len(x), bool)
+        yes[i] = True
+        at = at[yes[of]]
         flags, inside = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
         flags[at] = True
         for d in range(k):
             inside[at + d] = True
-        return _relation(row["chunk"], np.where(inside, ids, 0), flags)
+        i, a = i[a > 0], a[a > 0]
+        return _relation(row["chunk"], np.where(inside, ids, 0), flags, np.stack([x[i], y[i], a]))
 
     return relation.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(reduce, RELATION)
 
 
+def frequent(relation: DataFrame) -> DataFrame:
+    """(x, y, a) of all frequent phrases of the last length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, blob in zip(*(batch.column(c).to_pylist() for c in ("n_found", "found")), strict=True):
+                found = _expand(blob, 3 * n, "<i8").reshape(3, n)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], names=["x", "y", "a"])
+
+    return relation.select("n_found", "found").mapInArrow(run, "x long, y long, a long")
+
+
+def _small(table: DataFrame) -> bool:
+    return table.count() <= LOOKUP_ROWS
+
+
 # ------------------------------------------------------------------------ words
 
 def vocabulary(chunks: DataFrame, least: int = LEAST) -> DataFrame:
@@ -281,9 +309,8 @@ def _lookup(big: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 def scored(counts: DataFrame) -> DataFrame:
     """(k, x, y, a, l, r, score) of the candidates that no longer one makes redundant.
 
-    ``counts`` (k, x, y, a) has all frequent phrases, single words included."""
-    candidates = cut(counts.filter("k > 1"))
-    table = cut(counts.select(*PHRASE, "a"))
+    ``counts`` (k, x, y, a) has all frequent phrases, single words included, and is written already."""
+    candidates, table = counts.filter("k > 1"), counts.select(*PHRASE, "a")
     part = lambda k, a, b: _key([_word(i) for i in range(a, b)])
     cuts = candidates.select("k", *PHRASE, "a", F.explode(_of_length(lambda k: F.array(*[F.struct(
         F.lit(c).alias("cut"), part(k, 0, c).alias("first"), part(k, c, k).alias("rest")) for c in range(1, k)]))).alias("p"))
@@ -313,11 +340,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
     relation = cut(frequent_words(chunks, words))
     counts = words.select(F.lit(1).alias("k"), F.shiftleft("id", 32).alias("x"), F.lit(0).cast("long").alias("y"), "a")
-    for k in range(2, LONGEST + 1):
-        frequent = cut(phrases(relation, k).groupBy(*PHRASE).agg(F.sum("c").alias("a")).filter(F.col("a") >= least))
-        counts = counts.unionByName(frequent.withColumn("k", F.lit(k)))
-        if k < LONGEST:
-            relation = cut(semi_join(relation, frequent, k))
+    for k in range(2, LONGEST):
+        relation = cut(semi_join(relation, k, least))
+        counts = counts.unionByName(frequent(relation).withColumn("k", F.lit(k)))
+    longest = phrases(relation, LONGEST).groupBy(*PHRASE).agg(F.sum("c").alias("a")).filter(F.col("a") >= least)
+    counts = cut(counts.unionByName(longest.withColumn("k", F.lit(LONGEST))))
 
     found = scored(counts).withColumn("id", _word(0))
     found = _lookup(found, words.select("id", "lang"), ["id"]).drop("id")
