@@ -10,10 +10,11 @@ Texts are lower-cased (A-Z) and cut into pieces, pieces into words; everything i
    256 buckets so that no task sees the whole vocabulary.
 3. *Merge join.*  Within a chunk, the relation of k words is joined with itself on equal piece and adjacent
    position, which gives that of k + 1 words, as both of its parts must be frequent.  Each chunk sends its
-   distinct phrases with counts, and Spark adds them up.  The most frequent phrase has no more rows than
-   there are chunks.
-4. *Semi-join.*  The rows of frequent phrases go back to their chunks, and each chunk drops occurrences
-   that are in no frequent phrase.  The reduced, sorted relation is written, and 3. follows, until four words.
+   distinct phrases with counts, dealt to buckets by a hash and compressed: their number grows with the
+   occurrences, so a bucket fits in a task, and the most frequent phrase has one entry a chunk.
+4. *Semi-join.*  Each bucket adds up its phrases and answers each chunk with a bit for each of its entries;
+   each chunk drops occurrences that are in no frequent phrase.  The reduced, sorted relation is written,
+   and 3. follows, until four words.
 5. *Scores.*  Counts of the two parts of each cut come by joins on phrase keys (two 64-bit integers of four
    word ids, no hash).  Products are decimals and the division is whole, so scores are exact.  A
    candidate goes if the largest count of a longer candidate that holds it is at least 80 % of its own.
@@ -49,6 +50,8 @@ SCALE = 2_000_000
 CHUNK_BYTES = 16 << 20
 #: Bytes of text split into words at once.
 AT_ONCE = 2 << 20
+#: Occurrences for each bucket of phrases; a bucket's entries are no more, and fit in a task.
+ENTRIES = 3_000_000
 LOOKUP_ROWS = 1_000_000
 BUCKETS = 256
 BOUNDARIES = b".,;:!?\n\x0b\x0c\r"
@@ -145,19 +148,27 @@ def _collapse(ids: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ids[keep], flags[keep]
 
 
-def _relation(chunk: int, ids: np.ndarray, flags: np.ndarray, found: np.ndarray = np.zeros((3, 0), np.int64)) -> pa.Table:  # noqa: B008
+def _relation(chunk: int, ids: np.ndarray, flags: np.ndarray) -> pa.Table:
     """The chunk's occurrences: word ids in order of (piece, position), 0 between what is not
-    adjacent, flags, whether a frequent phrase of the last length starts there, and the
-    (x, y, a) of the frequent phrases that this chunk is the first to hold."""
+    adjacent, and flags, whether a frequent phrase of the last length starts there."""
     ids, flags = _collapse(ids, flags)
-    values = [chunk, len(ids), _squeeze(ids.astype("<u4")), _squeeze(flags.astype(np.uint8)),
-              found.shape[1], _squeeze(found.astype("<i8").ravel())]
-    return pa.table({f.name: pa.array([v], f.type) for f, v in zip(KINDS, values, strict=True)})
+    return _table(RELATION, [(chunk, len(ids), _squeeze(ids.astype("<u4")), _squeeze(flags.astype(np.uint8)))])
 
 
-KINDS = pa.schema([("chunk", pa.int64()), ("size", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()),
-                   ("n_found", pa.int64()), ("found", pa.binary())])
-RELATION = "chunk long, size long, ids binary, flags binary, n_found long, found binary"
+def _table(kinds: dict[str, pa.DataType], rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.table({n: pa.array(c, t) for (n, t), c in zip(kinds.items(), columns, strict=True)})
+
+
+def _ddl(kinds: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"{n} {'binary' if pa.types.is_binary(t) else 'long'}" for n, t in kinds.items())
+
+
+RELATION = {"chunk": pa.int64(), "size": pa.int64(), "ids": pa.binary(), "flags": pa.binary()}
+#: The distinct phrases of a chunk that fall into a bucket, in order of (x, y), with their counts.
+ASKED = {"bucket": pa.int64(), "of": pa.int64(), "n": pa.int64(), "xs": pa.binary(), "ys": pa.binary(), "cs": pa.binary()}
+#: Which of them are frequent, and the (x, y, a) of those that no other row of the bucket hands on.
+ANSWERS = {"bucket": pa.int64(), "of": pa.int64(), "n": pa.int64(), "yes": pa.binary(), "n_found": pa.int64(), "found": pa.binary()}
 
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -191,50 +202,95 @@ def _distinct(ids: np.ndarray, flags: np.ndarray, k: int) -> tuple[np.ndarray, .
     return at, of, x[order][first], y[order][first], np.diff(np.r_[first, len(group)])
 
 
-def phrases(relation: DataFrame, k: int) -> DataFrame:
-    """(of, i, x, y, c): the distinct phrases of k words of each chunk, in their order there, and their counts."""
+def _bucket(x: np.ndarray, y: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (y.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _by_bucket(x: np.ndarray, y: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by bucket, buckets there are, where each starts in that order and where the last ends)."""
+    bucket = _bucket(x, y, buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+    return order, bucket[starts], np.r_[starts, len(bucket)]
+
+
+def count_phrases(relation: DataFrame, k: int, least: int = LEAST, buckets: int = 1) -> DataFrame:
+    """The frequent phrases of k words, and for each chunk and bucket which of its own are.
+
+    Phrases are dealt to buckets by a hash; a chunk's share of a bucket is one compressed row.  A
+    phrase has at most one entry a chunk, so no phrase fills a bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 _, _, x, y, c = _distinct(*_read(row), k)
-                found = [np.full(len(x), row["chunk"]), np.arange(len(x)), x, y, c]
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], names=["of", "i", "x", "y", "c"])
+                order, found, ends = _by_bucket(x, y, buckets)
+                x, y, c = x[order], y[order], c[order]
+                rows = [(b, row["chunk"], hi - lo, _squeeze(np.diff(x[lo:hi], prepend=0)), _squeeze(y[lo:hi]), _squeeze(c[lo:hi]))
+                        for b, lo, hi in zip(found.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield from _table(ASKED, rows).to_batches()
+
+    def answer(asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        x = np.concatenate([np.cumsum(_expand(r["xs"], r["n"], "<i8")) for r in rows])
+        y = np.concatenate([_expand(r["ys"], r["n"], "<i8") for r in rows])
+        order, group = _groups(x, y)
+        total = np.bincount(group, weights=np.concatenate([_expand(r["cs"], r["n"], "<i8") for r in rows])[order]).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        sums, yes = np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        sums[order[first]] = np.where(total >= least, total, 0)   # the sort is stable: the first chunk's entry
+        yes[order] = (total >= least)[group]
+        out, at = [], 0
+        for r in rows:
+            mine = slice(at, at + r["n"])
+            at += r["n"]
+            if yes[mine].any():
+                held = np.flatnonzero(sums[mine]) + mine.start
+                out.append((r["bucket"], r["of"], r["n"], _squeeze(yes[mine].astype(np.uint8)), len(held),
+                            _squeeze(np.concatenate([x[held], y[held], sums[held]]))))
+        return _table(ANSWERS, out)
+
+    return relation.mapInArrow(ask, _ddl(ASKED)).groupBy("bucket").applyInArrow(answer, _ddl(ANSWERS))
 
-    return relation.mapInArrow(run, "of long, i long, x long, y long, c long")
 
+def _distinct(ids: np.ndarray, flags: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(starts, number of the phrase at each start, x, y and c of the phrases in order of (x, y))."""
+    at, x, y = merge_join(ids, flags, k)
+    order, group = _groups(x, y)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
+    of = np.empty(len(group), np.int64)
+    of[order] = group
+    return at, of, x[order][first], y[order][first], np.diff(np.r_[first, len(group)])
 
-def semi_join(relation: DataFrame, k: int, least: int = LEAST) -> DataFrame:
-    """The relation without the occurrences that are in no frequent phrase of k words, and with those phrases.
 
-    Counting and answering the chunks is one shuffle of their distinct phrases: a phrase's rows,
-    at most one a chunk, get its count, and the first of them hands it on."""
-    same = Window.partitionBy(*PHRASE).orderBy("of")
-    counted = phrases(relation, k).withColumns({
-        "a": F.sum("c").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        "place": F.row_number().over(same)})
-    answers = counted.filter(F.col("a") >= least).select("of", "i", F.when(F.col("place") == 1, F.col("a")).otherwise(0).alias("a"))
+def semi_join(relation: DataFrame, answers: DataFrame, k: int, buckets: int = 1) -> DataFrame:
+    """The relation without the occurrences that are in no frequent phrase of k words."""
 
     def reduce(kept: pa.Table, found: pa.Table) -> pa.Table:
         row = kept.to_pylist()[0]
         ids, flags = _read(row)
         at, of, x, y, _ = _distinct(ids, flags, k)
-        i, a = found.column("i").to_numpy(), found.column("a").to_numpy()
+        order, held, ends = _by_bucket(x, y, buckets)
+        start = dict(zip(held.tolist(), ends[:-1].tolist(), strict=True))
         yes = np.zeros(len(x), bool)
-        yes[i] = True
+        for r in found.select(["bucket", "n", "yes"]).to_pylist():
+            lo = start[r["bucket"]]
+            yes[order[lo:lo + r["n"]]] = _expand(r["yes"], r["n"], "u1").astype(bool)
         at = at[yes[of]]
         flags, inside = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
         flags[at] = True
         for d in range(k):
             inside[at + d] = True
-        i, a = i[a > 0], a[a > 0]
-        return _relation(row["chunk"], np.where(inside, ids, 0), flags, np.stack([x[i], y[i], a]))
+        return _relation(row["chunk"], np.where(inside, ids, 0), flags)
 
-    return relation.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(reduce, RELATION)
+    return relation.groupBy("chunk").cogroup(answers.drop("n_found", "found").groupBy("of")).applyInArrow(reduce, _ddl(RELATION))
 
 
-def frequent(relation: DataFrame) -> DataFrame:
-    """(x, y, a) of all frequent phrases of the last length."""
+def frequent(answers: DataFrame) -> DataFrame:
+    """(x, y, a) of all frequent phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +298,7 @@ def frequent(relation: DataFrame) -> DataFrame:
                 found = _expand(blob, 3 * n, "<i8").reshape(3, n)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], names=["x", "y", "a"])
 
-    return relation.select("n_found", "found").mapInArrow(run, "x long, y long, a long")
+    return answers.select("n_found", "found").mapInArrow(run, "x long, y long, a long")
 
 
 def _small(table: DataFrame) -> bool:
@@ -273,7 +329,7 @@ def frequent_words(chunks: DataFrame, words: DataFrame) -> DataFrame:
         ids[found.column("code").to_numpy() + 1] = found.column("id").to_numpy()
         return _relation(row["chunk"], ids[codes], ids[codes] > 0)
 
-    return chunks.select("chunk", "size", "codes").groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(number, RELATION)
+    return chunks.select("chunk", "size", "codes").groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(number, _ddl(RELATION))
 
 
 # ----------------------------------------------------------------------- scores
@@ -340,11 +396,13 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)).alias("n"))
     relation = cut(frequent_words(chunks, words))
     counts = words.select(F.lit(1).alias("k"), F.shiftleft("id", 32).alias("x"), F.lit(0).cast("long").alias("y"), "a")
-    for k in range(2, LONGEST):
-        relation = cut(semi_join(relation, k, least))
-        counts = counts.unionByName(frequent(relation).withColumn("k", F.lit(k)))
-    longest = phrases(relation, LONGEST).groupBy(*PHRASE).agg(F.sum("c").alias("a")).filter(F.col("a") >= least)
-    counts = cut(counts.unionByName(longest.withColumn("k", F.lit(LONGEST))))
+    for k in range(2, LONGEST + 1):
+        buckets = 1 + (relation.agg(F.sum("size")).first()[0] or 0) // ENTRIES   # one number
+        answers = cut(count_phrases(relation, k, least, buckets))
+        counts = counts.unionByName(frequent(answers).withColumn("k", F.lit(k)))
+        if k < LONGEST:
+            relation = cut(semi_join(relation, answers, k, buckets))
+    counts = cut(counts)
 
     found = scored(counts).withColumn("id", _word(0))
     found = _lookup(found, words.select("id", "lang"), ["id"]).drop("id")

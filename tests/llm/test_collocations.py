@@ -57,9 +57,10 @@ def got(df, **kw):
     return sorted(tuple(r) for r in C.collocations(df, **kw).collect())
 
 
-@pytest.mark.parametrize("least,chunk,lookup", [(2, 1 << 20, 1_000_000), (4, 700, 0)])
-def test_against_brute_force(spark, monkeypatch, least, chunk, lookup):
+@pytest.mark.parametrize("least,chunk,lookup,entries", [(2, 1 << 20, 1_000_000, 1000), (4, 700, 0, 60)])
+def test_against_brute_force(spark, monkeypatch, least, chunk, lookup, entries):
     monkeypatch.setattr(C, "LOOKUP_ROWS", lookup)
+    monkeypatch.setattr(C, "ENTRIES", entries)
     rows = made(least)
     df = spark.createDataFrame(rows, "text string, lang string").withColumns(
         {c: F.lit("keep") for c in ("x", "y", "k", "a", "chunk", "id", "rank", "word", "score")})
