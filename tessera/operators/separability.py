@@ -2,20 +2,25 @@
 
 ARI and AMI are closed forms over the contingency table, whose size is
 (#labels x #clusters) per group regardless of row count.  The expected
-mutual information sums a hypergeometric term over every feasible cell
-count; those ranges are generated in chunks and spread over tasks, and
-ln(n!) is an expression (no factorial table that would grow with N).
+mutual information sums hypergeometric terms over the cell counts that are
+not proved negligible: some sqrt(N) for each pair of marginal sizes, by the
+ratio of neighbouring terms; the pairs are spread over tasks.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import ln_factorial
+from ..session import cut_lineage
+from . import kmeans
 
 EPS = sys.float_info.epsilon
 
@@ -56,15 +61,43 @@ def adjusted_rand_index(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -
     return t.select(*by, ari.alias("ari")).drop(*extra)
 
 
-def adjusted_mutual_info(df: DataFrame, a: str, b: str, by: Sequence[str] = (),
-                         chunk: int = 1 << 16) -> DataFrame:
-    """Adjusted mutual information, arithmetic normalisation.
+#: A tail of the hypergeometric distribution of less than exp(-TAIL) is left out.
+TAIL = 46.0
+
+
+def _expected_information(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Expected mutual information of a cell with marginals a and b in a table of n, for each triple.
+
+    The cell count is hypergeometric.  By Hoeffding's bound it lies within sqrt(TAIL / 2 * m) of its mean but
+    for 2 exp(-TAIL), m being the least of a, b, n - a and n - b, so a pair takes O(sqrt(m)) terms.  Its
+    probabilities follow from the ratio of neighbours and are divided by their sum: there is no
+    factorial, whose logarithm would lose the digits that count for large n."""
+    out = np.zeros(len(a))
+    for k, (x, y, t) in enumerate(zip(a.astype(float), b.astype(float), n.astype(float), strict=True)):
+        reach = math.sqrt(TAIL / 2 * max(0.0, min(x, y, t - x, t - y))) + 1
+        lo = max(0.0, x + y - t, math.floor(x * y / t - reach))
+        hi = min(x, y, math.ceil(x * y / t + reach))
+        cells = np.arange(lo, hi + 1)
+        ratio = (x - cells[:-1]) * (y - cells[:-1]) / ((cells[:-1] + 1) * (t - x - y + cells[:-1] + 1))
+        weight = np.concatenate([[0.0], np.cumsum(np.log(ratio))])
+        weight = np.exp(weight - weight.max())
+        some = np.maximum(cells, 1.0)   # an empty cell adds nothing
+        out[k] = (weight * (cells / t) * np.log(t * some / (x * y))).sum() / weight.sum()
+    return out
+
+
+def adjusted_mutual_info(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
+    """Adjusted mutual information of two columns, arithmetic normalisation."""
+    return adjusted_mutual_info_of_table(contingency(df, a, b, by), a, b, by)
+
+
+def adjusted_mutual_info_of_table(c: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
+    """A15 from counted cells (by, a, b, nij): the work depends on the classes, not on the rows they count.
 
     EMI = sum over label i, cluster j, and feasible n of
           n/N * ln(N n / (a_i b_j)) * P_hypergeom(n; a_i, b_j, N).
     """
-    df, by, extra = _keyed(df, by)
-    c = contingency(df, a, b, by)
+    c, by, extra = _keyed(c, by)
     tot = c.groupBy(*by).agg(F.sum("nij").alias("N"))
     ai = c.groupBy(*by, a).agg(F.sum("nij").alias("ai"))
     bj = c.groupBy(*by, b).agg(F.sum("nij").alias("bj"))
@@ -91,23 +124,14 @@ def adjusted_mutual_info(df: DataFrame, a: str, b: str, by: Sequence[str] = (),
     sizes_a = ai.groupBy(*by, "ai").agg(F.count("*").alias("__ma"))
     sizes_b = bj.groupBy(*by, "bj").agg(F.count("*").alias("__mb"))
     pairs = with_n(sizes_a.join(sizes_b, by)).withColumn("__m", F.col("__ma") * F.col("__mb"))
-    lo = F.greatest(F.lit(1), F.col("ai") + F.col("bj") - F.col("N"))
-    hi = F.least(F.col("ai"), F.col("bj"))
-    pairs = pairs.filter(lo <= hi).withColumn("__lo", lo).withColumn("__hi", hi)
-    starts = pairs.withColumn("__s", F.explode(F.sequence("__lo", "__hi", F.lit(chunk).cast("long"))))
-    n_parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    starts = starts.repartition(n_parts)
-    terms = starts.withColumn("nij", F.explode(F.sequence(
-        "__s", F.least(F.col("__s") + chunk - 1, F.col("__hi")))))
-    nn = F.col("nij").cast("double")
-    gln = (ln_factorial(F.col("ai")) + ln_factorial(F.col("bj"))
-           + ln_factorial(F.col("N") - F.col("ai")) + ln_factorial(F.col("N") - F.col("bj"))
-           - ln_factorial(F.col("N")) - ln_factorial(F.col("nij"))
-           - ln_factorial(F.col("ai") - F.col("nij")) - ln_factorial(F.col("bj") - F.col("nij"))
-           - ln_factorial(F.col("N") - F.col("ai") - F.col("bj") + F.col("nij")))
-    term = (nn / N * (F.log(N * nn) - F.log(F.col("ai").cast("double") * F.col("bj")))
-            * F.exp(gln))
-    emi = terms.groupBy(*by).agg(F.sum(term * F.col("__m")).alias("emi"))
+    n_parts = max(1, c.sparkSession.sparkContext.defaultParallelism)
+
+    @F.pandas_udf("double")
+    def expected(ai: pd.Series, bj: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(_expected_information(ai.to_numpy(), bj.to_numpy(), n.to_numpy()))
+
+    pairs = pairs.repartition(n_parts).withColumn("__e", expected("ai", "bj", "N"))
+    emi = pairs.groupBy(*by).agg(F.sum(F.col("__e") * F.col("__m")).alias("emi"))
 
     def j(x, y):
         return x.join(y, by, "left")
@@ -140,31 +164,13 @@ def reduce_2d(df: DataFrame, vec_col: str, out: str = "xy", k: int = 2) -> DataF
 
 
 def best_kmeans(df: DataFrame, features: str, k: int, seeds: Sequence[int] = range(42, 52),
-                out: str = "cluster", parallelism: int = 4):
-    """KMeans with k clusters, best training cost over several seeds.
-
-    The input is checkpointed once (reliable, shared dir) because each seed
-    is an iterative job over it.  Seeds run as concurrent distributed fits;
-    the winner is the lowest cost, ties going to the earlier seed.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-
-    from ..session import cut_lineage
-    data = cut_lineage(df)
-
-    def fit(s):
-        m = KMeans(k=k, seed=s, featuresCol=features, predictionCol=out).fit(data)
-        return m.summary.trainingCost, m
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(fit, list(seeds)))
-    best = None
-    for cost, m in results:                 # in seed order
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    return best[1].transform(data), best[0]
+                out: str = "cluster") -> tuple[DataFrame, float]:
+    """KMeans with k clusters, the start of lowest cost of several (ties: the earlier one), and its cost."""
+    from pyspark.ml.functions import vector_to_array
+    plain = features if not isinstance(df.schema[features].dataType, VectorUDT) else "__array"
+    data = cut_lineage(df if plain == features else df.withColumn(plain, vector_to_array(features)))
+    model = kmeans.fit(data, plain, k, seeds)
+    return model.assign(data, plain, out).drop("__array"), model.cost
 
 
 def kmeans_separability(df: DataFrame, vec_col: str, label: str, n_starts: int = 10,

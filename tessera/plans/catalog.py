@@ -20,8 +20,8 @@ from ..functions.regex import WS, sql_str as S
 from .. import session
 from ..operators import curate, diff, evaluate, ml, reports, separability
 from ..sources import stores, tables
+from . import jobs, pipelines
 from . import oracle as O
-from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -999,6 +999,8 @@ QUERIES["url_block_strip"] = (url_block_strip, _sql_flagged(
     O.fuse_bigrams(O.remove_blocks(O.remove_urls("text")))))
 QUERIES["contractions"] = (contractions, _sql_flagged(O.expand_contractions("text")))
 
+QUERIES |= jobs.QUERIES
+
 
 def spark_queries() -> dict[str, Query]:
     return {k: v[0] for k, v in QUERIES.items()}

@@ -167,3 +167,41 @@ def test_pairing_by_id_never_by_position(spark):
     assert got == [(1, 0, 1), (2, 1, None), (3, 2, 2)]
     with pytest.raises(Exception, match="without truth"):
         evaluate.pair_by_id(truth, spark.createDataFrame([(9, 0)], "id INT, y_pred INT")).collect()
+
+
+def expected_by_fractions(ai, bj, n):
+    """The expected mutual information of one cell, with whole numbers."""
+    out = 0.0
+    for k in range(max(1, ai + bj - n), min(ai, bj) + 1):
+        p = math.comb(ai, k) * math.comb(n - ai, bj - k) / math.comb(n, bj)
+        out += k / n * math.log(n * k / (ai * bj)) * p
+    return out
+
+
+def test_expected_information_of_small_tables():
+    import numpy as np
+    from tessera.operators.separability import _expected_information
+    cases = [(a, b, n) for n in (1, 2, 7, 40, 300) for a in {1, 2, n // 3, n - 1, n} for b in {1, n // 2, n} if 0 < a <= n and 0 < b <= n]
+    got = _expected_information(*(np.array(x) for x in zip(*cases)))
+    assert got == pytest.approx([expected_by_fractions(*c) for c in cases], abs=1e-13)
+
+
+def test_ami_of_a_billion_rows(spark):
+    """10 x 10 classes of 10^9 rows from their table, in seconds; for so many rows the expected
+    information is (9 * 9) / (2 N) but for terms of 1 / N^2."""
+    import time
+    from tessera.operators import separability
+    rows = [(i, j, 10_000_000 + (3_000_000 if i == j else 0) + 1000 * i * j - 333_333 * (i == j)) for i in range(10) for j in range(10)]
+    n = sum(r[2] for r in rows)
+    start = time.time()
+    r = separability.adjusted_mutual_info_of_table(spark.createDataFrame(rows, "a int, b int, nij long"), "a", "b").first()
+    assert time.time() - start < 60 and n > 10**9
+    assert r.emi == pytest.approx(81 / (2 * n), rel=1e-4) and 0 < r.ami < 1
+
+
+def test_ami_of_rows_equals_ami_of_their_table(spark):
+    from tessera.operators import separability
+    df = spark.range(500).selectExpr("id % 7 as a", "(id * id) % 5 as b", "id % 2 as g")
+    by_rows = separability.adjusted_mutual_info(df, "a", "b", ["g"])
+    by_table = separability.adjusted_mutual_info_of_table(separability.contingency(df, "a", "b", ["g"]), "a", "b", ["g"])
+    assert sorted(by_rows.collect()) == sorted(by_table.collect())
