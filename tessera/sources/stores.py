@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import terms
 from ..session import cut_lineage
@@ -51,17 +51,22 @@ def load_label_mapping(spark: SparkSession, json_path: str | None = None) -> Dat
             .select(F.col("k").cast("int").alias("label"), "name"))
 
 
+def _indexed(df: DataFrame, classes: DataFrame, label: str = "label") -> DataFrame:
+    """``df`` with the index of its label in __idx, null if there is none."""
+    known = classes.select(F.explode(F.array(F.col("name"), F.col("label").cast("string"))).alias("__key"),
+                           F.col("label").alias("__idx")).dropDuplicates(["__key"])
+    text = F.trim(F.col(label).cast("string"))
+    key = F.coalesce(text.try_cast("int").cast("string"), text)   # " 07" is 7
+    # counted first: a mapping of classes is small, and the texts are not dealt by label
+    small = F.broadcast(known) if known.count() <= BROADCAST_CLASSES else known
+    return df.withColumn("__key", key).join(small, "__key", "left")
+
+
 def label_to_index(label: str, classes: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """A label column holding an index or a class name -> INT index.
     Unknown labels fail the job (the reference raises a key error)."""
     def run(df: DataFrame) -> DataFrame:
-        known = classes.select(F.explode(F.array(F.col("name"), F.col("label").cast("string"))).alias("__key"),
-                               F.col("label").alias("__idx")).dropDuplicates(["__key"])
-        text = F.trim(F.col(label).cast("string"))
-        key = F.coalesce(text.try_cast("int").cast("string"), text)   # " 07" is 7
-        # counted first: a mapping of classes is small, and the texts are not dealt by label
-        small = F.broadcast(known) if known.count() <= BROADCAST_CLASSES else known
-        j = df.withColumn("__key", key).join(small, "__key", "left")
+        j = _indexed(df, classes, label)
         bad = F.col("__idx").isNull() & F.col(label).isNotNull()
         checked = F.when(bad, F.raise_error(F.concat(F.lit("unknown label: "), F.col(label).cast("string"))))
         return (j.withColumn(label, F.coalesce(checked.cast("int"), F.col("__idx"))).select(*df.columns))
@@ -93,6 +98,55 @@ def load_scoring_csv(spark: SparkSession, path: str, classes: DataFrame | None =
     return _csv(spark, path, ["text", "label"]).transform(label_to_index("label", classes))
 
 
+# ------------------------------------------------------------- S1 / S2 with bad rows
+
+BAD = "split STRING, path STRING, record STRING, reason STRING"
+_CORRUPT = "__corrupt"
+
+
+def _checked_csv(spark: SparkSession, path: str, split: str, required: Sequence[str]) -> DataFrame:
+    """Every record of a headed CSV: its columns as strings, and the record itself where its
+    number of fields or its quotes are wrong."""
+    names = spark.read.option("header", True).csv(path).columns
+    if lost := [c for c in required if c not in names]:
+        raise ValueError(f"{path} has no column {', '.join(lost)}; it has {', '.join(names)}")
+    schema = StructType([StructField(c, StringType()) for c in [*names, _CORRUPT]])
+    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    wanted = [F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in ("text", "label")]
+    return raw.select(*wanted, F.lit(split).alias("split"), F.col("_metadata.file_path").alias("path"), _CORRUPT)
+
+
+def load_csv_checked(spark: SparkSession, paths: dict[str, str], classes: DataFrame | None = None,
+                     labelled: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1/S2 with a side output: (rows text, label, split; bad rows split, path, record, reason).
+
+    Reasons are ``fields`` (too few or too many), ``open quote`` (the last record of a file whose quotes do not
+    pair: it swallowed the rest), ``no label`` (only where labels are asked for) and ``unknown label``.
+    Every record of the files stands in exactly one of the two frames, which both come from
+    one written table."""
+    classes = classes if classes is not None else load_label_mapping(spark)
+    frames = [_checked_csv(spark, p, s, ["text", "label"] if labelled else ["text"]) for s, p in paths.items()]
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    reason = F.when(F.col(_CORRUPT).isNotNull(), "fields")
+    if labelled:
+        reason = reason.when(F.trim("label") == "", "no label").when(F.col("label").isNull(), "no label")
+    rows = _indexed(rows, classes).withColumn("reason", reason.when(
+        F.col("label").isNotNull() & F.col("__idx").isNull(), "unknown label"))
+    rows = cut_lineage(rows.withColumn("__at", F.monotonically_increasing_id()))   # a file is read by one task, in order
+    lines = spark.read.text(list(paths.values())).select(F.col("_metadata.file_path").alias("path"), (
+        F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
+    odd = lines.groupBy("path").agg(F.sum("quotes").alias("quotes")).filter(F.col("quotes") % 2 == 1).select("path")
+    last = rows.join(odd, "path").groupBy("path").agg(F.max("__at").alias("__last"))   # a row for each such file
+    rows = rows.join(last, "path", "left").withColumn("reason", F.coalesce(
+        "reason", F.when(F.col("__at") == F.col("__last"), "open quote")))
+    good = rows.filter("reason is null").select("text", F.col("__idx").alias("label"), "split")
+    record = F.coalesce(_CORRUPT, F.concat_ws(",", "text", "label"))
+    return good, rows.filter("reason is not null").select("split", "path", record.alias("record"), "reason")
+
+
 # ------------------------------------------------------------------ S4
 
 CONFIG_FIELDS = ("hidden_size", "num_attention_heads", "num_hidden_layers", "vocab_size")
@@ -142,12 +196,13 @@ def merge_log_records(records: DataFrame, keys: Sequence[str], fields: Sequence[
     """Partial log records -> complete rows.
 
     Per key, each field takes its last value by ``step`` (later logs
-    overwrite), and a row is emitted only when every field is present.
-    One aggregation, partial (map-side) ``max_by`` per field.
+    overwrite; of equal steps the larger value), and a row is emitted only when every field is present.
+    A record without a step or a value says nothing.
+    One aggregation, partial (map-side) maximum per field.
     """
-    aggs = [F.max_by(F.when(F.col(field_col) == f, F.col(value_col)),
-                     F.when(F.col(field_col) == f, F.col(step_col))).alias(f) for f in fields]
-    out = records.groupBy(*keys).agg(F.max(step_col).alias(step_col), *aggs)
+    said = records.filter(F.col(value_col).isNotNull() & F.col(step_col).isNotNull())
+    aggs = [F.max(F.when(F.col(field_col) == f, F.struct(step_col, value_col))).getField(value_col).alias(f) for f in fields]
+    out = said.groupBy(*keys).agg(F.max(step_col).alias(step_col), *aggs)
     complete = None
     for f in fields:
         c = F.col(f).isNotNull()

@@ -130,3 +130,27 @@ def test_readers_go_by_name_and_check_labels(spark, tmp_path):
         stores.load_csv_dataset(spark, {"train": str(c)}).collect()
     with pytest.raises(ValueError, match="no column"):
         stores.load_csv_dataset(spark, {"train": str(b)})
+
+
+def test_bad_rows_stand_beside_the_good_ones(spark, tmp_path):
+    (tmp_path / "train.csv").write_text(
+        'text,label\n"hi, there",1\nbye,Sadness\ntoo,1,many\nfew\nwho,Nope\n"two\nlines",2\nnone,\n,3\n"quo""te",Joy\n')
+    (tmp_path / "test.csv").write_text('label,text\n1,ok\n2,"open quote\n3,swallowed\n')
+    good, bad = stores.load_csv_checked(spark, {"train": str(tmp_path / "train.csv"), "test": str(tmp_path / "test.csv")})
+    assert sorted((r.split, r.text or "", r.label) for r in good.collect()) == [
+        ("test", "ok", 1), ("train", "", 3), ("train", "bye", 0), ("train", "hi, there", 1), ("train", 'quo"te', 1),
+        ("train", "two\nlines", 2)]
+    found = sorted((r.split, r.reason, r.record) for r in bad.collect())
+    assert [(s, r) for s, r, _ in found] == [("test", "open quote"), ("train", "fields"), ("train", "fields"), ("train", "no label"),
+                                             ("train", "unknown label")]
+    assert found[0][2].startswith("open quote\n3,swallowed") and {f[2] for f in found[1:3]} == {"too,1,many", "few"}
+    assert found[4][2] == "who,Nope" and all(r.path.endswith(".csv") for r in bad.collect())
+
+
+def test_bad_rows_of_scoring_files(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("text\nhello\na,b\n")
+    good, bad = stores.load_csv_checked(spark, {"score": str(tmp_path / "s.csv")}, labelled=False)
+    assert [(r.text, r.label) for r in good.collect()] == [("hello", None)]
+    assert [(r.record, r.reason) for r in bad.collect()] == [("a,b", "fields")]
+    with pytest.raises(ValueError, match="label"):
+        stores.load_csv_checked(spark, {"train": str(tmp_path / "s.csv")})
