@@ -1000,6 +1000,7 @@ QUERIES["url_block_strip"] = (url_block_strip, _sql_flagged(
 QUERIES["contractions"] = (contractions, _sql_flagged(O.expand_contractions("text")))
 
 QUERIES |= jobs.QUERIES
+QUERIES["log_stream"] = (jobs.log_stream, SQL_LOG_MERGE)
 
 
 def spark_queries() -> dict[str, Query]:
