@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import terms
-from .regex import NOT_WS, WS, java, java_repl
+from .regex import WS, java, java_repl
 
 ColumnOrName = Column | str
 
@@ -51,8 +51,11 @@ def words(c: ColumnOrName) -> Column:
 
 
 def word_count(c: ColumnOrName) -> Column:
-    """``len(text.split())``: the number of runs of anything but white space."""
-    return F.regexp_count(_c(c), F.lit(NOT_WS + "+"))
+    """``len(text.split())``: the number of runs of anything but white space.
+
+    Splitting at the rare white space tests far fewer classes of characters than matching
+    the words themselves does."""
+    return F.array_size(words(c))
 
 
 # ---------------------------------------------------------- simple rule chains
@@ -375,7 +378,8 @@ def strip_metadata(c: ColumnOrName, window_size: int = 5, threshold: float = 0.4
                            lambda st: F.filter(w, lambda x, i: ~(F.get(st["rm2"], i)
                                                                  | (i >= st["cut"]))))
 
-            return let(F.transform(tech, removed), with_rm)
+            # without any technical word nothing goes
+            return F.when(F.array_contains(tech, True), let(F.transform(tech, removed), with_rm)).otherwise(w)
 
         return let(F.transform(w, lambda x: F.coalesce(_strip_word(x).isin(*vocab),
                                                        F.lit(False))), with_tech)

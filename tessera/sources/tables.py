@@ -18,8 +18,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+#: Tables of whole texts, whose rows cost much more than reading them.
+TEXTS = ("documents", "pages")
+#: Bytes up to which such a table is dealt out: one split of the reader.
+ONE_SPLIT = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table that is no larger than one split, dealt to all cores.
+
+    The reader cuts files at row groups, so such a table often is one task; the size is the
+    optimizer's own and costs no job.  Larger tables are left as the reader splits them."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > ONE_SPLIT:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 # Tails appended to the noisy fixture, chosen by doc_id % 8 (our fixture).
