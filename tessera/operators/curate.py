@@ -196,13 +196,23 @@ def length_stats(df: DataFrame, length_col: str = "length", by: Sequence[str] =
 DECILES = [i / 10 for i in range(11)]
 
 
-def length_deciles(df: DataFrame, length_col: str = "length") -> list[float]:
+def length_deciles(df: DataFrame, length_col: str = "length", rank_error: float | None = None) -> list[float]:
     """The 11 decile values (linear interpolation) as driver floats.
 
     ``percentile`` keeps a value->count map per partial aggregate, so its
-    state is bounded by the number of distinct lengths, not rows.
+    state is bounded by the number of distinct lengths, not rows.  For columns
+    with too many distinct values for that, ``rank_error`` chooses a mergeable summary of some
+    1 / ``rank_error`` entries instead: each value then is one of the column's whose rank is wrong by at
+    most that share of the rows.
     """
-    row = df.agg(F.percentile(length_col, F.array(*[F.lit(q) for q in DECILES]))).first()
+    wanted = F.array(*[F.lit(q) for q in DECILES])
+    if rank_error is None:
+        found = F.percentile(length_col, wanted)
+    else:
+        if not 0 < rank_error < 1:
+            raise ValueError("rank_error is a share of the rows between 0 and 1")
+        found = F.percentile_approx(F.col(length_col).cast("double"), wanted, round(1 / rank_error))
+    row = df.agg(found).first()
     return [float(v) for v in row[0]] if row and row[0] is not None else []
 
 

@@ -115,3 +115,15 @@ def test_stratified_split_exact(spark):
     assert out.count() == 2000
     assert got == _brute_split(rows)
     assert len(got) == math.ceil(2000 * 0.2)
+
+
+def test_deciles_by_a_summary_keep_their_rank_error(spark):
+    from bisect import bisect_left, bisect_right
+    for path, col in (("documents", "n_chars"), ("events", "value")):
+        df = spark.read.parquet(f"/root/testdata/sf0.1/{path}.parquet").select(col)
+        values = sorted(r[0] for r in df.collect())
+        for error in (0.01, 0.001):
+            for q, v in zip(curate.DECILES, curate.length_deciles(df, col, rank_error=error), strict=True):
+                lo, hi = bisect_left(values, v) / len(values), bisect_right(values, v) / len(values)
+                assert v in (values[int(lo * len(values))], v) and lo - error <= q <= hi + error
+    assert curate.length_deciles(df.limit(0), col, rank_error=0.01) == []
