@@ -15,8 +15,13 @@ reaches its ``k``-th lower bound: outsiders cannot qualify any more.  The scores
 that remain are then resolved.  Lists that are read to the end make the bounds exact, so
 ties and unlucky data only take longer.  The shards' best are merged by a window per query.
 
-Defined cases: null vectors and vectors with a null, infinite or NaN component, or of another
-length than ``size`` (default: the smallest valid one's), take no part; null ids take no part;
+Vectors of each length are searched among themselves: there is no inner product with another
+length.  Components are 64-bit integers.  Bounds are sums of doubles, so they are widened by what their
+rounding can amount to, and the scores of what remains are resolved in whole numbers.
+
+Defined cases: null and empty vectors and vectors with a null, infinite or NaN component take no part, nor
+do null ids; components or scores beyond 64 bits end the job with an error; very long vectors make
+smaller shards and blocks (``CELLS`` components at most); other columns are not read, whatever their names;
 ties go to the smaller id; equal rows count once; a row is no answer to a query of its own id;
 fewer than ``k`` candidates give as many answers; an empty table gives no rows.
 """
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut
+from .common import cut, join_lookup
 
 SCALE = 256
 SHARD_ROWS = 8192
@@ -40,13 +45,15 @@ DEPTHS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 FEW = 256
 #: Queries whose bounds are held at once.
 AT_ONCE = 256
+#: Components of a shard or block of very long vectors.
+CELLS = 1 << 21
 
 
 class Lists:
     """The sorted lists of a shard, and what has been read of them from either end."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x.astype(np.float64)
+        self.whole, self.x = x, x.astype(np.float64)
         self.order = np.argsort(x, axis=0, kind="stable")
         self.sorted = np.take_along_axis(self.x, self.order, axis=0)
         n, d = x.shape
@@ -84,6 +91,10 @@ def best(x: np.ndarray, first: np.ndarray, q: np.ndarray, k: int) -> tuple[np.nd
     k = min(k, n)
     lists = Lists(x)
     active = np.arange(len(q))
+    # d products and as many sums, each rounded; the bounds add up four such terms
+    largest = np.abs(lists.x).max(axis=0)
+    slack = (np.abs(q) @ largest) * x.shape[1] * 2.0 ** -49
+    exact, q = q, q.astype(np.float64)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for share in DEPTHS:
         lists.to(max(1, min(n, int(np.ceil(share * n)))))
@@ -92,12 +103,14 @@ def best(x: np.ndarray, first: np.ndarray, q: np.ndarray, k: int) -> tuple[np.nd
             who = active[a:a + AT_ONCE]
             low, high = lists.bounds(q[who])
             kth = np.partition(low, n - k, axis=1)[:, n - k]
-            may = high >= kth[:, None]
+            may = high + 2 * slack[who, None] >= kth[:, None]
             done = may.sum(1) <= FEW if lists.read < n else np.ones(len(who), bool)
             left.append(who[~done])
             row, cand = np.nonzero(may[done])
             who = who[done]
-            score = np.einsum("ij,ij->i", q[who[row]], lists.x[cand])   # resolved
+            score = np.einsum("ij,ij->i", exact[who[row]], lists.whole[cand])   # resolved
+            if (np.abs(np.einsum("ij,ij->i", q[who[row]], lists.x[cand])) > 2.0 ** 63 - 2.0 ** 40).any():
+                raise OverflowError("an inner product does not fit in 64 bits")
             order = np.lexsort((first[cand], -score, row))
             row, cand, score = row[order], cand[order], score[order]
             begin = np.searchsorted(row, np.arange(len(who)))
@@ -117,16 +130,20 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def integers(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
-             scale: int = SCALE, size: int | None = None) -> DataFrame:
+             scale: int = SCALE) -> DataFrame:
     """(vec_id, v) of the rows that take part: v = floor(scale * x) of every component."""
     x = F.transform(F.col(embedding), lambda c: c.cast("double"))
     ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     valid = vectors.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & (F.size(embedding) > 0)).filter(ok)
-    if size is None:
-        size = valid.agg(F.min(F.size(embedding))).first()[0] or 0   # one number
-    return valid.filter(F.size(embedding) == size).select(
-        F.col(vec_id).cast("long").alias("vec_id"),
-        F.transform(x, lambda c: F.floor(c * float(scale)).cast("int")).alias("v"))
+    return valid.select(F.col(vec_id).cast("long").alias("vec_id"),
+                        F.transform(x, lambda c: F.floor(c * float(scale)).cast("long")).alias("v"))
+
+
+def _parts(rows: DataFrame, most: int, name: str) -> DataFrame:
+    """(size, name): into how many parts of about ``most`` rows the vectors of each length go."""
+    most = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.lit(CELLS) / F.col("size"))))
+    return rows.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n")).select(
+        "size", F.ceil(F.col("n") / most).cast("long").alias(name))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHARD_ROWS,
@@ -136,13 +153,15 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHA
     ``rows`` and ``queries``: (vec_id, v) as :func:`integers` gives them."""
     groups = cut(_groups(rows, k + 1))
     asked = cut(queries.distinct())
-    shards = max(1, -(-groups.count() // shard_rows))
-    blocks = max(1, -(-asked.count() // block_rows))
+    parts = cut(_parts(groups, shard_rows, "shards").join(_parts(asked, block_rows, "blocks"), "size"))   # a row a length
+    number = lambda of, *by: F.pmod(F.xxhash64(*by), F.col(of))
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
     # every shard meets every block of the stated query set once
-    left = (groups.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    right = (asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))))
+    left = join_lookup(groups.withColumn("size", F.size("v")), parts, "size").filter("blocks is not null")
+    left = left.withColumn("shard", number("shards", "v")).withColumn("block", every("blocks")).drop("shards", "blocks")
+    right = join_lookup(asked.withColumn("size", F.size("v")), parts.select("size", "shards", "blocks"), "size").filter("blocks is not null")
+    right = right.withColumn("block", number("blocks", "vec_id", "v")).withColumn("shard", every("shards")).drop("shards", "blocks")
+    right = right.select(*[F.col(c).alias(f"q_{c}") for c in right.columns])
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())}
@@ -150,9 +169,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHA
             return pa.table(empty)
         ids = a.column("ids").combine_chunks()
         starts, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
-        asked_id = b.column("vec_id").to_numpy()
+        asked_id = b.column("q_vec_id").to_numpy()
         # one candidate more than asked for, as the query's own row takes no part
-        query, cand, score = best(_matrix(a.column("v")), flat[starts[:-1]], _matrix(b.column("v")).astype(np.float64), k + 1)
+        query, cand, score = best(_matrix(a.column("v")), flat[starts[:-1]], _matrix(b.column("q_v")), k + 1)
         many = np.diff(starts)[cand]
         at = np.repeat(starts[:-1][cand] - (np.cumsum(many) - many), many) + np.arange(many.sum())
         query, score, found = asked_id[np.repeat(query, many)], np.repeat(score, many), flat[at]
@@ -160,7 +179,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SHA
         return pa.table({"query_id": pa.array(query[keep]), "vec_id": pa.array(found[keep]),
                          "score": pa.array(score[keep].astype(np.int64))})
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
+    found = left.groupBy("size", "shard", "block").cogroup(right.groupBy("q_size", "q_shard", "q_block")).applyInArrow(
         search, "query_id long, vec_id long, score long")
     w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.distinct().withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -10,7 +10,7 @@ def brute(rows, k=5, every=50):
     out = set()
     for q in x:
         if q % every == 0:
-            found = sorted((-int(x[q] @ x[i]), i) for i in x if i != q)[:k]
+            found = sorted((-int(x[q] @ x[i]), i) for i in x if i != q and len(x[i]) == len(x[q]))[:k]
             out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(found)}
     return out
 
@@ -54,3 +54,25 @@ def test_odd_rows(spark):
     assert got == brute([(0, [1.0, 0.5]), (50, [0.25, 0.25]), (7, [-1.0, 0.0])])
     assert topk_nra.search(spark.createDataFrame([], SCHEMA)).count() == 0
     assert topk_nra.search(spark.createDataFrame([(0, [1.0])], SCHEMA)).count() == 0
+
+
+def test_each_length_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, rng.choice([1, 3, 3, 3, 40])).astype(np.float32).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'keep' AS v", "'keep' AS size", "'keep' AS shard", "'keep' AS ids")
+    assert found(topk_nra.search(df)) == brute(rows) and len({len(v) for i, v in rows if i % 50 == 0}) > 1
+    x = topk_nra.integers(df)
+    assert found(topk_nra.top_k(x, x.filter("vec_id % 50 = 0"), 5, shard_rows=20, block_rows=2)) == brute(rows)
+
+
+def test_large_components_and_near_ties(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(9e6 * rng.choice([-1.0, 1.0])), *(rng.integers(-3, 4, 7) / 256).tolist()]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    x = topk_nra.integers(df)
+    assert found(topk_nra.top_k(x, x.filter("vec_id % 50 = 0"), 5, shard_rows=300)) == brute(rows)
+
+
+def test_a_very_long_vector(spark):
+    rows = [(i, [float((i * j) % 5) for j in range(3000)]) for i in range(60)]
+    assert found(topk_nra.search(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
