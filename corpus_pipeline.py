@@ -8,6 +8,7 @@ they call say; a stage's side table (``labels``) is read from ``sf_dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import kn_quality, mix_sources, pii_boost, sentencepiece_codec, simhash_pivots
-from tessera.llm.common import cut, read
-from tessera.session import apply_defaults
+from tessera.llm.common import read
+from tessera.session import apply_defaults, checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,11 +64,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written before the next reads it."""
+    """All stages over ``documents``; each one's result is written as Parquet to a folder of this run, in the
+    shared folder of ``spark.checkpoint.dir``, and read from there by the next."""
     apply_defaults(spark)
     docs = read(spark, sf_dir, "documents")
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = cut(docs)
+            docs.write.parquet(f"{folder}/{k}")
+            docs = spark.read.schema(docs.schema).parquet(f"{folder}/{k}")
     return docs
