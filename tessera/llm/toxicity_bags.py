@@ -5,13 +5,17 @@ character n-grams, begin and end marked, and of itself, each hashed to a bucket;
 is the mean of its words; a linear softmax over it gives the score.  Embeddings and softmax
 are trained jointly in numpy.  Misspellings share most n-grams with the word they come from.
 
-The fit takes a bounded sample of labelled rows (``TRAIN_ROWS`` rows in the order of a digest
-of their ids, of which each gives at most ``TRAIN_WORDS`` distinct words with their counts, in
-the order of a digest), so what reaches the driver has a fixed bound.  Scoring
+The fit takes a bounded sample of labelled rows: ``TRAIN_ROWS`` rows, filled evenly by label and
+language in the order of a digest of their ids, so small languages and the rarer label come in whole first.
+Of a very long row it takes ``TRAIN_WORDS`` distinct words with their counts, drawn by a digest of row and word,
+so what reaches the driver has a fixed bound.  Training draws toxic and clean rows equally often, and
+each language equally often within them; embeddings begin near zero and are drawn there (``SHRINK``), so n-grams
+that training rarely saw weigh little.  Languages only steer the drawing: no score looks at them.  Scoring
 covers whole texts in tasks: the distinct words of a step are scored once each.
 
-Defined cases: null and empty texts and texts without words score the sample's share of
-toxic rows; ids that are labelled more than once count as toxic if one row says so; rows
+Defined cases: null and empty texts and texts without words score the share of toxic rows among all
+that may train; very long texts are scored whole; repeated rows score alike; nothing is ranked, so there are no ties;
+ids that are labelled more than once count as toxic if one row says so; rows
 without a label or with a null one do not train; without any labelled rows of both kinds every score is the
 share (0 if there are none); rows whose id is null count as held out; other columns are not
 looked at; an empty table gives no rows.
@@ -20,17 +24,18 @@ looked at; an empty table gives no rows.
 from __future__ import annotations
 
 import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gather, steps, whole
+from .common import cut, gather, steps
 
 TRAIN_ROWS = 5000
 TRAIN_WORDS = 2000
@@ -39,9 +44,12 @@ DIMENSIONS = 4
 #: Lengths of the character n-grams.
 GRAMS = (3, 4, 5, 6)
 #: Steps of the training; small samples are gone over oftener.
-STEPS = 600
+STEPS = 1000
 BATCH = 100
 RATE = 0.02
+SHRINK = 1e-4
+#: Spread of the embeddings at the start.
+START = 0.005
 #: Documents are means over many words; this brings them to the scale of a unit.
 SCALE = 20.0
 SEED = 42
@@ -128,10 +136,9 @@ def word_vectors(embedding: np.ndarray, buckets: np.ndarray, many: np.ndarray) -
     return np.add.reduceat(embedding[buckets], np.cumsum(many) - many, axis=0) / many[:, None]
 
 
-def train(docs: list[tuple[list[str], np.ndarray]], labels: np.ndarray) -> Model:
-    """Joint training with Adam over batches of documents (words, counts)."""
-    share = float(labels.mean()) if len(labels) else 0.0
-    if not len(labels) or share in (0.0, 1.0):
+def train(docs: list[tuple[list[str], np.ndarray]], labels: np.ndarray, languages: np.ndarray, share: float) -> Model:
+    """Joint training with Adam over batches of documents (words, counts); ``share`` is that of toxic rows."""
+    if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros((0, DIMENSIONS)), np.zeros((DIMENSIONS, 2)), np.zeros(2), share)
     vocabulary: dict[str, int] = {}
     codes = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64) for words, _ in docs]
@@ -145,33 +152,35 @@ def train(docs: list[tuple[list[str], np.ndarray]], labels: np.ndarray) -> Model
         at = np.flatnonzero(bag)
         bags.append((at.astype(np.int32), bag[at].astype(np.float32)))
     rng = np.random.default_rng(SEED)
-    p = [rng.normal(0, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32),
+    drawn = np.zeros(len(labels))
+    for label in (0, 1):
+        kinds = np.unique(languages[labels == label])
+        for kind in kinds:
+            own = (labels == label) & (languages == kind)
+            drawn[own] = 0.5 / len(kinds) / own.sum()
+    p = [rng.normal(0, START, (BUCKETS, DIMENSIONS)).astype(np.float32),
          rng.normal(0, 1, (DIMENSIONS, 2)).astype(np.float32),
          np.log(np.array([1 - share, share], np.float32))]
-    m, v, step = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p], 0
-    epochs = -(-STEPS * BATCH // len(docs))
-    for epoch in range(epochs):
-        order = rng.permutation(len(docs))
-        rate = RATE * (1 - epoch / epochs)
-        for k in range(0, len(order), BATCH):
-            chosen = order[k:k + BATCH]
-            at = np.concatenate([bags[i][0] for i in chosen])
-            part = np.concatenate([bags[i][1] for i in chosen])
-            sizes = np.array([len(bags[i][0]) for i in chosen])
-            doc = np.add.reduceat(p[0][at] * part[:, None], np.cumsum(sizes) - sizes, axis=0)
-            z = doc @ p[1] + p[2]
-            z = np.exp(z - z.max(1, keepdims=True))
-            error = z / z.sum(1, keepdims=True)
-            error[np.arange(len(chosen)), labels[chosen]] -= 1
-            error /= len(chosen)
-            back = np.repeat(error @ p[1].T, sizes, axis=0) * part[:, None]
-            grads = [np.stack([np.bincount(at, weights=back[:, d], minlength=BUCKETS) for d in range(DIMENSIONS)], 1),
-                     doc.T @ error, error.sum(0)]
-            step += 1
-            for j, g in enumerate(grads):
-                m[j] += 0.1 * (g.astype(np.float32) - m[j])
-                v[j] += 0.01 * (np.square(g, dtype=np.float32) - v[j])
-                p[j] -= np.float32(rate / (1 - 0.9 ** step)) * m[j] / (np.sqrt(v[j] / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
+    m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
+    for step in range(1, STEPS + 1):
+        rate = RATE * (1 - step / STEPS)
+        chosen = rng.choice(len(docs), BATCH, p=drawn)
+        at = np.concatenate([bags[i][0] for i in chosen])
+        part = np.concatenate([bags[i][1] for i in chosen])
+        sizes = np.array([len(bags[i][0]) for i in chosen])
+        doc = np.add.reduceat(p[0][at] * part[:, None], np.cumsum(sizes) - sizes, axis=0)
+        z = doc @ p[1] + p[2]
+        z = np.exp(z - z.max(1, keepdims=True))
+        error = z / z.sum(1, keepdims=True)
+        error[np.arange(len(chosen)), labels[chosen]] -= 1
+        error /= len(chosen)
+        back = np.repeat(error @ p[1].T, sizes, axis=0) * part[:, None]
+        grads = [np.stack([np.bincount(at, weights=back[:, d], minlength=BUCKETS) for d in range(DIMENSIONS)], 1) + SHRINK * p[0],
+                 doc.T @ error, error.sum(0)]
+        for j, g in enumerate(grads):
+            m[j] += 0.1 * (g.astype(np.float32) - m[j])
+            v[j] += 0.01 * (np.square(g, dtype=np.float32) - v[j])
+            p[j] -= np.float32(rate / (1 - 0.9 ** step)) * m[j] / (np.sqrt(v[j] / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
     return Model(*p, share)
 
 
@@ -179,12 +188,19 @@ def held_out(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list, np.ndarray]:
-    """Words of a bounded sample of labelled rows that are not held out, and their labels."""
+def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list, np.ndarray, np.ndarray, float]:
+    """Words of a bounded sample of labelled rows that are not held out, their labels and languages, and
+    the share of toxic rows among all that are not held out."""
     known = (labels.filter("doc_id is not null and toxic is not null").filter(~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-             .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(rows))
-    texts = docs.join(F.broadcast(known), "doc_id").select("doc_id", "toxic", "text")   # ``rows`` rows
+             .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    here = docs.select("doc_id", lang.alias("lang")).groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    known = cut(known.join(here, "doc_id"))
+    share = known.agg(F.avg("toxic")).first()[0] or 0.0   # one number
+    digest = [F.xxhash64(F.lit(SEED), "doc_id"), F.col("doc_id")]
+    place = F.row_number().over(Window.partitionBy("toxic", "lang").orderBy(*digest))
+    known = cut(known.withColumn("place", place).filter(F.col("place") <= rows).orderBy("place", *digest).limit(rows))
+    texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "toxic", "text")   # ``rows`` rows
     schema = "doc_id long, toxic int, words array<string>, counts array<long>"
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +208,11 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[
             text, word, count, names = distinct_words(batch.column(2))
             out_words, out_counts = [], []
             ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
+            for doc, a, b in zip(batch.column(0).to_pylist(), ends[:-1], ends[1:], strict=True):
                 own, many = word[a:b], count[a:b]
                 if len(own) > TRAIN_WORDS:
-                    buckets, per = buckets_of([names[w] for w in own])
-                    keep = np.sort(np.argsort(buckets[np.cumsum(per) - per], kind="stable")[:TRAIN_WORDS])
+                    drawn = [zlib.crc32(names[w].encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) for w in own]
+                    keep = np.sort(np.argsort(drawn, kind="stable")[:TRAIN_WORDS])
                     own, many = own[keep], many[keep]
                 out_words.append([names[w] for w in own])
                 out_counts.append(many.tolist())
@@ -209,7 +225,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[
     found = [(r.doc_id, [one.setdefault(w, w) for w in r.words], np.array(r.counts, np.int32), int(r.toxic > 0))
              for r in texts.mapInArrow(words, schema).toLocalIterator() if r.words]
     found.sort(key=lambda x: (x[0], x[1]))
-    return [(w, c) for _, w, c, _ in found], np.array([t for *_, t in found], np.int64)
+    spoken = {r.doc_id: r.lang for r in known.select("doc_id", "lang").collect()}   # ``rows`` rows
+    return ([(w, c) for _, w, c, _ in found], np.array([t for *_, t in found], np.int64),
+            np.array([spoken[i] for i, *_ in found], object).astype(str), float(share))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
@@ -231,6 +249,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Per row: doc_id, held_out, score and predicted."""
     plain = docs.select("doc_id", "text")
-    model = train(*sample(plain, labels, rows))
+    model = train(*sample(docs, labels, rows))
     return score(plain, model).select("doc_id", held_out("doc_id").alias("held_out"), "score",
                                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
