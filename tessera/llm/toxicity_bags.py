@@ -48,6 +48,8 @@ STEPS = 1000
 BATCH = 100
 RATE = 0.02
 SHRINK = 1e-4
+#: Words of the sample that are taken apart at once.
+WORDS_AT_ONCE = 20_000
 #: Spread of the embeddings at the start.
 START = 0.005
 #: Documents are means over many words; this brings them to the scale of a unit.
@@ -142,7 +144,10 @@ def train(docs: list[tuple[list[str], np.ndarray]], labels: np.ndarray, language
         return Model(np.zeros((0, DIMENSIONS)), np.zeros((DIMENSIONS, 2)), np.zeros(2), share)
     vocabulary: dict[str, int] = {}
     codes = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64) for words, _ in docs]
-    buckets, many = buckets_of(list(vocabulary))
+    names = list(vocabulary)
+    parts = [buckets_of(names[at:at + WORDS_AT_ONCE]) for at in range(0, len(names), WORDS_AT_ONCE)]
+    buckets, many = np.concatenate([b.astype(np.int32) for b, _ in parts]), np.concatenate([n for _, n in parts])
+    del parts, names
     start = np.cumsum(many) - many
     # each document as its buckets and what each adds to the mean
     bags = []
