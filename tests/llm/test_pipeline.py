@@ -49,6 +49,20 @@ def test_stages(spark, sample):
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
+def test_run_goes_through_parquet(spark, sample):
+    import os
+    docs = sample
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).cache()
+    done = corpus_pipeline.run(spark, SF)
+    assert done.schema.names == docs.schema.names
+    one = lambda df: Counter((r.doc_id, r.ids_sha256) for r in df.select("doc_id", "ids_sha256").collect())
+    assert one(done) == one(docs)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    runs = os.listdir(f"{folder}/pipeline")
+    assert len(runs) == 1 and sorted(os.listdir(f"{folder}/pipeline/{runs[0]}")) == ["0", "1", "2", "3"]
+
+
 def test_odd_and_empty_tables(spark, odd, none, tmp_path, labels):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for docs, empty in ((odd, False), (none, True)):
