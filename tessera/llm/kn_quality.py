@@ -1,29 +1,24 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model (operator 6).
 
-The model is of word trigrams, so its tables grow with the corpus and word order counts.  Words
-(:data:`TOKEN`: runs of letters and digits, with the blank before them, and single other
-characters) are hashed to 64 bits.  Below the unigrams, each word is spelled by a Kneser-Ney model of
-character 5-grams over the distinct trusted words, so misspelt and unseen words have a
-probability of their own; perplexities are per character.  A second model, of the 5-grams of whole
-texts, finds garbled text; a document goes if either model rejects it.
-
-1. Tasks count the trigrams of their texts, those of trusted documents apart, and Spark adds
-   them up: the query set (all trigrams of the corpus) and the counts of trusted text.
-2. Lower orders get continuation counts, each order its three discounts from its counts of
-   counts, each context its sum and what its discounts free.
-3. From order 1 up, the probabilities of all distinct query n-grams come from joins with the
-   context and the probability of the suffix.  The tables are sharded by their keys; keys of
-   more than ``HOT`` rows are salted, as a common word has followers without bound.
-4. Documents are dealt to chunks of about ``CHUNK_CHARS``, packed (compressed Arrow) so that
-   their one shuffle is small; the distinct n-grams of each chunk are joined with the
-   probabilities, and the chunk's documents are summed up with them.
+The model is of word bigrams over hashes of 48 bits, so its tables grow with the corpus and word
+order counts.  Words are runs of letters and digits, and single other characters, with the blank
+before them.  Below the unigrams, a word is spelled by a Kneser-Ney model of character trigrams of
+the distinct trusted words, so misspelt and unseen words have a probability of their own;
+perplexities are per character.
+
+1. Tasks count the bigrams of trusted texts; a step's bigrams go to buckets by ranges of their keys,
+   each as one compressed row, and a bucket adds up its own.
+2. Each bucket hands on, word by word, what its bigrams say of their first word (occurrences, and
+   followers met once, twice, more often) and of their second one (words before it); buckets of
+   words add that up.  A word has one entry a bucket, so no word is a hot key.
+3. Documents are dealt to chunks of about ``CHUNK_CHARS`` by a hash of the whole row, packed as compressed Arrow.  Each
+   chunk asks the buckets for the counts of its distinct bigrams and words, and interpolates.
+4. The spelling model has ``CLASSES`` classes of characters, so its table is of ``CLASSES`` ** 3
+   numbers at any size of the corpus, and each task has it whole.
 5. Short texts say little: for the verdict, each text gets ``PRIOR_CHARS`` more characters at
    the mean of its language's trusted text.  A document is rejected if that perplexity is
    over the ``QUANTILE`` of the trusted documents of its language, times ``SLACK``.
 
-The spelling model's characters are of ``CLASSES`` classes (code points from ``SHARED`` on share
-the last ones); a 5-gram is a 60-bit integer whose prefix and suffix are shifts and masks.
-
 Trusted documents are those with the label quality = 1.  Four fifths of them, by a digest of
 the id, train the model, and the rest, which it has not seen, give the means and quantiles: text
 that was counted looks better than it is, the more so the less there is.  The ids are counted: up to ``BROADCAST_IDS`` they are sent out, beyond that both sides are dealt by id.
@@ -31,126 +26,275 @@ that was counted looks better than it is, the more so the less there is.  The id
 Defined cases: null and empty texts have no perplexity and are rejected; languages without
 trusted documents (null is one language) use the quantile over all trusted ones; without
 any trusted document every text with characters stays; conflicting labels of an id do not
-make it trusted; other columns pass through; an empty table gives no rows.
+make it trusted; equal rows are judged alike, and a perplexity at the limit stays; texts of any
+length are whole, a run of letters without end is one word; other columns pass through; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOOKUP_ROWS, SALTS, cut, gather, hide, join_lookup, restore, steps, text_bytes, whole
+from .common import cut, hide, join_lookup, restore, steps, text_bytes, whole
 
-ORDER = 5
-BITS = 12
-CLASSES = 1 << BITS
-SHARED = 0xF00
-MASK = (1 << BITS * ORDER) - 1
 CHUNK_CHARS = 32_000_000
 BROADCAST_IDS = 1_000_000
-#: Bytes of text whose n-grams a task holds at once (some 40 times that in memory).
-AT_ONCE = 1 << 20
+#: Bytes of text whose words a task takes apart at once.
+AT_ONCE = 2 << 20
+#: Bytes of trusted text whose bigrams are counted before they are handed on.
+COUNT_AT_ONCE = 16 << 20
 PRIOR_CHARS = 50
 QUANTILE = 0.99
 SLACK = 1.2
 #: One of so many trusted documents is kept from the counts, for the thresholds.
 HOLD = 5
-#: Every character of a text is in one token; scripts without blanks give one for each character,
-#: and longer runs give several.
-CJK = "\u3040-\u30ff\u3400-\u9fff"
-TOKEN = re.compile(rf" ?[{CJK}]| ?[^\W{CJK}]{{1,32}}| ?[^\w\s]|\s")
-#: Ends the spelling of a word.
-END = "\0"
-#: Rows of a key from which on they are dealt to several tasks.
-HOT = 1000
-
-
-def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(5-grams of all texts, offsets of each text in them); a text is led by four pads."""
-    raw, off = text_bytes(column)
-    cps = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    at = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][off]
-    own = np.ones(len(cps) + (ORDER - 1) * (len(at) - 1), bool)
-    own[gather(at[:-1] + (ORDER - 1) * np.arange(len(at) - 1), np.full(len(at) - 1, ORDER - 1))] = False
-    padded = np.zeros(len(own), np.int16)
-    padded[own] = np.where(cps < SHARED, cps, SHARED + cps % (CLASSES - SHARED))
-    code = padded.astype(np.int64)
-    for back in range(1, ORDER):
-        code[back:] |= padded[:-back].astype(np.int64) << (BITS * back)
-    return code[own], at
-
-
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
+#: Classes of characters in spellings: printable ASCII, 31 for all others, before and after a word.
+CLASSES = 128
+BEFORE, AFTER = 126, 127
+#: Scripts without blanks: every character is a word.
+CJK = "぀-ヿ㐀-鿿"
+KEY_BITS = 48
+#: Odd numbers for hashing; BASE - 1 has one factor of two.
+BASE, MIX1, MIX2 = 0xD1342543DE82EF97, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+# ------------------------------------------------------------------------ words
+
+@functools.lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 1 in words, 2 white space, 3 the blank, 0 anything else."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.zeros(0x110000, np.uint8)
+    for number, pattern in ((1, rf"[^\W{CJK}]+"), (2, r"\s+")):
+        for m in re.finditer(pattern, every):
+            kinds[m.start():m.end()] = number
+    kinds[0x20] = 3
+    return kinds
+
+
+@functools.lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    back = pow(BASE, -1, 1 << 64)
+    return tuple(np.cumprod(np.r_[np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)]) for b in (BASE, back))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX1)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX2)
+    return x ^ (x >> np.uint64(31))
+
+
+class Words:
+    """The words of all texts of a column: ``cps`` code points, ``at`` offsets of the texts in them,
+    ``begins`` where words begin, ``to`` offsets of the texts in these, ``key`` hash of each word."""
+
+    def __init__(self, column: pa.Array) -> None:
+        raw, off = text_bytes(column)
+        self.cps = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        self.at = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][off]
+        kind = _kinds()[self.cps]
+        start = np.ones(len(kind), bool)
+        start[1:] = ~(((kind[1:] == 1) & (kind[:-1] == 1)) | ((kind[:-1] == 3) & (kind[1:] < 2)))
+        start[self.at[:-1][np.diff(self.at) > 0]] = True
+        self.begins = np.flatnonzero(start)
+        self.ends = np.r_[self.begins[1:], len(kind)] if len(kind) else self.begins
+        self.to = np.searchsorted(self.begins, self.at)
+        up, down = _powers(1 << max(10, int(len(kind) - 1).bit_length()))
+        sums = np.r_[np.zeros(1, np.uint64), np.cumsum(_mixed(self.cps.astype(np.uint64) + np.uint64(1)) * up[:len(kind)])]
+        own = (sums[self.ends] - sums[self.begins]) * down[self.begins]
+        self.key = np.maximum(_mixed(own + (self.ends - self.begins).astype(np.uint64)) >> np.uint64(64 - KEY_BITS), 1).astype(np.int64)
+
+    def before(self) -> np.ndarray:
+        """The key of the word before each in its text, or 0."""
+        found = np.r_[0, self.key[:-1]] if len(self.key) else self.key
+        found[self.to[:-1][np.diff(self.to) > 0]] = 0
+        return found
+
+    def spelling(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the character trigrams of all words, and of those with which words end."""
+        one = spelled_class(self.cps)
+        two = np.r_[np.int32(BEFORE), one[:-1]].astype(np.int32)[:len(one)]
+        two[self.begins] = BEFORE
+        three = np.r_[np.int32(BEFORE), two[:-1]].astype(np.int32)[:len(one)]
+        three[self.begins] = BEFORE
+        last = self.ends - 1
+        return (three * CLASSES + two) * CLASSES + one, (two[last] * CLASSES + one[last]) * CLASSES + AFTER
+
+
+def spelled_class(cps: np.ndarray) -> np.ndarray:
+    return np.where((cps >= 32) & (cps < 127), cps - np.uint32(32), 95 + cps % 31).astype(np.int32)
+
+
+def pair_key(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    mixed = _mixed(x.astype(np.uint64) * np.uint64(BASE) + y.astype(np.uint64) * np.uint64(MIX2))
+    return (mixed >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+
+
+# ----------------------------------------------------------------- packed tables
+
+ROW = "kind int, bucket long, of long, n long, keys binary, data binary"
+FIELDS = {"kind": pa.int32(), "bucket": pa.int64(), "of": pa.int64(), "n": pa.int64(), "keys": pa.binary(), "data": pa.binary()}
+PAIRS, WORDS = 0, 1
+#: Numbers of a word: occurrences before another, followers met once, twice, more often, words met before it.
+OF_WORD = 5
+
+
+def _squeeze(data: np.ndarray) -> bytes:
+    """Compressed, the first bytes of all numbers before the second ones and so on."""
+    planes = np.ascontiguousarray(data).view(np.uint8).reshape(-1, data.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _expand(blob: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(blob, n * 8, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+
+
+def _rows(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(FIELDS)
+    return pa.table({n: pa.array(c, t) for (n, t), c in zip(FIELDS.items(), columns, strict=True)})
+
+
+def _dealt(kind: int, of: int, keys: np.ndarray, data: np.ndarray | None, buckets: int) -> list[tuple]:
+    """Rows of sorted ``keys`` and the columns of ``data``, by ranges of the keys."""
+    ends = np.searchsorted(keys, -(-(np.arange(buckets + 1, dtype=object) << KEY_BITS) // buckets).astype(np.int64))
+    return [(kind, b, of, int(hi - lo), _squeeze(np.diff(keys[lo:hi], prepend=0)), b"" if data is None else _squeeze(data[:, lo:hi].ravel()))
+            for b, (lo, hi) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if hi > lo]
+
+
+def _keys(row: dict) -> np.ndarray:
+    return np.cumsum(_expand(row["keys"], row["n"]))
+
+
+def _added(keys: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sums of the columns of ``data``, where each key was first)."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.diff(np.r_[first, len(keys)])
+    return keys[first], np.add.reduceat(data[:, order], first, axis=1) if len(first) else data[:, :0], order[first]
 
 
-def count_ngrams(texts: DataFrame) -> DataFrame:
-    """(g, c) of ``texts`` (text, trusted): every 5-gram and its count in trusted texts."""
+def count_pairs(texts: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows of ``texts`` (text): the bigrams with their words and counts, by bucket, once for each step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", AT_ONCE):
-            code, at = ngrams(batch.column(batch.schema.get_field_index("text")))
-            trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
-            own = np.repeat(trusted, np.diff(at))
-            yes, many = _counted(code[own])
-            no, _ = _counted(code[~own])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[yes, no]), pa.array(np.r_[many, np.zeros(len(no), np.int64)])], names=["g", "c"])
+        for big in steps(batches, "text", COUNT_AT_ONCE):
+            held = []
+            for batch in steps(iter([big]), "text", AT_ONCE):
+                words = Words(batch.column(batch.schema.get_field_index("text")))
+                x, y = words.before(), words.key
+                keys, c, first = _added(pair_key(x, y), np.ones((1, len(y)), np.int64))
+                held.append((keys, c[0], x[first], y[first]))
+            key, c, x, y = (np.concatenate(v) for v in zip(*held, strict=True))
+            keys, sums, first = _added(key, c[None])
+            yield from _rows(_dealt(PAIRS, 0, keys, np.stack([sums[0], x[first], y[first]]), buckets)).to_batches()
+
+    return texts.mapInArrow(run, ROW)
+
+
+def pair_tables(counted: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows: each bucket's distinct bigrams with their counts, and what they say of their words."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys = np.concatenate([_keys(r) for r in rows])
+        data = np.concatenate([_expand(r["data"], 3 * r["n"]).reshape(3, -1) for r in rows], axis=1)
+        keys, sums, first = _added(keys, data[:1])
+        c, (x, y) = sums[0], data[1:, first]
+        zero = np.zeros(len(c), np.int64)
+        words, numbers, _ = _added(np.r_[x, y], np.concatenate([
+            np.stack([c, c == 1, c == 2, c > 2, zero]), np.stack([zero, zero, zero, zero, zero + 1])], axis=1))
+        return _rows([(PAIRS, rows[0]["bucket"], 0, len(keys), _squeeze(np.diff(keys, prepend=0)), _squeeze(c)),
+                      *_dealt(WORDS, rows[0]["bucket"], words, numbers, buckets)])
+
+    return counted.groupBy("bucket").applyInArrow(merge, ROW)
+
+
+def word_tables(tables: DataFrame) -> DataFrame:
+    """Packed rows: each bucket's distinct words with their numbers."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        words, numbers, _ = _added(np.concatenate([_keys(r) for r in rows]), np.concatenate(
+            [_expand(r["data"], OF_WORD * r["n"]).reshape(OF_WORD, -1) for r in rows], axis=1))
+        return _rows([(WORDS, rows[0]["bucket"], 0, len(words), _squeeze(np.diff(words, prepend=0)), _squeeze(numbers.ravel()))])
+
+    return tables.filter(F.col("kind") == WORDS).groupBy("bucket").applyInArrow(merge, ROW)
+
+
+def less(n: list[int]) -> np.ndarray:
+    """Discounts of the counts 0, 1, 2 and more, from how many n-grams have the counts 1 to 4; a tenth
+    at least, so that what was not met has a probability."""
+    n = [0, *n]
+    y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+    return np.array([0.0, *(min(float(k), max(0.1, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else 0.5 for k in (1, 2, 3))])
 
-    return texts.mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
+def _counts_of_counts(tables: DataFrame, kind: int) -> list[int]:
+    """How many keys have the counts 1, 2, 3, 4, how many any, and the sum of the counts."""
 
-def _suffix(order: int) -> Column:
-    return F.col("g").bitwiseAND((1 << BITS * (order - 1)) - 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = _expand(row["data"], row["n"] * (OF_WORD if kind == WORDS else 1))[-row["n"]:]   # words: the last column
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (
+                    *(int((c == k).sum()) for k in range(1, 5)), int((c > 0).sum()), int(c.sum()))], names=list("abcdef"))
+
+    found = tables.filter(F.col("kind") == kind).mapInArrow(run, "a long, b long, c long, d long, e long, f long")
+    return [x or 0 for x in found.agg(*[F.sum(c) for c in "abcdef"]).first()]   # one row
+
+
+def spelling_table(texts: DataFrame) -> np.ndarray:
+    """Log probability of every character trigram, from the distinct words of ``texts`` (text)."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in steps(batches, "text", COUNT_AT_ONCE):
+            seen: dict[int, str] = {}
+            for batch in steps(iter([big]), "text", AT_ONCE):
+                w = Words(batch.column(batch.schema.get_field_index("text")))
+                keys, first = np.unique(w.key, return_index=True)
+                for key, i in zip(keys.tolist(), first.tolist(), strict=True):
+                    if key not in seen:
+                        seen[key] = w.cps[w.begins[i]:w.ends[i]].tobytes().decode("utf-32-le")
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["key", "text"])
+
+    def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text", AT_ONCE):
+            w = Words(batch.column(batch.schema.get_field_index("text")))
+            g, c = np.unique(np.concatenate(w.spelling()), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(c)], names=["g", "c"])
 
+    distinct = texts.mapInArrow(words, "key long, text string").groupBy("key").agg(F.min("text").alias("text"))
+    found = distinct.select("text").mapInArrow(trigrams, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).toArrow()
+    counts = np.zeros(CLASSES ** 3, np.int64)   # CLASSES ** 3 rows at most
+    counts[found.column("g").to_numpy()] = found.column("c").to_numpy()
+    return spelling_probabilities(counts)
 
-def _context() -> Column:
-    return F.shiftright("g", BITS)
 
+def spelling_probabilities(counts: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the interpolated probabilities, by the code of the trigram."""
+    p = np.full(CLASSES, 1.0 / CLASSES)
+    for order in (1, 2, 3):
+        c = counts.reshape([CLASSES] * 3)
+        for _ in range(3 - order):   # how many different characters come before
+            c = (c > 0).sum(0)
+        d = less([int((c == k).sum()) for k in range(1, 5)])[np.minimum(c, 3)]
+        total, freed = c.sum(-1, keepdims=True), d.sum(-1, keepdims=True)
+        p = np.where(total > 0, (c - d + freed * p) / np.maximum(total, 1), p)
+    return np.log(p).astype(np.float32).ravel()
 
-def _discounts(counts: DataFrame) -> list[float]:
-    n = counts.agg(*[F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in range(1, 5)]).first()  # one row
-    n = [0, *(x or 0 for x in n)]
-    y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
-    return [0.0, *(min(float(k), max(0.0, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else 0.5 for k in (1, 2, 3))]
-
-
-def probabilities(counted: DataFrame) -> DataFrame:
-    """(g, lp): natural log probability of the last character of every counted 5-gram."""
-    counts = {ORDER: counted.filter("c > 0")}
-    wanted = {ORDER: counted.select("g")}
-    for k in range(ORDER - 1, 0, -1):
-        # continuation counts: how many different characters come before
-        counts[k] = cut(counts[k + 1].groupBy(_suffix(k + 1).alias("g")).agg(F.count(F.lit(1)).alias("c")))
-        wanted[k] = cut(wanted[k + 1].select(_suffix(k + 1).alias("g")).distinct())
-    lower = None
-    for k in range(1, ORDER + 1):
-        d = _discounts(counts[k])
-        less = F.element_at(F.array(*[F.lit(x) for x in d[1:]]), F.least(F.col("c"), F.lit(3)).cast("int"))
-        contexts = counts[k].groupBy(_context().alias("h")).agg(
-            F.sum("c").alias("all"), F.sum(less).alias("freed"))
-        found = (wanted[k].withColumn("h", _context()).withColumn("s", _suffix(k))
-                 .join(counts[k], "g", "left").join(contexts, "h", "left"))
-        if lower is None:
-            found = found.withColumn("p_low", F.lit(1.0 / CLASSES))
-        else:
-            found = found.join(lower.select(F.col("g").alias("s"), F.col("p").alias("p_low")), "s")
-        p = F.when(F.col("all").isNull(), F.col("p_low")).otherwise(
-            (F.when(F.col("c").isNull(), 0.0).otherwise(F.col("c") - less) + F.col("freed") * F.col("p_low")) / F.col("all"))
-        lower = found.select("g", p.alias("p"))
-        if k < ORDER:
-            lower = cut(lower)
-    return lower.select("g", F.log("p").cast("float").alias("lp"))
 
+# ---------------------------------------------------------------------- scoring
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return (labels.filter("doc_id is not null").groupBy("doc_id")
@@ -174,13 +318,14 @@ def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
     dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks)).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, AT_ONCE):
+        for batch in steps(batches, text, COUNT_AT_ONCE):
             chunk = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
             found, blobs = np.unique(chunk), []
             for c in found:
                 sink = pa.BufferOutputStream()
                 part = batch.take(pa.array(np.flatnonzero(chunk == c)))
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
                     out.write_batch(part)
                 blobs.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], names=["_chunk", "packed"])
@@ -188,187 +333,116 @@ def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
     return dealt.mapInArrow(run, "_chunk int, packed binary")
 
 
-def _unpack(packed: pa.Table) -> Iterator[pa.RecordBatch]:
+def _unpack(packed: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
     for blob in packed.column("packed"):
         with pa.ipc.open_stream(blob.as_buffer()) as stream:
-            yield from stream
+            yield from steps(stream, text, AT_ONCE)
+
 
+def _ask(packed: DataFrame, text: str, buckets: int) -> DataFrame:
+    """Packed rows: the distinct bigrams and words of each chunk, by bucket."""
 
-def _summed(docs: DataFrame, known: DataFrame, grams: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]],
-            text: str, keep_text: bool) -> DataFrame:
-    """``docs`` with _chars and _ppl from the log probabilities ``known`` (g, lp) of the n-grams that
-    ``grams`` gives with the offsets and characters of each text."""
+    def run(table: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _rows([])
+        pairs = words = np.zeros(0, np.int64)
+        for batch in _unpack(table, text):
+            w = Words(batch.column(batch.schema.get_field_index(text)))
+            pairs = np.union1d(pairs, pair_key(w.before(), w.key))
+            words = np.union1d(words, np.r_[0, w.key])
+        chunk = table.column("_chunk")[0].as_py()
+        return _rows([*_dealt(PAIRS, chunk, pairs, None, buckets), *_dealt(WORDS, chunk, words, None, buckets)])
+
+    return packed.groupBy("_chunk").applyInArrow(run, ROW)
+
+
+def _answer(asked: DataFrame, tables: DataFrame) -> DataFrame:
+    """Packed rows: of each asked row the keys that the tables hold, with their numbers."""
+
+    def run(asked: pa.Table, table: pa.Table) -> pa.Table:
+        if not asked.num_rows or not table.num_rows:
+            return _rows([])
+        own = table.to_pylist()[0]
+        width = OF_WORD if own["kind"] == WORDS else 1
+        keys, data = _keys(own), _expand(own["data"], width * own["n"]).reshape(width, -1)
+        out = []
+        for batch in asked.to_batches(max_chunksize=64):
+            for row in batch.to_pylist():
+                mine, at, _ = np.intersect1d(keys, _keys(row), assume_unique=True, return_indices=True)
+                if len(mine):
+                    out.append((row["kind"], row["bucket"], row["of"], len(mine), _squeeze(np.diff(mine, prepend=0)), _squeeze(data[:, at].ravel())))
+        return _rows(out)
+
+    by = ["kind", "bucket"]
+    return asked.groupBy(*by).cogroup(tables.groupBy(*by)).applyInArrow(run, ROW)
+
+
+def _lookup(keys: np.ndarray, data: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The columns of ``data`` for the ``wanted`` keys, zeros for those that ``keys`` lacks."""
+    if not len(keys):
+        return np.zeros((len(data), len(wanted)), np.int64)
+    different, of = np.unique(wanted, return_inverse=True)
+    at = np.minimum(np.searchsorted(keys, different), len(keys) - 1)
+    return np.where(keys[at] == different, data[:, at], 0)[:, of]
+
+
+def _probabilities(words: Words, pairs: tuple, known: tuple, spelled: np.ndarray, d1: np.ndarray, d2: np.ndarray,
+                   total: int, freed: float) -> np.ndarray:
+    """Natural log probability of each word after the one before it."""
+    inside, last = words.spelling()
+    spell = np.add.reduceat(spelled[inside].astype(np.float64), words.begins) + spelled[last]
+    x = words.before()
+    met = _lookup(*known, words.key)[4]
+    occurs, once, twice, more, _ = _lookup(*known, x)
+    c = _lookup(*pairs, pair_key(x, words.key))[0]
+    left = once * d2[1] + twice * d2[2] + more * d2[3]
+    with np.errstate(divide="ignore"):   # in logarithms, as the spelling of a very long word is beyond floats
+        lp = spell
+        if total:
+            lp = np.logaddexp(np.log((met - d1[np.minimum(met, 3)]) / total), np.log(freed / total) + spell)
+        some = np.maximum(occurs, 1)
+        return np.where(occurs > 0, np.logaddexp(np.log((c - d2[np.minimum(c, 3)]) / some), np.log(left / some) + lp), lp)
+
+
+def word_perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
+    """``docs`` with _chars and _ppl, each text's perplexity per character (null without any) under
+    the word model of the texts for which ``train`` is true."""
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0   # one number
+    chunks = buckets = max(1, -(-chars // CHUNK_CHARS))
+    trusted = docs.filter(F.col(train)).select(whole(text).alias("text"))
+    tables = cut(pair_tables(count_pairs(trusted, buckets), buckets))
+    of_words = cut(word_tables(tables))
+    d2, n1 = less(_counts_of_counts(tables, PAIRS)[:4]), _counts_of_counts(of_words, WORDS)
+    d1, total = less(n1[:4]), n1[5]
+    freed = n1[0] * d1[1] + n1[1] * d1[2] + (n1[4] - n1[0] - n1[1]) * d1[3]
+    spelled = spelling_table(trusted)
+
     docs = docs.drop("_ppl", "_chars", "_chunk")
-    packed = _pack(docs, text, max(1, -(-chars // CHUNK_CHARS)))
-
-    def keys(table: pa.Table) -> pa.Table:
-        chunk = table.column("_chunk")[0].as_py() if table.num_rows else 0
-        found = np.zeros(0, np.int64)
-        for b in _unpack(table):
-            own, _ = _counted(grams(b.column(b.schema.get_field_index(text)))[0])
-            found, _ = _counted(np.concatenate([found, own]))
-        return pa.table({"_chunk": pa.array(np.full(len(found), chunk, np.int32)), "g": pa.array(found)})
-
-    asked = packed.groupBy("_chunk").applyInArrow(keys, "_chunk int, g long")
-    answers = asked.join(known, "g").select("_chunk", "g", "lp")
+    packed = _pack(docs, text, chunks)
+    answers = _answer(_ask(packed, text, buckets), tables.filter(F.col("kind") == PAIRS).unionByName(of_words))
     kept = [f for f in docs.schema.fields if keep_text or f.name != text]
     schema = T.StructType([*kept, T.StructField("_chars", T.LongType()), T.StructField("_ppl", T.DoubleType())])
     names = [f.name for f in schema.fields]
 
     def add_up(texts: pa.Table, table: pa.Table) -> pa.Table:
-        g, lp = table.column("g").to_numpy(), table.column("lp").to_numpy().astype(np.float64)
-        order = np.argsort(g)
-        g, lp = g[order], lp[order]
+        held = {}
+        for kind, width in ((PAIRS, 1), (WORDS, OF_WORD)):
+            rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
+            held[kind] = (np.concatenate([np.zeros(0, np.int64), *map(_keys, rows)]), np.concatenate(
+                [np.zeros((width, 0), np.int64), *(_expand(r["data"], width * r["n"]).reshape(width, -1) for r in rows)], axis=1))
         out = []
-        for batch in _unpack(texts):
-            code, at, size = grams(batch.column(batch.schema.get_field_index(text)))
-            total = np.r_[0.0, np.cumsum(lp[np.searchsorted(g, code)] if len(code) else [])]
+        for batch in _unpack(texts, text):
+            words = Words(batch.column(batch.schema.get_field_index(text)))
+            lp = _probabilities(words, held[PAIRS], held[WORDS], spelled, d1, d2, total, freed) if len(words.key) else np.zeros(0)
+            sums, size = np.r_[0.0, np.cumsum(lp)], np.diff(words.at)
             with np.errstate(invalid="ignore", divide="ignore"):
-                ppl = np.exp(-(total[at[1:]] - total[at[:-1]]) / size)
+                ppl = np.exp(-(sums[words.to[1:]] - sums[words.to[:-1]]) / size)
             have = dict(zip(batch.schema.names, batch.columns, strict=True))
-            have |= {"_chars": pa.array(size), "_ppl": pa.array(ppl, pa.float64(), mask=size == 0)}
+            have |= {"_chars": pa.array(size.astype(np.int64)), "_ppl": pa.array(ppl, pa.float64(), mask=size == 0)}
             out.append(pa.RecordBatch.from_arrays([have[n] for n in names], names=names))
         return pa.Table.from_batches(out)
 
-    return packed.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(add_up, schema)
-
-
-def perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
-    """``docs`` with _chars and _ppl, each text's perplexity per character (null without any) under character 5-grams."""
-    counted = cut(count_ngrams(docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))))
-
-    def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        code, at = ngrams(column)
-        return code, at, np.diff(at)
-
-    return _summed(docs, probabilities(counted), grams, text, keep_text)
-
-
-def _rotl(x: np.ndarray, by: int) -> np.ndarray:
-    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
-
-
-def trigram_keys(w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
-    """Spark's ``xxhash64(w1, w2, w3)`` of longs."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
-        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    h = np.full(len(w1), 42, np.uint64)
-    for w in (w1, w2, w3):
-        h = (h + (p5 + np.uint64(8))) ^ (_rotl(w.view(np.uint64) * p2, 31) * p1)
-        h = _rotl(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h ^= h >> np.uint64(32)
-    return h.view(np.int64)
-
-
-def _token_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """(token number of all texts, offsets of each text in them, characters of each text, tokens, their hashes)."""
-    known: dict[str, int] = {}
-    codes, at, chars = [], [0], []
-    for t in column.to_pylist():
-        codes += [known.setdefault(w, len(known)) for w in TOKEN.findall(t or "")]
-        at.append(len(codes))
-        chars.append(len(t or ""))
-    hashes = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                       for w in known], np.int64)
-    return np.array(codes, np.int64), np.array(at, np.int64), np.array(chars, np.int64), list(known), hashes
-
-
-def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(the three word hashes of each token's trigram, offsets of each text in them, characters
-    of each text); a text is led by two pads."""
-    codes, at, chars, _, hashes = _token_ids(column)
-    own = np.ones(len(codes) + 2 * (len(at) - 1), bool)
-    own[gather(at[:-1] + 2 * np.arange(len(at) - 1), np.full(len(at) - 1, 2))] = False
-    padded = np.zeros(len(own), np.int64)
-    padded[own] = hashes[codes] if len(codes) else 0
-    place = np.flatnonzero(own)
-    return np.stack([padded[place - 2], padded[place - 1], padded[place]]), at, chars
-
-
-def count_trigrams(texts: DataFrame) -> DataFrame:
-    """(w1, w2, w3, c) of ``texts`` (text, trusted): every trigram and its count in trusted texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", AT_ONCE):
-            grams, at, _ = trigrams(batch.column(batch.schema.get_field_index("text")))
-            trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
-            _, first, of = np.unique(trigram_keys(*grams), return_index=True, return_inverse=True)
-            many = np.bincount(of, weights=np.repeat(trusted, np.diff(at)), minlength=len(first)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*(pa.array(w[first]) for w in grams), pa.array(many)], names=["w1", "w2", "w3", "c"])
-
-    return texts.mapInArrow(run, "w1 long, w2 long, w3 long, c long").groupBy("w1", "w2", "w3").agg(F.sum("c").alias("c"))
-
-
-def spellings(texts: DataFrame) -> DataFrame:
-    """(w3, spelled): log probability of the spelling of every word of ``texts`` (text, trusted)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", AT_ONCE):
-            codes, at, _, names, hashes = _token_ids(batch.column(batch.schema.get_field_index("text")))
-            trusted = batch.column(batch.schema.get_field_index("trusted")).to_numpy(zero_copy_only=False).astype(bool)
-            yes = np.zeros(len(names), bool)
-            yes[codes[np.repeat(trusted, np.diff(at))]] = True
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([w + END for w in names], pa.string()), pa.array(yes)],
-                                             names=["w3", "text", "_train"])
-
-    words = cut(texts.mapInArrow(run, "w3 long, text string, _train boolean").groupBy("w3").agg(
-        F.min("text").alias("text"), F.max("_train").alias("_train")))
-    return perplexity(words, keep_text=False).select("w3", (-F.log("_ppl") * F.col("_chars")).alias("spelled"))
-
-
-def _join_hot(big: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """``big`` with the columns of ``table``, which has one row for each key, and in ``n`` its rows in ``big``.
-
-    The rows of keys with more than ``HOT`` are salted on both sides."""
-    rows = table.agg(F.sum("n")).first()[0] or 0   # one number
-    hot = table.filter(F.col("n") > max(HOT, rows // LOOKUP_ROWS)).select(*keys, F.lit(True).alias("_hot"))
-    hot = F.broadcast(cut(hot))   # LOOKUP_ROWS rows at most
-    salt = F.pmod(F.xxhash64("w1" if "w1" in big.columns else "w2", "w3"), F.lit(SALTS)).cast("int")
-    left = big.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    right = table.drop("n").join(hot, keys, "left").withColumn("_salt", F.explode(F.when(
-        F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, [*keys, "_salt"]).drop("_salt")
-
-
-def word_probabilities(counted: DataFrame, spelled: DataFrame) -> DataFrame:
-    """(g, lp): natural log probability of the last word of every counted trigram, by its key."""
-    tables = {3: counted}
-    for k, words in ((2, ["w2", "w3"]), (1, ["w3"])):
-        # continuation counts: how many different words come before
-        tables[k] = cut(tables[k + 1].groupBy(*words).agg(
-            F.sum((F.col("c") > 0).cast("long")).alias("c"), F.count(F.lit(1)).alias("n")))
-    lower = None
-    for k in (1, 2, 3):
-        less = F.get(F.array(*[F.lit(x) for x in _discounts(tables[k])]), F.least(F.col("c"), F.lit(3)).cast("int"))
-        sums = [F.sum("c").alias("all"), F.sum(less).alias("freed")]
-        if lower is None:
-            found = tables[1].join(spelled.withColumn("p_low", F.exp(F.greatest("spelled", F.lit(-700.0)))), "w3").crossJoin(
-                F.broadcast(tables[1].agg(*sums)))   # one row
-        else:
-            context = [f"w{i}" for i in range(4 - k, 3)]
-            contexts = cut(tables[k].groupBy(*context).agg(*sums, F.count(F.lit(1)).alias("n")))
-            found = _join_hot(_join_hot(tables[k], contexts, context), lower, [f"w{i}" for i in range(5 - k, 4)])
-        p = F.when(F.coalesce(F.col("all"), F.lit(0)) == 0, F.col("p_low")).otherwise(
-            (F.when(F.col("c") > 0, F.col("c") - less).otherwise(0.0) + F.col("freed") * F.col("p_low")) / F.col("all"))
-        lower = found.withColumn("p_low", p).select(*[f"w{i}" for i in range(4 - k, 4)], "p_low", *["n"] * (k < 3))
-        if k < 3:
-            lower = cut(lower)
-    return lower.select(F.xxhash64("w1", "w2", "w3").alias("g"), F.log("p_low").cast("float").alias("lp"))
-
-
-def word_perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
-    """``docs`` with _chars and _ppl, each text's perplexity per character under the word model."""
-    texts = docs.select(whole(text).alias("text"), F.col(train).alias("trusted"))
-    known = word_probabilities(cut(count_trigrams(texts)), spellings(texts))
-
-    def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found, at, chars = trigrams(column)
-        return trigram_keys(*found), at, chars
-
-    return _summed(docs, known, grams, text, keep_text)
+    return packed.groupBy("_chunk").cogroup(answers.groupBy("of")).applyInArrow(add_up, schema)
 
 
 def decide(scored: DataFrame, lang: str = "lang", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
@@ -407,17 +481,16 @@ def _sent(rejected: DataFrame) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
              doc_id: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, lang, perplexity and limit of the word model, kept by both models."""
+    """Per row: doc_id, lang, perplexity, limit and kept."""
     narrow = with_trust(_keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))), labels)
-    garbled = _sent(_rejected(decide(cut(perplexity(narrow, keep_text=False)))).withColumn("_garbled", F.lit(True)))
-    decided = decide(cut(word_perplexity(narrow, keep_text=False))).join(garbled, ["_k1", "_k2"], "left")
+    decided = decide(cut(word_perplexity(narrow, keep_text=False)))
     return decided.select("doc_id", "lang", F.col("_ppl").alias("perplexity"), F.col("_limit").alias("limit"),
-                          (F.col("_keep") & F.col("_garbled").isNull()).alias("kept"))
+                          F.col("_keep").alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang",
               doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows that one of the two models rejects.
+    """``docs`` without the rows that the model rejects.
 
     Rows are judged by their id, language and text alone; the rejected ones are found again
     by a 128-bit key of the whole row, so no other column goes through the tasks."""
@@ -425,5 +498,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str
     keyed = _keyed(hidden)
     narrow = with_trust(keyed.select(F.col(names[doc_id]).alias("doc_id"), F.col(names[lang]).alias("lang"),
                                      F.col(names[text]).alias("text"), "_k1", "_k2"), labels)
-    both = [_rejected(decide(cut(model(narrow, keep_text=False)))) for model in (perplexity, word_perplexity)]
-    return restore(keyed.join(_sent(both[0].union(both[1]).distinct()), ["_k1", "_k2"], "left_anti"), names)
+    rejected = _rejected(decide(cut(word_perplexity(narrow, keep_text=False))))
+    return restore(keyed.join(_sent(rejected), ["_k1", "_k2"], "left_anti"), names)
