@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from .common import cut, hide, join_lookup, restore, steps, text_bytes, whole
 
-CHUNK_CHARS = 32_000_000
+CHUNK_CHARS = 96_000_000
 BROADCAST_IDS = 1_000_000
 #: Bytes of text whose words a task takes apart at once.
 AT_ONCE = 2 << 20
@@ -165,11 +165,17 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array(c, t) for (n, t), c in zip(FIELDS.items(), columns, strict=True)})
 
 
+def _ranges(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of sorted keys, by ranges of the keys."""
+    edges = np.array([-(-(b << KEY_BITS) // buckets) for b in range(buckets + 1)], np.int64)
+    ends = np.searchsorted(keys, edges).tolist()
+    return [(b, lo, hi) for b, (lo, hi) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if hi > lo]
+
+
 def _dealt(kind: int, of: int, keys: np.ndarray, data: np.ndarray | None, buckets: int) -> list[tuple]:
-    """Rows of sorted ``keys`` and the columns of ``data``, by ranges of the keys."""
-    ends = np.searchsorted(keys, -(-(np.arange(buckets + 1, dtype=object) << KEY_BITS) // buckets).astype(np.int64))
-    return [(kind, b, of, int(hi - lo), _squeeze(np.diff(keys[lo:hi], prepend=0)), b"" if data is None else _squeeze(data[:, lo:hi].ravel()))
-            for b, (lo, hi) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if hi > lo]
+    """Rows of sorted ``keys`` and the columns of ``data``, by bucket."""
+    return [(kind, b, of, hi - lo, _squeeze(np.diff(keys[lo:hi], prepend=0)), b"" if data is None else _squeeze(data[:, lo:hi].ravel()))
+            for b, lo, hi in _ranges(keys, buckets)]
 
 
 def _keys(row: dict) -> np.ndarray:
@@ -197,7 +203,12 @@ def count_pairs(texts: DataFrame, buckets: int) -> DataFrame:
                 held.append((keys, c[0], x[first], y[first]))
             key, c, x, y = (np.concatenate(v) for v in zip(*held, strict=True))
             keys, sums, first = _added(key, c[None])
-            yield from _rows(_dealt(PAIRS, 0, keys, np.stack([sums[0], x[first], y[first]]), buckets)).to_batches()
+            x, y, out = x[first], y[first], []
+            for b, lo, hi in _ranges(keys, buckets):
+                by = np.argsort(x[lo:hi], kind="stable")   # equal words side by side
+                out.append((PAIRS, b, 0, hi - lo, _squeeze(np.diff(x[lo:hi][by], prepend=0)),
+                            _squeeze(np.r_[sums[0, lo:hi][by], y[lo:hi][by]])))
+            yield from _rows(out).to_batches()
 
     return texts.mapInArrow(run, ROW)
 
@@ -207,10 +218,10 @@ def pair_tables(counted: DataFrame, buckets: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = np.concatenate([_keys(r) for r in rows])
-        data = np.concatenate([_expand(r["data"], 3 * r["n"]).reshape(3, -1) for r in rows], axis=1)
-        keys, sums, first = _added(keys, data[:1])
-        c, (x, y) = sums[0], data[1:, first]
+        x = np.concatenate([_keys(r) for r in rows])
+        c, y = np.concatenate([_expand(r["data"], 2 * r["n"]).reshape(2, -1) for r in rows], axis=1)
+        keys, sums, first = _added(pair_key(x, y), c[None])
+        c, x, y = sums[0], x[first], y[first]
         zero = np.zeros(len(c), np.int64)
         words, numbers, _ = _added(np.r_[x, y], np.concatenate([
             np.stack([c, c == 1, c == 2, c > 2, zero]), np.stack([zero, zero, zero, zero, zero + 1])], axis=1))
@@ -315,7 +326,7 @@ def with_trust(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> Da
 def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
     """(_chunk, packed): the rows of ``docs``, several to a row, as compressed Arrow streams."""
     plain = [c for c, kind in docs.dtypes if not kind.startswith("map")]
-    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks)).cast("int"))
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text, COUNT_AT_ONCE):
@@ -328,9 +339,9 @@ def _pack(docs: DataFrame, text: str, chunks: int) -> DataFrame:
                 with pa.ipc.new_stream(sink, part.schema, options=options) as out:
                     out.write_batch(part)
                 blobs.append(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(blobs, pa.binary())], names=["_chunk", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(blobs, pa.binary())], names=["_chunk", "packed"])
 
-    return dealt.mapInArrow(run, "_chunk int, packed binary")
+    return dealt.mapInArrow(run, "_chunk long, packed binary")
 
 
 def _unpack(packed: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
@@ -345,11 +356,14 @@ def _ask(packed: DataFrame, text: str, buckets: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _rows([])
-        pairs = words = np.zeros(0, np.int64)
+        held: dict[int, list[np.ndarray]] = {PAIRS: [], WORDS: []}
         for batch in _unpack(table, text):
             w = Words(batch.column(batch.schema.get_field_index(text)))
-            pairs = np.union1d(pairs, pair_key(w.before(), w.key))
-            words = np.union1d(words, np.r_[0, w.key])
+            for kind, keys in ((PAIRS, pair_key(w.before(), w.key)), (WORDS, np.r_[0, w.key])):
+                held[kind].append(np.unique(keys))
+                if len(held[kind]) > 8 and sum(map(len, held[kind][1:])) > len(held[kind][0]):
+                    held[kind] = [np.unique(np.concatenate(held[kind]))]
+        pairs, words = (np.unique(np.concatenate([np.zeros(0, np.int64), *held[kind]])) for kind in (PAIRS, WORDS))
         chunk = table.column("_chunk")[0].as_py()
         return _rows([*_dealt(PAIRS, chunk, pairs, None, buckets), *_dealt(WORDS, chunk, words, None, buckets)])
 
