@@ -45,12 +45,14 @@ from pyspark.sql import types as T
 
 from .common import cut, hide, join_lookup, restore, steps, text_bytes, whole
 
-CHUNK_CHARS = 96_000_000
+CHUNK_CHARS = 40_000_000
+#: Characters of all texts for each bucket of the tables.
+BUCKET_CHARS = 12_000_000
 BROADCAST_IDS = 1_000_000
 #: Bytes of text whose words a task takes apart at once.
-AT_ONCE = 2 << 20
-#: Bytes of trusted text whose bigrams are counted before they are handed on.
-COUNT_AT_ONCE = 16 << 20
+AT_ONCE = 1 << 20
+#: Bytes of text whose counts or packed rows are handed on at once.
+COUNT_AT_ONCE = 8 << 20
 PRIOR_CHARS = 50
 QUANTILE = 0.99
 SLACK = 1.2
@@ -222,9 +224,10 @@ def pair_tables(counted: DataFrame, buckets: int) -> DataFrame:
         c, y = np.concatenate([_expand(r["data"], 2 * r["n"]).reshape(2, -1) for r in rows], axis=1)
         keys, sums, first = _added(pair_key(x, y), c[None])
         c, x, y = sums[0], x[first], y[first]
-        zero = np.zeros(len(c), np.int64)
-        words, numbers, _ = _added(np.r_[x, y], np.concatenate([
-            np.stack([c, c == 1, c == 2, c > 2, zero]), np.stack([zero, zero, zero, zero, zero + 1])], axis=1))
+        words, of = np.unique(np.r_[x, y], return_inverse=True)
+        first, second = of[:len(x)], of[len(x):]
+        many = lambda at, weights=None: np.bincount(at, weights, len(words)).astype(np.int64)
+        numbers = np.stack([many(first, c), many(first[c == 1]), many(first[c == 2]), many(first[c > 2]), many(second)])
         return _rows([(PAIRS, rows[0]["bucket"], 0, len(keys), _squeeze(np.diff(keys, prepend=0)), _squeeze(c)),
                       *_dealt(WORDS, rows[0]["bucket"], words, numbers, buckets)])
 
@@ -422,7 +425,7 @@ def word_perplexity(docs: DataFrame, text: str = "text", train: str = "_train",
     """``docs`` with _chars and _ppl, each text's perplexity per character (null without any) under
     the word model of the texts for which ``train`` is true."""
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0   # one number
-    chunks = buckets = max(1, -(-chars // CHUNK_CHARS))
+    chunks, buckets = (max(1, -(-chars // each)) for each in (CHUNK_CHARS, BUCKET_CHARS))
     trusted = docs.filter(F.col(train)).select(whole(text).alias("text"))
     tables = cut(pair_tables(count_pairs(trusted, buckets), buckets))
     of_words = cut(word_tables(tables))

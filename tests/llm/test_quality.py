@@ -85,6 +85,7 @@ def test_several_chunks_agree(spark, sample, monkeypatch):
     docs = sample.withColumn("_train", F.col("doc_id") % 2 == 0)
     one = {r.doc_id: r._ppl for r in kn_quality.word_perplexity(docs).collect()}
     monkeypatch.setattr(kn_quality, "CHUNK_CHARS", 50_000)
+    monkeypatch.setattr(kn_quality, "BUCKET_CHARS", 20_000)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         assert {r.doc_id: r._ppl for r in kn_quality.word_perplexity(docs).collect()} == pytest.approx(one)
