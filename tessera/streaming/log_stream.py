@@ -11,7 +11,9 @@ record changes it.  The sink replaces rows by key, so after any order of arrival
 * the state of a key that gets no record for ``expire_after`` milliseconds is dropped (never by default); what it
   handed on stays in the store, and later records of the key start anew.
 
-A key's records pass through its function piece by piece, so no key needs to fit in memory.
+Without expiry the state is that of built-in aggregates.  With it a key's records pass through a Python
+function piece by piece, so no key needs to fit in memory; that costs a call for each key.  The two keep
+their state in different forms, so a checkpoint goes on with the one it began with.
 """
 
 from __future__ import annotations
@@ -21,16 +23,28 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..session import cut_lineage
 from ..sources.stores import upsert
 
 
 def merged_stream(records: DataFrame, keys: Sequence[str], fields: Sequence[str], field_col: str = "field",
                   value_col: str = "value", step_col: str = "step", expire_after: int | None = None) -> DataFrame:
-    """A row (keys, step, fields) for each key whose complete row is new or changed, in update mode."""
+    """A row (keys, step, fields) for each key whose complete row is new or changed, in update mode; without
+    ``expire_after`` also for a complete key whose records change nothing."""
     keys, fields = list(keys), list(fields)
+    if expire_after is None:
+        step, value = F.col(step_col).cast("long"), F.col(value_col).cast("double")
+        said = records.filter(step.isNotNull() & value.isNotNull() & ~F.isnan(value))
+        last = [F.max(F.when(F.col(field_col) == f, F.struct(step.alias("step"), value.alias("value")))).alias(f"__{i}")
+                for i, f in enumerate(fields)]
+        held = said.groupBy(*keys).agg(F.max(step).alias("__step"), *last)
+        for i in range(len(fields)):
+            held = held.filter(F.col(f"__{i}").isNotNull())
+        return held.select(*keys, F.col("__step").alias(step_col), *[F.col(f"__{i}.value").alias(f) for i, f in enumerate(fields)])
     kinds = dict(records.dtypes)
     row = ", ".join([f"{k} {kinds[k]}" for k in keys] + [f"{step_col} long"] + [f"{f} double" for f in fields])
     held = ", ".join(["latest long"] + [f"s{i} long, v{i} double" for i in range(len(fields))])
@@ -75,6 +89,7 @@ def run_log_stream(spark: SparkSession, src_dir: str, schema: str, store: str, c
     merged = merged_stream(reader.load(src_dir), keys, fields, expire_after=expire_after)
 
     def into_store(rows: DataFrame, _: int) -> None:
+        rows = cut_lineage(rows)   # worked out once, read three times
         if not rows.isEmpty():
             upsert(rows.sparkSession, store, rows, list(keys))
 

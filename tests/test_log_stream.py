@@ -5,7 +5,7 @@ import random
 import pytest
 
 from tessera.sources.stores import merge_log_records
-from tessera.streaming.log_stream import run_log_stream
+from tessera.streaming.log_stream import merged_stream, run_log_stream
 
 SCHEMA = "model string, epoch int, step long, field string, value double"
 FIELDS = ["loss", "f1"]
@@ -48,3 +48,13 @@ def test_state_expires(spark, tmp_path):
     run([("b", 1, 1, "loss", 0.5), ("b", 1, 2, "f1", 0.5)])   # the state of a is gone by then
     run([("a", 1, 2, "f1", 0.75)])
     assert [r.model for r in spark.read.parquet(store).collect()] == ["b"]
+
+
+def test_no_python_for_each_key_and_null_keys_are_replaced(spark, tmp_path):
+    src, store, ck = (str(tmp_path / x) for x in ("in", "store", "ck"))
+    for rows in ([(None, 1, 1, "loss", 0.5), (None, 1, 2, "f1", 0.5)], [(None, 1, 3, "f1", 0.75)], [(None, 1, 3, "f1", 0.75)]):
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(src)
+        run_log_stream(spark, src, SCHEMA, store, ck, ["model", "epoch"], FIELDS).awaitTermination(60)
+    assert list(map(tuple, spark.read.parquet(store).select("model", "epoch", "step", *FIELDS).collect())) == [(None, 1, 3, 0.5, 0.75)]
+    merged = merged_stream(spark.readStream.schema(SCHEMA).parquet(src), ["model", "epoch"], FIELDS)
+    assert "PandasWithState" not in merged._jdf.queryExecution().analyzed().toString()
