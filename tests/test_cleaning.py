@@ -251,3 +251,17 @@ def test_apostrophe_runs_of_a_megabyte(spark):
     for text, want in ((run, run), (run + " dont", run + " do not"), ("'" * (1 << 20) + "dont", "'" * (1 << 20) + "do not")):
         assert apply(spark, T.expand_contractions, [text]) == [want]
     assert len(apply(spark, T.clean_sample, ["<b " + "it's " * 200_000 + run])[0]) > 0
+
+
+def test_entity_tables_are_constants(spark):
+    text = T.decode_entities("text")._jc.toString()
+    assert "str_to_map" in text and "map(" not in text.replace("str_to_map(", "")   # literal by literal, planning took seconds
+
+
+def test_texts_of_few_technical_words(spark):
+    rows = ["html", "a html", "html a", "a b html", "html a b c html d", "html a b c d html e", "a  b\t html, css\n", "x Html. css y", "", " \t", None]
+    want = [r and " ".join(r.split()) for r in rows]
+    for i, text in ((0, ""), (1, "a"), (2, "a"), (6, "a b"), (7, "")):   # as before the short cut
+        want[i] = text
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string").select("i", T.strip_metadata("t", 5, 0.35).alias("x")).orderBy("i")
+    assert [r.x for r in got.collect()] == want
