@@ -78,3 +78,34 @@ def test_a_million_keys(spark):
     df = spark.range(2000).selectExpr("id", "concat('K', id * 499, ' and k', id, ', kx') as text")
     got = {r.id: r.expanded for r in V.expand(df, table, limit=1000).collect()}
     assert got == {i: (f"Value {i * 499}" if i * 499 < 10**6 else f"K{i * 499}") + f" and value {i}, kx" for i in range(2000)}
+
+
+def test_what_is_dealt_grows_with_distinct_words_of_a_chunk(spark, monkeypatch):
+    written, cut = [], lookup.cut_lineage
+
+    def counted(df):
+        found = cut(df)
+        written.append(found.count())
+        return found
+
+    monkeypatch.setattr(lookup, "cut_lineage", counted)
+    df = spark.range(0, 40, 1, 2).selectExpr("id", "concat(repeat('the Of ', 1000), 'w', id) as text")
+    words = V.learn(df)
+    back = V.decode(V.encode(df, words, sent=0), words, sent=0)
+    assert {r.id: r.decoded for r in back.collect()} == {i: "the of " * 1000 + f"w{i}" for i in range(40)}
+    assert 0 < max(written) < 100   # 80,000 words
+
+
+def test_many_chunks_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CHUNK_BYTES", 500)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        df = spark.range(0, 100, 1, 2).selectExpr("id", "if(id % 9 = 0, null, concat('w', id % 13, ' x', id, ' w1')) as text")
+        words = V.learn(df)
+        back = V.decode(V.encode(df, words, sent=0), words, sent=0).collect()
+        assert len(back) == 100 and all(r.decoded == (r.text or "") for r in back)
+        kept = V.encode(df, words, sent=0, keep=["id"])
+        assert kept.columns == ["id", "input_ids"] and kept.count() == 100
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
