@@ -109,3 +109,19 @@ def test_many_chunks_of_a_task(spark, monkeypatch):
         assert kept.columns == ["id", "input_ids"] and kept.count() == 100
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_expansion_deals_distinct_words_of_a_chunk(spark, monkeypatch):
+    written, cut = [], lookup.cut_lineage
+
+    def counted(df):
+        found = cut(df)
+        written.append(found.count())
+        return found
+
+    monkeypatch.setattr(lookup, "cut_lineage", counted)
+    df = spark.range(0, 40, 1, 2).selectExpr("id", "concat(repeat('the Of ', 1000), 'w', id) as text")
+    table = spark.createDataFrame([("the", "a"), ("w7", "seven")], "key string, value string")
+    got = {r.id: r.expanded for r in V.expand(df, table, limit=0).collect()}
+    assert got == {i: "a Of " * 1000 + ("seven" if i == 7 else f"w{i}") for i in range(40)}
+    assert 0 < max(written) < 100   # 80,000 words
