@@ -1,7 +1,9 @@
 import math
 import re
+import time
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +131,26 @@ def test_word_tables_grow_with_the_text(spark):
         tables = kn_quality.pair_tables(kn_quality.count_pairs(docs, 2), 2)
         n[sf] = kn_quality._counts_of_counts(tables, kn_quality.PAIRS)[4]
     assert n["sf0.01"] > 3 * n["sf0.001"]
+
+
+def test_waves_leave_no_shuffle_files(spark, sample, monkeypatch):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in map(str, manager.getAllFiles().mkString("\n").split("\n")) if "/shuffle_" in f}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs, setting, before = sample.withColumn("_train", F.col("doc_id") % 2 == 0), spark.conf.get(name), files()
+    monkeypatch.setattr(kn_quality, "CHUNK_CHARS", 50_000)
+    one = {r.doc_id: r._ppl for r in kn_quality.word_perplexity(docs).collect()}
+    for _ in range(50):   # they go shortly after the action
+        if left := files() - before:
+            time.sleep(0.2)
+    assert not left and spark.conf.get(name) == setting
+    monkeypatch.setattr(kn_quality, "WAVES", 1)
+    assert {r.doc_id: r._ppl for r in kn_quality.word_perplexity(docs).collect()} == pytest.approx(one)
+
+
+def test_distinct_keys_and_places():
+    keys = np.array([5, 3, 5, 9, 3, 0], np.int64)
+    found, first, of = kn_quality._grouped(keys)
+    assert found.tolist() == kn_quality._distinct(keys).tolist() == [0, 3, 5, 9]
+    assert keys[first].tolist() == found.tolist() and found[of].tolist() == keys.tolist()
+    assert len(kn_quality._distinct(keys[:0])) == 0 and all(len(x) == 0 for x in kn_quality._grouped(keys[:0]))
