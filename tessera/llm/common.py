@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +31,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+def freed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
     """Shuffle files of each action inside go when it ends, not when the driver happens to collect its garbage.
 
     For steps that ``cut`` what they keep; a frame that is computed twice inside shuffles twice."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    return set_for(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+@contextmanager
+def set_for(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the actions inside."""
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -75,6 +79,19 @@ def steps(batches: Iterator[pa.RecordBatch], text: str,
             at, done = to, int(ends[to - 1])
 
 
+def joined_steps(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of half to one and a half times ``limit`` bytes of text, or one row, also where batches are smaller."""
+    held, size = [], 0
+    for batch in steps(batches, text, limit):
+        held.append(batch)
+        size += int(pc_lengths(batch.column(batch.schema.get_field_index(text))).sum()) + 16 * batch.num_rows
+        if size >= limit // 2:
+            yield pa.concat_batches(held) if len(held) > 1 else batch
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pc_lengths(column: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)

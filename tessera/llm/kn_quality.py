@@ -45,18 +45,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, freed_shuffles, gather, hide, join_lookup, restore, steps, text_bytes, whole
+from .common import cut, freed_shuffles, gather, hide, join_lookup, joined_steps, restore, set_for, steps, text_bytes, whole
 
-CHUNK_CHARS = 20_000_000
+CHUNK_CHARS = 10_000_000
 #: Parts of the chunks that are judged one after the other; disk, and how often the documents are read, depend on it.
 WAVES = 4
 #: Characters of all texts for each bucket of the tables.
 BUCKET_CHARS = 12_000_000
 BROADCAST_IDS = 1_000_000
 #: Bytes of text whose words a task takes apart at once.
-AT_ONCE = 1 << 20
-#: Bytes of text whose counts or packed rows are handed on at once.
-COUNT_AT_ONCE = 8 << 20
+AT_ONCE = 1 << 19
+#: Bytes of text whose counts, and whose packed rows, are handed on at once.
+COUNT_AT_ONCE = 4 << 20
+PACK_AT_ONCE = 8 << 20
+#: Documents that a task is handed at once; 10,000 are 34 MB of text, in the task's buffers and in Python's.
+ROWS_AT_ONCE = 1_000
 PRIOR_CHARS = 50
 QUANTILE = 0.99
 SLACK = 1.2
@@ -230,7 +233,7 @@ def count_pairs(texts: DataFrame, buckets: int) -> DataFrame:
     """Packed rows of ``texts`` (text): the bigrams with their words and counts, by bucket, once for each step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in steps(batches, "text", COUNT_AT_ONCE):
+        for big in joined_steps(batches, "text", COUNT_AT_ONCE):
             held = []
             for batch in steps(iter([big]), "text", AT_ONCE):
                 words = Words(batch.column(batch.schema.get_field_index("text")))
@@ -306,7 +309,7 @@ def spelling_table(texts: DataFrame) -> np.ndarray:
     """Log probability of every character trigram, from the distinct words of ``texts`` (text)."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in steps(batches, "text", COUNT_AT_ONCE):
+        for big in joined_steps(batches, "text", COUNT_AT_ONCE):
             seen: dict[int, str] = {}
             for batch in steps(iter([big]), "text", AT_ONCE):
                 w = Words(batch.column(batch.schema.get_field_index("text")))
@@ -317,7 +320,7 @@ def spelling_table(texts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["key", "text"])
 
     def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", AT_ONCE):
+        for batch in joined_steps(batches, "text", AT_ONCE):
             w = Words(batch.column(batch.schema.get_field_index("text")))
             g, c = np.unique(np.concatenate(w.spelling()[:2]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(c)], names=["g", "c"])
@@ -366,7 +369,7 @@ def _pack(docs: DataFrame, text: str, chunks: int, wave: int, waves: int) -> Dat
     dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks))).filter(F.col("_chunk") % waves == wave)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text, COUNT_AT_ONCE):
+        for batch in joined_steps(batches, text, PACK_AT_ONCE):
             chunk = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
             found, blobs = np.unique(chunk), []
             for c in found:
@@ -461,7 +464,8 @@ def _probabilities(words: Words, pairs: tuple, known: tuple, spelled: np.ndarray
 def word_perplexity(docs: DataFrame, text: str = "text", train: str = "_train", keep_text: bool = True) -> DataFrame:
     """``docs`` with _chars and _ppl, each text's perplexity per character (null without any) under
     the word model of the texts for which ``train`` is true; written and read again."""
-    with freed_shuffles(docs.sparkSession):
+    rows = set_for(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    with freed_shuffles(docs.sparkSession), rows:
         return _word_perplexity(docs, text, train, keep_text)
 
 
