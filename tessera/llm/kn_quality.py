@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, freed_shuffles, gather, hide, join_lookup, joined_steps, restore, set_for, steps, text_bytes, whole
+from .common import cut, freed_shuffles, gather, hide, join_lookup, joined_steps, restore, set_for, steps, text_bytes, tidy, whole
 
 CHUNK_CHARS = 10_000_000
 #: Parts of the chunks that are judged one after the other; disk, and how often the documents are read, depend on it.
@@ -232,6 +232,7 @@ def _added(keys: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def count_pairs(texts: DataFrame, buckets: int) -> DataFrame:
     """Packed rows of ``texts`` (text): the bigrams with their words and counts, by bucket, once for each step."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in joined_steps(batches, "text", COUNT_AT_ONCE):
             held = []
@@ -255,6 +256,7 @@ def count_pairs(texts: DataFrame, buckets: int) -> DataFrame:
 def pair_tables(counted: DataFrame, buckets: int) -> DataFrame:
     """Packed rows: each bucket's distinct bigrams with their counts, and what they say of their words."""
 
+    @tidy
     def merge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         x = np.concatenate([_keys(r) for r in rows])
@@ -274,6 +276,7 @@ def pair_tables(counted: DataFrame, buckets: int) -> DataFrame:
 def word_tables(tables: DataFrame) -> DataFrame:
     """Packed rows: each bucket's distinct words with their numbers."""
 
+    @tidy
     def merge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         words, numbers, _ = _added(np.concatenate([_keys(r) for r in rows]), np.concatenate(
@@ -294,6 +297,7 @@ def less(n: list[int]) -> np.ndarray:
 def _counts_of_counts(tables: DataFrame, kind: int) -> list[int]:
     """How many keys have the counts 1, 2, 3, 4, how many any, and the sum of the counts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -308,6 +312,7 @@ def _counts_of_counts(tables: DataFrame, kind: int) -> list[int]:
 def spelling_table(texts: DataFrame) -> np.ndarray:
     """Log probability of every character trigram, from the distinct words of ``texts`` (text)."""
 
+    @tidy
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in joined_steps(batches, "text", COUNT_AT_ONCE):
             seen: dict[int, str] = {}
@@ -319,6 +324,7 @@ def spelling_table(texts: DataFrame) -> np.ndarray:
                         seen[key] = w.cps[w.begins[i]:w.ends[i]].tobytes().decode("utf-32-le")
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.string())], names=["key", "text"])
 
+    @tidy
     def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in joined_steps(batches, "text", AT_ONCE):
             w = Words(batch.column(batch.schema.get_field_index("text")))
@@ -368,6 +374,7 @@ def _pack(docs: DataFrame, text: str, chunks: int, wave: int, waves: int) -> Dat
     plain = [c for c, kind in docs.dtypes if not kind.startswith("map")]
     dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*plain), F.lit(chunks))).filter(F.col("_chunk") % waves == wave)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in joined_steps(batches, text, PACK_AT_ONCE):
             chunk = batch.column(batch.schema.get_field_index("_chunk")).to_numpy()
@@ -393,6 +400,7 @@ def _unpack(packed: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
 def _ask(packed: DataFrame, text: str, buckets: int) -> DataFrame:
     """Packed rows: the distinct bigrams and words of each chunk, by bucket."""
 
+    @tidy
     def run(table: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _rows([])
@@ -413,6 +421,7 @@ def _ask(packed: DataFrame, text: str, buckets: int) -> DataFrame:
 def _answer(asked: DataFrame, tables: DataFrame) -> DataFrame:
     """Packed rows: of each asked row the keys that the tables hold, with their numbers."""
 
+    @tidy
     def run(asked: pa.Table, table: pa.Table) -> pa.Table:
         if not asked.num_rows or not table.num_rows:
             return _rows([])
@@ -486,6 +495,7 @@ def _word_perplexity(docs: DataFrame, text: str, train: str, keep_text: bool) ->
     schema = T.StructType([*kept, T.StructField("_chars", T.LongType()), T.StructField("_ppl", T.DoubleType())])
     names = [f.name for f in schema.fields]
 
+    @tidy
     def add_up(texts: pa.Table, table: pa.Table) -> pa.Table:
         held = {}
         for kind, width in ((PAIRS, 1), (WORDS, OF_WORD)):

@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gather, steps, strings, text_bytes
+from .common import gather, steps, strings, text_bytes, tidy
 
 #: No such pair.
 NONE = np.int32(2**31 - 1)
 #: Bytes of text, or of packed ids, that a task works on at once (some 30 times that in memory).
-AT_ONCE = 3 << 20
+AT_ONCE = 1 << 20
 #: Symbols of a word from which on it is merged with a heap.
 LONG_WORD = 2048
 SPACE = "▁"
@@ -357,6 +357,7 @@ def encode(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
     out = T.StructType([*kept, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())])
     names = [f.name for f in out.fields]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary.load(model.value)  # once per worker
         for batch in steps(batches, text, AT_ONCE):
@@ -376,6 +377,7 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decode
     out = T.StructType([*df.schema.fields, T.StructField(text, T.StringType())])
     names = [f.name for f in out.fields]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary.load(model.value)  # once per worker
         for batch in steps(batches, ids, AT_ONCE):

@@ -1,13 +1,17 @@
 """The pipeline against the operators' own results, stage by stage."""
 
+import ctypes
 import hashlib
+import random
+import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
 import corpus_pipeline
-from tessera.llm import kn_quality, mix_sources, pii_boost, simhash_pivots
+from tessera.llm import kn_quality, mix_sources, pii_boost, sentencepiece_codec, simhash_pivots
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +76,29 @@ def test_odd_and_empty_tables(spark, odd, none, tmp_path, labels):
                 assert done.columns == docs.columns
             docs = done
         assert (docs.count() == 0) == empty
+
+
+def test_idle_workers_keep_little(spark):
+    """What a Python worker frees goes back to the system when its task ends, since Spark keeps it for later ones."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(30_000)]
+    rows = [(i, " ".join(rng.choices(words, k=600)), i % 2 == 0) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _train boolean").repartition(4)
+
+    def kept(batches):
+        """MB that the allocator could hand back now."""
+        size = lambda: sum(int(x) for x in re.findall(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())) / 1024  # noqa: E731, SIM115
+        for _ in batches:
+            before = size()
+            ctypes.CDLL(None).malloc_trim(0)
+            yield pa.RecordBatch.from_arrays([pa.array([before - size()])], names=["mb"])
+
+    def most():
+        return spark.range(0, 64, 1, 64).mapInArrow(kept, "mb double").agg({"mb": "max"}).first()[0]
+
+    most()
+    kn_quality.word_perplexity(docs).count()
+    assert most() < 32
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    sentencepiece_codec.decode(sentencepiece_codec.encode(docs, model), model).write.format("noop").mode("overwrite").save()
+    assert most() < 32
